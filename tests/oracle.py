@@ -10,6 +10,7 @@ import time
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+TIMES = {"spark": 0.0, "duck": 0.0}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -47,11 +48,15 @@ def rows_of(frame_columns, rows):
 
 def compare(df, con, sql):
     """Empty string when equal, else a short description of the difference."""
+    start = time.time()
     got = [tuple(r) for r in df.collect()]
+    TIMES["spark"] = time.time() - start
+    start = time.time()
     res = con.execute(sql)
     names = [d[0] for d in res.description]
     types = {d[0]: str(d[1]) for d in res.description}
     want = res.fetchall()
+    TIMES["duck"] = time.time() - start
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} <> {sorted(names)}"
     spark_types = {
@@ -99,7 +104,7 @@ def main(argv):
             message = f"{type(e).__name__}: {str(e)[:1500]}"
         ok = not message or message.startswith("rows-only")
         failed += not ok
-        print(f"{'ok  ' if ok else 'FAIL'} {name} {time.time() - start:.2f}s {message}", flush=True)
+        print(f"{'ok  ' if ok else 'FAIL'} {name} {time.time() - start:.1f}s spark {TIMES['spark']:.1f} duck {TIMES['duck']:.1f} {message}", flush=True)
     print(f"{len(names) - failed}/{len(names)} ok")
 
 

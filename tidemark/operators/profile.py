@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio
-from tidemark.operators.frames import number_rows, running_sum
+from tidemark.operators.frames import attach_group_value, number_rows, running_sum
 
-SPLITTERS = 64  # sketch quantiles that cut a column into buckets of similar weight
+SKETCH_ACCURACY = 10_000
+SKETCH_MARGIN = 5  # bracket half-width in units of the sketch's guaranteed rank error
 
 
 def coverage(bars: DataFrame, by: Sequence[str] = ("series",), order: str = "bar") -> DataFrame:
@@ -41,14 +41,6 @@ def missing_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def moments(value: Column) -> dict[str, Column]:
-    """Sample skewness and excess kurtosis, corrected for bias as most table tools do."""
-    n, g1, g2 = F.count(value).cast("double"), F.skewness(value), F.kurtosis(value)
-    skew = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
-    kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
-    return {"skewness": skew, "kurtosis": kurt}
-
-
 def return_stats(
     bars: DataFrame, by: Sequence[str] = ("series",), value: str = "ret"
 ) -> DataFrame:
@@ -126,18 +118,40 @@ def pair_corr(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFram
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete correlations of all column pairs, one row per ordered pair.
 
-    One aggregate over the table; only the upper triangle is computed.
+    Each row yields its column pairs inside the task that reads it, where they are
+    combined at once; only one partial result per pair and task is shuffled.
     """
-    pairs = list(combinations(columns, 2))
-    row = df.agg(
-        *[safe_corr(F.col(a), F.col(b)).alias(f"_p{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.var_pop(c).alias(f"_v{i}") for i, c in enumerate(columns)],
+    p = len(columns)
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_xs"))
+    # The outer form keeps the optimiser from copying the whole array below the windows
+    # of the input as an inferred "array is not empty" filter.
+    left = values.select("_xs", F.posexplode_outer("_xs").alias("_i", "_x")).where(
+        "_x IS NOT NULL"
+    )
+    rest = F.slice("_xs", F.col("_i") + 1, F.lit(p))
+    cells = (
+        left.select("_i", "_x", F.posexplode_outer(rest).alias("_k", "_y"))
+        .where("_y IS NOT NULL")
+        .groupBy("_i", (F.col("_i") + F.col("_k")).alias("_j"))
+        .agg(
+            F.try_divide(
+                F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")
+            ).alias("corr")
+        )
+    )
+    # The pair grid is fixed by the column list, so pairs without data still appear.
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    grid = df.sparkSession.createDataFrame(pairs, "_i int, _j int")
+    corr = F.when(F.col("_i") == F.col("_j"), F.signum("corr")).otherwise(F.col("corr"))
+    full = grid.join(cells, ["_i", "_j"], "left").withColumn("corr", corr)
+    names = F.array(*[F.lit(c) for c in columns])
+    both = F.when(F.col("_i") == F.col("_j"), F.array(F.struct("_i", "_j"))).otherwise(
+        F.array(F.struct("_i", "_j"), F.struct(F.col("_j").alias("_i"), F.col("_i").alias("_j")))
+    )
+    ordered = full.select(F.explode(both).alias("_c"), "corr")
+    return ordered.select(
+        names[F.col("_c._i")].alias("a"), names[F.col("_c._j")].alias("b"), "corr"
     )
-    cell = lambda a, b, v: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), v.alias("corr"))
-    cells = [cell(a, b, F.col(f"_p{i}")) for i, (a, b) in enumerate(pairs)]
-    cells += [cell(b, a, F.col(f"_p{i}")) for i, (a, b) in enumerate(pairs)]
-    cells += [cell(c, c, F.when(F.col(f"_v{i}") > 0, 1.0)) for i, c in enumerate(columns)]
-    return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
 def high_corr_pairs(matrix: DataFrame, limit: float = 0.9) -> DataFrame:
@@ -155,8 +169,6 @@ def return_histogram(
     Values are counted per group after a combine step; the group's range is
     attached with a salted join, so one very large group stays spread out.
     """
-    from tidemark.operators.frames import attach_group_value
-
     present = bars.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     limits = present.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     joined = attach_group_value(present, limits, by, "_v")
@@ -179,55 +191,65 @@ def return_histogram(
 
 
 def exact_quantiles(
-    values: DataFrame, probs: Sequence[float], by: Sequence[str], value: str = "value"
+    values: DataFrame,
+    probs: Sequence[float],
+    by: Sequence[str],
+    value: str = "value",
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group without sorting a group in one task.
 
-    Equal values are first combined to (value, count). A mergeable sketch cuts
-    each group's value range into buckets of similar weight; running counts over
-    the few buckets give each bucket its offset, and ranks are taken within
-    buckets only. The sketch steers the cut, never the result.
+    A mergeable sketch brackets each wanted rank between two values. Everything
+    below a bracket is only counted, equal values inside are combined to (value,
+    count), and ranks are taken inside the bracket: about ``10 / accuracy`` of the
+    group. A rank outside its bracket, which the sketch rules out, would raise.
     """
     present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    cuts = [i / SPLITTERS for i in range(1, SPLITTERS)]
-    sketch = present.groupBy(*by).agg(F.percentile_approx("_v", cuts, 1000).alias("_cuts"))
-    distinct = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    from tidemark.operators.frames import attach_group_value
-
-    placed = attach_group_value(distinct, sketch, by, "_v").withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    margin = SKETCH_MARGIN / accuracy
+    lows = [max(p - margin, 0.0) for p in probs]
+    highs = [min(p + margin, 1.0) for p in probs]
+    sketch = present.groupBy(*by).agg(
+        F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
+        F.count(F.lit(1)).alias("_total"),
     )
-    per_bucket = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_in"))
-    group = Window.partitionBy(*by)
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *by,
-        "_bucket",
-        F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_start"),
-        F.sum("_in").over(group).alias("_total"),
+    placed = attach_group_value(present, sketch, by, "_v")
+    v, q, n = F.col("_v"), F.col("_q"), len(probs)
+    spots = [
+        F.when(
+            v <= q[n + i],
+            F.struct(F.lit(i).alias("i"), F.when(v >= q[i], v).alias("v")),
+        )
+        for i in range(n)
+    ]
+    inside = (
+        placed.select(*by, "_total", F.explode(F.array_compact(F.array(*spots))).alias("_s"))
+        .groupBy(*by, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total"))
+    )
+    # The count below the bracket sits in the row without a value and sorts first.
+    upto = (
+        Window.partitionBy(*by, "_i")
+        .orderBy(F.col("_v").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_v")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.join(offsets, [*by, "_bucket"]).withColumn(
-        "_last", F.col("_start") + F.sum("_n").over(upto) - 1
+    prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")]
+    ranked = inside.withColumns(
+        {"_last": F.sum("_n").over(upto) - 1, "_at": (F.col("_total") - 1) * prob}
     )
     first = F.col("_last") - F.col("_n") + 1
-    holds = lambda rank: (first <= rank) & (F.col("_last") >= rank)
-    pick = []
-    for i, p in enumerate(probs):
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        pick.append(F.max(F.when(holds(F.floor(at)), F.col("_v"))).alias(f"_lo{i}"))
-        pick.append(F.max(F.when(holds(F.ceil(at)), F.col("_v"))).alias(f"_hi{i}"))
-    picked = ranked.groupBy(*by).agg(F.max("_total").alias("_total"), *pick)
-
-    def interpolated(i: int, p: float) -> Column:
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        return lo + (hi - lo) * (at - F.floor(at))
-
-    return picked.select(
-        *by, F.array(*[interpolated(i, p) for i, p in enumerate(probs)]).alias("quantiles")
+    holds = lambda rank: (first <= rank) & (F.col("_last") >= rank) & F.col("_v").isNotNull()
+    picked = ranked.groupBy(*by, "_i").agg(
+        F.max("_at").alias("_at"),
+        F.max(F.when(holds(F.floor("_at")), F.col("_v"))).alias("_lo"),
+        F.max(F.when(holds(F.ceil("_at")), F.col("_v"))).alias("_hi"),
     )
+    lo, hi = F.col("_lo"), F.col("_hi")
+    exact = F.when(
+        lo.isNull() | hi.isNull(), F.raise_error(F.lit("quantile rank outside its bracket"))
+    ).otherwise(lo + (hi - lo) * (F.col("_at") - F.floor("_at")))
+    point = F.struct(F.col("_i"), exact.cast("double").alias("q"))
+    listed = picked.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_points"))
+    return listed.select(*by, F.transform("_points", lambda x: x["q"]).alias("quantiles"))
 
 
 PROFILE_QUANTILES = (0.25, 0.5, 0.75)

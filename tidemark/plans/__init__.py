@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 SECTIONS = (
-    "bar_queries", "feature_queries",
+    "bar_queries", "feature_queries", "profile_queries", "monitor_queries",
 
 )
 

@@ -88,12 +88,12 @@ def ohlcv_bars(spark, sf):
 @query(
     sql_round(
         "SELECT series, bar, close, adj_close, volume, ret FROM supplier_curated",
-        ("close", "adj_close", "volume", "ret"),
+        ("ret",),
         SUPPLIER_BASE,
     )
 )
 def log_returns(spark, sf):
-    return rounded(supplier_curated(spark, sf))
+    return rounded(supplier_curated(spark, sf), exact=("close", "adj_close", "volume"))
 
 
 @query(

@@ -15,12 +15,15 @@ from tidemark.sources import tables
 DIGITS = 8
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round floating columns so results compare exactly with the SQL twin."""
+def rounded(df: DataFrame, digits: int = DIGITS, exact: Sequence[str] = ()) -> DataFrame:
+    """Round floating columns so results compare exactly with the SQL twin.
+
+    Columns in ``exact`` come from exact sums and one division; they stay as they are.
+    """
     return df.select(
         [
             F.round(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
+            if isinstance(f.dataType, T.DoubleType) and f.name not in exact
             else F.col(f.name)
             for f in df.schema.fields
         ]
