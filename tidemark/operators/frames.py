@@ -40,6 +40,13 @@ def time_slot(order: str, days: int = SLOT_DAYS) -> Column:
     return F.floor(day / F.lit(days)).cast("long")
 
 
+def _slot(order: str, slot: Column | int | None) -> Column:
+    """A caller's slot column, or time slots of the given number of days."""
+    if isinstance(slot, Column):
+        return slot
+    return time_slot(order, SLOT_DAYS if slot is None else slot)
+
+
 def slot_offsets(df: DataFrame, keys: Sequence[str], slot: Column) -> DataFrame:
     """One row per (keys, slot): its row count, first 0-based row number and the key's total."""
     counts = df.groupBy(*keys, slot.alias(SLOT)).agg(F.count(F.lit(1)).alias("_n"))
@@ -60,7 +67,7 @@ def number_rows(
     order: str,
     *,
     grain: str | None = None,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
     position: str = "position",
     total: str = "total",
 ) -> DataFrame:
@@ -73,7 +80,7 @@ def number_rows(
                 total: F.count(F.lit(1)).over(w),
             }
         )
-    slot = time_slot(order) if slot is None else slot
+    slot = _slot(order, slot)
     offsets = slot_offsets(df, keys, slot).select(
         *keys, SLOT, "_first", F.col("_total").alias(total)
     )
@@ -94,14 +101,14 @@ def halo_chunks(
     ahead: int = 0,
     *,
     rows: int = ROWS_PER_CHUNK,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
 ) -> DataFrame:
     """Assign rows to chunks, with copies wherever a frame of another chunk can reach.
 
     Adds ``_chunk`` (partition windows by it) and ``_home`` (keep rows where the
     two agree). Series of at most ``rows`` rows stay whole in chunk 0.
     """
-    slot = time_slot(order) if slot is None else slot
+    slot = _slot(order, slot)
     own = F.floor(F.col("_first") / F.lit(rows)).cast("long")
     last_reader = F.floor((F.col("_first") + F.col("_n") - 1 + back) / F.lit(rows)).cast("long")
     by_slot = Window.partitionBy(*keys).orderBy(SLOT)
@@ -144,7 +151,7 @@ def over_rows(
     ahead: int = 0,
     grain: str | None = None,
     rows: int = ROWS_PER_CHUNK,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
 ) -> DataFrame:
     """Add window columns, step by step, over rows ordered within ``keys``.
 
@@ -171,14 +178,14 @@ def running_sum(
     out: str,
     *,
     grain: str | None = None,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
 ) -> DataFrame:
     """Running total from the start of each series (nulls add nothing)."""
     upto = (Window.unboundedPreceding, Window.currentRow)
     if is_bounded(grain):
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*upto)
         return df.withColumn(out, F.sum(value).over(w))
-    slot = time_slot(order) if slot is None else slot
+    slot = _slot(order, slot)
     tagged = df.withColumns({SLOT: slot, "_v": value})
     sums = tagged.groupBy(*keys, SLOT).agg(F.sum("_v").alias("_s"))
     before = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)

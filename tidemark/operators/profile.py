@@ -339,7 +339,7 @@ def cumulative_return(
     keys: Sequence[str] = ("series",),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
 ) -> DataFrame:
     """Growth of one unit since the first bar; null where the return is null.
 
@@ -360,7 +360,7 @@ def warmup_check(
     keys: Sequence[str] = (),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | None = None,
+    slot: Column | int | None = None,
 ) -> DataFrame:
     """First valid position, null count and nulls after the first valid row, per column."""
     numbered = number_rows(df, keys, order, grain=grain, slot=slot)

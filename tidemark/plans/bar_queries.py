@@ -208,9 +208,7 @@ def halo_rolling_max(spark, sf):
         f = rolling.frame(w, 60)
         return {"max_60": rolling.gated(F.max("value").over(f), f, 60, F.col("value"))}
 
-    from tidemark.operators.frames import time_slot
-
-    out = over_rows(events, [], "bar", [top], back=59, rows=4096, slot=time_slot("bar", 1))
+    out = over_rows(events, [], "bar", [top], back=59, rows=4096, slot=1)
     return rounded(out.select("bar", "max_60"))
 
 
@@ -222,11 +220,9 @@ def halo_rolling_max(spark, sf):
 )
 def halo_running_sum(spark, sf):
     """Running total of one long series from per-slot totals."""
-    from tidemark.operators.frames import time_slot
-
     events = table(spark, sf, "events").select(F.col("ts").alias("bar"), "value")
     out = running_sum(
-        events, [], "bar", F.col("value"), "running_value", slot=time_slot("bar", 1)
+        events, [], "bar", F.col("value"), "running_value", slot=1
     )
     return rounded(out.select("bar", "running_value"))
 
