@@ -1,3 +1,5 @@
+import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -111,8 +113,8 @@ def test_normaliser_flattens_headers_and_falls_back_to_close(spark):
 
 
 def test_bars_from_ticks(spark):
-    t = pd.Timestamp("2024-01-01")
-    rows = [("a", t + pd.Timedelta(minutes=m), float(v)) for m, v in ((5, 3), (1, 9), (59, 4), (61, 7))]
+    t = days(1)[0]
+    rows = [("a", t + datetime.timedelta(minutes=m), float(v)) for m, v in ((5, 3), (1, 9), (59, 4), (61, 7))]
     df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, v double")
     out = table(b.ohlcv_bars(df, series="s", ts="ts", value="v", every="hour"), "bar")
     assert out[["open", "high", "low", "close", "volume"]].values.tolist() == [

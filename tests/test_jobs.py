@@ -3,7 +3,6 @@
 import datetime
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,8 +257,8 @@ def test_feature_stream_processes_arrivals_once(spark, tmp_path):
 
 
 def test_streaming_bars_ignore_late_ticks(spark, tmp_path):
-    t = pd.Timestamp("2024-01-01")
-    tick = lambda m, v: ("a", t + pd.Timedelta(minutes=m), float(v))
+    t = days(1)[0]
+    tick = lambda m, v: ("a", t + datetime.timedelta(minutes=m), float(v))
     schema = "s string, ts timestamp, v double"
     src = str(tmp_path / "ticks")
     batches = [[tick(1, 1), tick(30, 2)], [tick(70, 5), tick(200, 6)], [tick(40, 99), tick(201, 7)], [tick(400, 1)]]

@@ -214,10 +214,12 @@ def exact_quantiles(
     )
     placed = attach_group_value(present, sketch, by, "_v")
     v, q, n = F.col("_v"), F.col("_q"), len(probs)
+    # In a small group the margin is less than a whole rank: all of it is the bracket.
+    small = F.col("_total") < accuracy
     spots = [
         F.when(
-            v <= q[n + i],
-            F.struct(F.lit(i).alias("i"), F.when(v >= q[i], v).alias("v")),
+            small | (v <= q[n + i]),
+            F.struct(F.lit(i).alias("i"), F.when(small | (v >= q[i]), v).alias("v")),
         )
         for i in range(n)
     ]
