@@ -16,9 +16,7 @@ moments (pairwise form), so a constant frame keeps a variance of exactly zero.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import combinations
-from operator import add
 
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
@@ -26,6 +24,20 @@ from pyspark.sql import functions as F
 from tidemark.functions.rolling import frame, gated
 
 MAX_BLOCKS = 4
+SHORTEST = 4
+
+
+def chain(n: int) -> tuple[int, ...]:
+    """Nested windows ending in ``n``, each 2, 3 or 4 times the one before.
+
+    A length without such factors is a chain of itself: one plain frame.
+    """
+    out = [n]
+    while True:
+        block = next((k for k in (3, 2) if out[0] % k == 0 and out[0] // k >= SHORTEST), None)
+        if block is None:
+            return tuple(out)
+        out.insert(0, out[0] // block)
 
 
 def nests(windows: Sequence[int]) -> bool:
@@ -37,26 +49,20 @@ def state(name: str, n: int, part: str) -> str:
     return f"_{name}_{part}{n}"
 
 
-def _both(pair: tuple[Column, Column]) -> tuple[Column, Column]:
-    a, b = pair
-    complete = a.isNotNull() & b.isNotNull()
-    return F.when(complete, a), F.when(complete, b)
-
-
 class Ladder:
     """Steps for :func:`tidemark.operators.frames.over_rows` over nested ``windows``.
 
-    ``sums`` and ``maxima`` map names to columns, ``pairs`` maps names to the two
-    columns of a correlation. Results are read with :meth:`total`, :meth:`peak`
-    and :meth:`corr`.
+    ``sums`` and ``maxima`` map names to SQL expressions, ``pairs`` maps names to
+    the two columns of a correlation. Results are read with :meth:`total`,
+    :meth:`peak`, :meth:`variance` and :meth:`corr`.
     """
 
     def __init__(
         self,
         windows: Sequence[int],
-        sums: Mapping[str, Column] | None = None,
-        maxima: Mapping[str, Column] | None = None,
-        pairs: Mapping[str, tuple[Column, Column]] | None = None,
+        sums: Mapping[str, str] | None = None,
+        maxima: Mapping[str, str] | None = None,
+        pairs: Mapping[str, tuple[str, str]] | None = None,
     ):
         if not nests(windows):
             raise ValueError(f"windows {tuple(windows)} do not nest")
@@ -76,20 +82,28 @@ class Ladder:
     def peak(self, name: str, n: int) -> Column:
         return F.col(state(name, n, "x"))
 
+    def variance(self, name: str, n: int) -> Column:
+        """Population variance of the first column of a pair."""
+        return F.col(state(name, n, "va")) / n
+
     def corr(self, name: str, n: int) -> Column:
-        m2a, m2b, co = (F.col(state(name, n, p)) for p in ("va", "vb", "co"))
-        return F.try_divide(co, F.sqrt(m2a) * F.sqrt(m2b))
+        m2a, m2b, co = (state(name, n, p) for p in ("va", "vb", "co"))
+        return F.expr(f"try_divide({co}, sqrt({m2a}) * sqrt({m2b}))")
 
     def _base(self, w: WindowSpec) -> dict[str, Column]:
         n = self.windows[0]
         f = frame(w, n)
         cols = {}
-        for name, x in self.sums.items():
+        for name, sql in self.sums.items():
+            x = F.expr(sql)
             cols[state(name, n, "s")] = gated(F.sum(x).over(f), f, n, x)
-        for name, x in self.maxima.items():
+        for name, sql in self.maxima.items():
+            x = F.expr(sql)
             cols[state(name, n, "x")] = gated(F.max(x).over(f), f, n, x)
-        for name, pair in self.pairs.items():
-            a, b = _both(pair)
+        for name, (first, second) in self.pairs.items():
+            both = f"{first} IS NOT NULL AND {second} IS NOT NULL"
+            a = F.expr(f"CASE WHEN {both} THEN {first} END")
+            b = F.expr(f"CASE WHEN {both} THEN {second} END")
             full = lambda value: gated(value.over(f), f, n, a)
             cols[state(name, n, "ma")] = full(F.avg(a))
             cols[state(name, n, "mb")] = full(F.avg(b))
@@ -115,34 +129,38 @@ class Ladder:
     def _merged(self, shorter: int, longer: int):
         blocks = longer // shorter
 
-        def parts(name: str, kind: str) -> list[Column]:
+        def parts(name: str, kind: str) -> list[str]:
             base = state(name, shorter, kind)
-            return [F.col(base), *(F.col(f"{base}_lag{j}") for j in range(1, blocks))]
+            return [base, *(f"{base}_lag{j}" for j in range(1, blocks))]
 
         def step(_w: WindowSpec) -> dict[str, Column]:
-            cols = {}
+            sql = {}
             for name in self.sums:
-                cols[state(name, longer, "s")] = reduce(add, parts(name, "s"))
+                sql[state(name, longer, "s")] = " + ".join(parts(name, "s"))
             for name in self.maxima:
                 xs = parts(name, "x")
-                present = reduce(lambda a, b: a & b, [x.isNotNull() for x in xs])
-                cols[state(name, longer, "x")] = F.when(present, F.greatest(*xs))
+                present = " AND ".join(f"{x} IS NOT NULL" for x in xs)
+                sql[state(name, longer, "x")] = (
+                    f"CASE WHEN {present} THEN greatest({', '.join(xs)}) END"
+                )
             for name in self.pairs:
                 ma, mb = parts(name, "ma"), parts(name, "mb")
-                gaps = [(ma[i] - ma[j], mb[i] - mb[j]) for i, j in combinations(range(blocks), 2)]
-                weight = shorter / blocks
-                between = lambda terms: reduce(add, terms) * weight
-                cols[state(name, longer, "ma")] = reduce(add, ma) / blocks
-                cols[state(name, longer, "mb")] = reduce(add, mb) / blocks
-                cols[state(name, longer, "va")] = reduce(add, parts(name, "va")) + between(
-                    [a * a for a, _ in gaps]
-                )
-                cols[state(name, longer, "vb")] = reduce(add, parts(name, "vb")) + between(
-                    [b * b for _, b in gaps]
-                )
-                cols[state(name, longer, "co")] = reduce(add, parts(name, "co")) + between(
-                    [a * b for a, b in gaps]
-                )
-            return cols
+                gaps = [
+                    (f"({ma[i]} - {ma[j]})", f"({mb[i]} - {mb[j]})")
+                    for i, j in combinations(range(blocks), 2)
+                ]
+                between = {
+                    "va": " + ".join(f"{a} * {a}" for a, _ in gaps),
+                    "vb": " + ".join(f"{b} * {b}" for _, b in gaps),
+                    "co": " + ".join(f"{a} * {b}" for a, b in gaps),
+                }
+                for kind, means in (("ma", ma), ("mb", mb)):
+                    sql[state(name, longer, kind)] = f"({' + '.join(means)}) / {blocks}D"
+                for kind, spread in between.items():
+                    within = " + ".join(parts(name, kind))
+                    sql[state(name, longer, kind)] = (
+                        f"{within} + ({spread}) * {shorter / blocks!r}D"
+                    )
+            return {name: F.expr(text) for name, text in sql.items()}
 
         return step

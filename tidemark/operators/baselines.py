@@ -78,9 +78,10 @@ def garch_grid(
     v, a, b = F.col("variance"), F.col("alpha"), F.col("beta")
     after = lambda h, x: v * (1.0 - a - b) + a * x * x + b * h
     in_order = Window.partitionBy(*by, "alpha", "beta").orderBy("chunk")
-    runs = runs.withColumn("_out", F.aggregate("xs", v, after)).withColumn(
-        "_in", F.coalesce(F.lag("_out").over(in_order), v)
-    )
+    followed = F.col("n") > rows * (F.col("chunk") + 1)
+    runs = runs.withColumn(
+        "_out", F.when(followed, F.aggregate("xs", v, after))
+    ).withColumn("_in", F.coalesce(F.lag("_out").over(in_order), v))
     start = F.struct(F.col("_in").alias("h"), F.lit(0.0).alias("ll"))
     walk = F.aggregate(
         "xs",
@@ -149,7 +150,8 @@ def arma_grid(
         return F.aggregate("xs", start, step)
 
     in_order = Window.partitionBy(*by, "phi", "theta").orderBy("chunk")
-    runs = runs.withColumn("_out", walk(F.lit(0.0))["e"]).withColumn(
+    followed = F.col("n") > rows * (F.col("chunk") + 1)
+    runs = runs.withColumn("_out", F.when(followed, walk(F.lit(0.0))["e"])).withColumn(
         "_in", F.coalesce(F.lag("_out").over(in_order), F.lit(0.0))
     )
     walked = runs.withColumn("_w", walk(c("_in")))

@@ -197,14 +197,12 @@ def wide_features(
 
     ``keys`` separates universes when the table holds more than one.
     """
-    ret, tlt, hyg = F.col("spy_ret"), F.col("tlt_ret"), F.col("hyg_ret")
-
-    price = F.col("spy_adj_close")
+    ret, price = F.col("spy_ret"), F.col("spy_adj_close")
     ladder = Ladder(
         VOL_WINDOWS,
-        sums={"r": ret, "rr": ret * ret},
-        maxima={"px": price},
-        pairs={"tlt": (ret, tlt), "hyg": (ret, hyg)},
+        sums={"r": "spy_ret", "rr": "spy_ret * spy_ret"},
+        maxima={"px": "spy_adj_close"},
+        pairs={"tlt": ("spy_ret", "tlt_ret"), "hyg": ("spy_ret", "hyg_ret")},
     )
 
     def collect(_w) -> dict[str, Column]:
@@ -276,9 +274,9 @@ def universe_features(
 
     ladder = Ladder(
         VOL_WINDOWS,
-        sums={"r": ret, "rr": ret * ret},
-        maxima={"px": F.col("adj_close")},
-        pairs={"b": (ret, other)},
+        sums={"r": "ret", "rr": "ret * ret"},
+        maxima={"px": "adj_close"},
+        pairs={"b": ("ret", "_bench")},
     )
 
     def collect(_w) -> dict[str, Column]:

@@ -210,15 +210,24 @@ def last_rows(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFra
 
 
 def attach_group_value(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread_by: str, salts: int = 16
+    rows: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    salts: int = 16,
+    *,
+    few: bool = False,
 ) -> DataFrame:
     """Join one row per group onto all rows of the group, hot groups included.
 
     Rows of a group are spread over ``salts`` partitions by a hash of
     ``spread_by``; the one-row side is copied to each. A salted key is needed
     because adaptive skew splitting does not apply below an aggregate on the same
-    keys.
+    keys. ``few`` states that the groups are named by the plan, not by the data
+    (column names, say); only then is their table broadcast.
     """
+    if few:
+        return rows.join(F.broadcast(groups), list(keys))
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
     copies = groups.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))

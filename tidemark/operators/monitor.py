@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import rolling
+from tidemark.functions.ladder import Ladder, chain
 from tidemark.functions.scalars import (
     HIT_TOLERANCE,
     benchmark_status as status_of,
@@ -135,36 +135,42 @@ def rolling_metrics(
 ) -> DataFrame:
     """Metrics of every full window of ``n`` scored rows, labelled by its last bar."""
     complete = scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
+    rel = _relative(y, p)
     rows = complete.select(
         *by,
         order,
-        y,
+        F.col(y).alias("_y"),
         (_error(y, p) ** 2).alias("_sq"),
         F.abs(_error(y, p)).alias("_abs"),
-        _relative(y, p).alias("_rel"),
-        _hit(y, p).alias("_hit"),
+        F.coalesce(rel, F.lit(0.0)).alias("_rel"),
+        F.coalesce(_hit(y, p), F.lit(0.0)).alias("_hit"),
+        rel.isNotNull().cast("int").alias("_has_rel"),
     )
+    names = ("_sq", "_abs", "_rel", "_hit", "_has_rel")
+    ladder = Ladder(chain(n), sums={c[1:]: c for c in names}, pairs={"y": ("_y", "_y")})
+    total = {c: ladder.total(c[1:], n) for c in names}
 
-    def frames(w):
-        f = rolling.frame(w, n)
+    def collect(_w):
+        mse = total["_sq"] / n
         return {
-            "window_size": F.count(F.lit(1)).over(f),
-            "_mse": F.avg("_sq").over(f),
-            "mae": F.avg("_abs").over(f),
-            "_var": F.var_pop(y).over(f),
-            "_mape": F.avg("_rel").over(f),
-            "hit_rate": F.avg("_hit").over(f),
+            "rmse": F.sqrt(mse),
+            "mae": total["_abs"] / n,
+            "r2": 1.0 - F.try_divide(mse, ladder.variance("y", n)),
+            "mape": F.try_divide(total["_rel"], total["_has_rel"]) * 100.0,
+            "hit_rate": F.try_divide(total["_hit"], total["_has_rel"]),
         }
 
-    out = over_rows(rows, by, order, [frames], back=n - 1, grain=grain, **chunking)
-    return out.where(F.col("window_size") == n).select(
+    out = over_rows(
+        rows, by, order, [*ladder.steps(), collect], back=n - 1, grain=grain, **chunking
+    )
+    return out.where(F.col("rmse").isNotNull()).select(
         *by,
         F.col(order).alias("end_bar"),
-        "window_size",
-        F.sqrt("_mse").alias("rmse"),
+        F.lit(n).cast("long").alias("window_size"),
+        "rmse",
         "mae",
-        (1.0 - F.try_divide("_mse", "_var")).alias("r2"),
-        (F.col("_mape") * 100.0).alias("mape"),
+        "r2",
+        "mape",
         "hit_rate",
     )
 
@@ -213,6 +219,10 @@ def forecast_percentile(
 ) -> DataFrame:
     """Share of the known actuals strictly below the latest forecast, in percent."""
     latest = scored.groupBy(*by).agg(F.max_by(p, order).alias("volatility"))
+    return _percentile(scored, latest, by, order, y)
+
+
+def _percentile(scored, latest, by, order, y) -> DataFrame:
     history = scored.where(F.col(y).isNotNull()).select(*by, order, y)
     joined = attach_group_value(history, latest, by, order)
     below = (F.col(y) < F.col("volatility")).cast("double")
@@ -249,7 +259,8 @@ def current_forecast(
 ) -> DataFrame:
     """One record per group: latest forecast with regime, trend and percentile."""
     record = trend(scored, by, order=order)
-    rank = forecast_percentile(scored, by, order=order).select(*by, "percentile")
+    latest = record.select(*by, "volatility")
+    rank = _percentile(scored, latest, by, order, "rv_5d").select(*by, "percentile")
     return record.join(rank, list(by), "left").select(
         *by,
         "last_bar",

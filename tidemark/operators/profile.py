@@ -196,6 +196,7 @@ def exact_quantiles(
     by: Sequence[str],
     value: str = "value",
     accuracy: int = SKETCH_ACCURACY,
+    few: bool = False,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group without sorting a group in one task.
 
@@ -212,7 +213,7 @@ def exact_quantiles(
         F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
         F.count(F.lit(1)).alias("_total"),
     )
-    placed = attach_group_value(present, sketch, by, "_v")
+    placed = attach_group_value(present, sketch, by, "_v", few=few)
     v, q, n = F.col("_v"), F.col("_q"), len(probs)
     # In a small group the margin is less than a whole rank: all of it is the bracket.
     small = F.col("_total") < accuracy
@@ -267,7 +268,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quantiles = exact_quantiles(long, PROFILE_QUANTILES, ["column"])
+    quantiles = exact_quantiles(long, PROFILE_QUANTILES, ["column"], few=True)
     q = F.col("quantiles")
     return stats.join(quantiles, "column").select(
         "column",

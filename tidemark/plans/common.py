@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import rolling
 from tidemark.operators import features, labels
-from tidemark.operators.monitor import attach_actuals
+from tidemark.operators.frames import over_rows
 from tidemark.sources import tables
 
 DIGITS = 8
@@ -244,9 +245,6 @@ MODELS = ("half_vol_20", "vol_5")
 
 def scored_wide(spark: SparkSession, sf: str) -> DataFrame:
     """(series, bar, rv_5d, half_vol_20, vol_5): label and both forecasts side by side."""
-    from tidemark.operators.frames import over_rows
-    from tidemark.functions import rolling
-
     curated = tables.supplier_curated(spark, sf).select("series", "bar", "ret")
     ret = F.col("ret")
     steps = [
@@ -260,29 +258,28 @@ def scored_wide(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("series", "bar", "rv_5d", "half_vol_20", "vol_5")
 
 
-def forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    """(series, bar, model, prediction): full frames only."""
-    wide = scored_wide(spark, sf)
-    return _unpivot(wide).select("series", "bar", "model", "prediction")
-
-
-def actuals(spark: SparkSession, sf: str) -> DataFrame:
-    return scored_wide(spark, sf).select("series", "bar", "rv_5d")
-
-
 def _unpivot(wide: DataFrame) -> DataFrame:
     long = wide.unpivot(["series", "bar", "rv_5d"], list(MODELS), "model", "prediction")
     return long.where(F.col("prediction").isNotNull())
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecasts with their actuals attached (null while the future is unknown)."""
-    return attach_actuals(forecasts(spark, sf), actuals(spark, sf))
+    """Forecasts with their actuals (null while the future is unknown), from one pass."""
+    return _unpivot(scored_wide(spark, sf))
 
 
 def known(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecasts whose actual is known, straight from one pass over the bars."""
-    return _unpivot(scored_wide(spark, sf)).where(F.col("rv_5d").isNotNull())
+    """Forecasts whose actual is known."""
+    return scored(spark, sf).where(F.col("rv_5d").isNotNull())
+
+
+def forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """(series, bar, model, prediction): full frames only."""
+    return scored(spark, sf).select("series", "bar", "model", "prediction")
+
+
+def actuals(spark: SparkSession, sf: str) -> DataFrame:
+    return scored_wide(spark, sf).select("series", "bar", "rv_5d")
 
 
 SCORED_WIDE = (

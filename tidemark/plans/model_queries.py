@@ -10,6 +10,7 @@ from tidemark.plans.common import (
     LINE_GRAIN,
     SUPPLIER_ALL,
     rounded,
+    scored_wide,
     supplier_features,
 )
 from tidemark.sources import store
@@ -146,7 +147,7 @@ _GARCH = ", ".join(
   FROM walk WHERE t = n GROUP BY series"""
 )
 def garch_grid(spark, sf):
-    master = supplier_features(spark, sf, label=True).select("series", "bar", "rv_5d")
+    master = store.stored(scored_wide(spark, sf).select("series", "bar", "rv_5d"), "labels")
     grid = baselines.garch_grid(master, "rv_5d", grain=LINE_GRAIN)
     best = baselines.garch_best(grid)
     return rounded(best.withColumn("loglik", F.round("loglik", 6)))
@@ -177,7 +178,7 @@ _ARMA = ", ".join(f"({p}::DOUBLE, {t}::DOUBLE)" for p in baselines.ARMA_GRID for
   FROM walk WHERE t = n GROUP BY series"""
 )
 def arma_grid(spark, sf):
-    master = supplier_features(spark, sf, label=True).select("series", "bar", "rv_5d")
+    master = store.stored(scored_wide(spark, sf).select("series", "bar", "rv_5d"), "labels")
     grid = baselines.arma_grid(master, "rv_5d", grain=LINE_GRAIN)
     return rounded(baselines.arma_best(grid))
 

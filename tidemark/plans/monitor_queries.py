@@ -9,15 +9,14 @@ from tidemark.plans.common import (
     KNOWN,
     LINE_GRAIN,
     SCORED_ALL,
-    SUPPLIER_BASE,
+    actuals,
     forecasts,
     known,
     rounded,
     scored,
     sql_round,
-    actuals as actual_labels,
 )
-from tidemark.sources import tables
+from tidemark.sources import store
 
 QUERIES, ORACLE = {}, {}
 BENCHMARK_END = "1999-01-01"  # forecasts before this day form the benchmark
@@ -109,7 +108,7 @@ CURRENT = f"""current AS (
     )
 )
 def pred_vs_actual(spark, sf):
-    return rounded(scored(spark, sf))
+    return rounded(monitor.attach_actuals(forecasts(spark, sf), actuals(spark, sf)))
 
 
 @query(
@@ -252,9 +251,8 @@ def current_forecast(spark, sf):
   UNION ALL SELECT series, model, 'RMSE', 'WARNING' FROM joined WHERE status = 'ACCEPTABLE'"""
 )
 def insights(spark, sf):
-    notes = monitor.insights(
-        monitor.current_forecast(scored(spark, sf)), comparison(spark, sf)
-    )
+    table = store.stored(scored(spark, sf), "scored")
+    notes = monitor.insights(monitor.current_forecast(table), comparison(spark, sf))
     return notes.drop("message")
 
 
@@ -306,7 +304,8 @@ def monitor_document(spark, sf):
     bench = monitor.regression_metrics(early).select(
         "series", "model", F.col("rmse").alias("test_rmse")
     )
-    docs = monitor.monitor_documents(scored(spark, sf), bench)
+    table = store.stored(scored(spark, sf), "scored")
+    docs = monitor.monitor_documents(table, bench)
     d = docs.select("series", "model", F.from_json("monitor", DOCUMENT).alias("d"), "alerts")
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
     return rounded(
@@ -407,7 +406,8 @@ def threshold_alerts(spark, sf):
     )
 )
 def residual_stats(spark, sf):
-    return rounded(profile.residual_stats(known(spark, sf), ["series", "model"]))
+    table = store.stored(known(spark, sf), "scored")
+    return rounded(profile.residual_stats(table, ["series", "model"]))
 
 
 _PROBS = tuple(i / 10 for i in range(1, 10))
@@ -425,7 +425,8 @@ _PROBS = tuple(i / 10 for i in range(1, 10))
     )
 )
 def residual_quantiles(spark, sf):
-    out = profile.residual_quantiles(known(spark, sf), ["model"])
+    table = store.stored(known(spark, sf), "scored")
+    out = profile.residual_quantiles(table, ["model"])
     return rounded(out.drop("normal"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import prep, split
 from tidemark.operators.features import SERIES_FEATURES
+from tidemark.sources import store
 from tidemark.plans.common import LINE_GRAIN, SUPPLIER_ALL, rounded, sql_round, supplier_features
 
 QUERIES, ORACLE = {}, {}
@@ -40,6 +41,12 @@ MEANS = (
 SPLIT_CTES = (*SUPPLIER_ALL, SPLIT, CLEAN, MEANS)
 
 
+def stored_master(spark, sf):
+    """The master table is read several times per query, so it is written first."""
+    wanted = supplier_features(spark, sf, label=True).select("series", "bar", "rv_5d", *COLUMNS)
+    return store.stored(wanted, "master")
+
+
 def split_master(spark, sf, clean: bool = True):
     master = supplier_features(spark, sf, label=True)
     return split.time_split(
@@ -132,7 +139,7 @@ def feature_means(spark, sf):
 )
 def impute_means(spark, sf):
     """Every master row imputed with the train means of its series."""
-    master = supplier_features(spark, sf, label=True)
+    master = stored_master(spark, sf)
     rows = split.time_split(master, features=COLUMNS, keys=["series"], grain=LINE_GRAIN)
     means = prep.feature_means(rows.where("split = 'train'"), COLUMNS, by=["series"])
     wanted = master.select("series", "bar", *COLUMNS)
@@ -152,7 +159,9 @@ def impute_means(spark, sf):
     )
 )
 def standardize(spark, sf):
-    rows = split_master(spark, sf)
+    rows = split.time_split(
+        stored_master(spark, sf), features=COLUMNS, keys=["series"], grain=LINE_GRAIN
+    )
     stats = prep.scale_stats(rows.where("split = 'train'"), COLUMNS, by=["series"])
     wanted = rows.select("series", "bar", *COLUMNS)
     return rounded(prep.standardize(wanted, stats, COLUMNS, by=["series"]))
