@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -204,6 +205,7 @@ def exact_quantiles(
     below a bracket is only counted, equal values inside are combined to (value,
     count), and ranks are taken inside the bracket: about ``10 / accuracy`` of the
     group. A rank outside its bracket, which the sketch rules out, would raise.
+    ``few`` states that the groups are named by the plan (see attach_group_value).
     """
     present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     margin = SKETCH_MARGIN / accuracy
@@ -217,30 +219,35 @@ def exact_quantiles(
     v, q, n = F.col("_v"), F.col("_q"), len(probs)
     # In a small group the margin is less than a whole rank: all of it is the bracket.
     small = F.col("_total") < accuracy
-    spots = [
-        F.when(
-            small | (v <= q[n + i]),
-            F.struct(F.lit(i).alias("i"), F.when(small | (v >= q[i]), v).alias("v")),
-        )
-        for i in range(n)
-    ]
+    under = [~small & (v < q[i]) for i in range(n)]
+    within = [small | ((v >= q[i]) & (v <= q[n + i])) for i in range(n)]
+    below = placed.groupBy(*by).agg(
+        F.max("_total").alias("_total"), F.array(*[F.count_if(u) for u in under]).alias("_below")
+    )
+    spots = F.array_compact(F.array(*[F.when(w, F.lit(i)) for i, w in enumerate(within)]))
     inside = (
-        placed.select(*by, "_total", F.explode(F.array_compact(F.array(*spots))).alias("_s"))
-        .groupBy(*by, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total"))
+        placed.where(reduce(lambda a, b: a | b, within))
+        .select(*by, "_v", F.explode(spots).alias("_i"))
+        .groupBy(*by, "_i", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    # The count below the bracket sits in the row without a value and sorts first.
     upto = (
         Window.partitionBy(*by, "_i")
-        .orderBy(F.col("_v").asc_nulls_first())
+        .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    counted = inside.withColumn("_seen", F.sum("_n").over(upto)).join(
+        F.broadcast(below) if few else below, list(by)
+    )
     prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")]
-    ranked = inside.withColumns(
-        {"_last": F.sum("_n").over(upto) - 1, "_at": (F.col("_total") - 1) * prob}
+    ranked = counted.withColumns(
+        {
+            "_last": F.col("_below")[F.col("_i")] + F.col("_seen") - 1,
+            "_at": (F.col("_total") - 1) * prob,
+        }
     )
     first = F.col("_last") - F.col("_n") + 1
-    holds = lambda rank: (first <= rank) & (F.col("_last") >= rank) & F.col("_v").isNotNull()
+    holds = lambda rank: (first <= rank) & (F.col("_last") >= rank)
     picked = ranked.groupBy(*by, "_i").agg(
         F.max("_at").alias("_at"),
         F.max(F.when(holds(F.floor("_at")), F.col("_v"))).alias("_lo"),
