@@ -15,6 +15,10 @@ def days(n, start=START, step=dt.timedelta(days=1)):
     return [start + i * step for i in range(n)]
 
 
+def span(n):
+    return dt.timedelta(days=n)
+
+
 def walk(n=100, base=100.0, sd=2.0, seed=42):
     """Price path: base plus a running sum of normal steps, kept positive."""
     steps = np.random.default_rng(seed).normal(0, sd, n)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from frames_util import bars, days, same, table, walk
+from frames_util import bars, days, same, span, table, walk
 from tidemark.operators import bars as b
 from tidemark.operators import features as f
 from tidemark.operators import labels
@@ -172,7 +172,7 @@ def test_chunked_features_equal_plain_ones(spark):
     curated = b.log_returns(df, grain="day")
     plain = table(f.feature_set(curated, grain="day"), "bar")
     for rows, slot_days in ((16, 1), (64, 8), (70, 32)):
-        cut = f.feature_set(curated, rows=rows, slot=slot_days)
+        cut = f.feature_set(curated, rows=rows, slot=span(slot_days))
         got = table(cut, "bar")
         for c in f.FEATURE_COLUMNS:
             same(got[c], plain[c], 1e-10)
@@ -220,7 +220,7 @@ def test_chunked_label_looks_ahead_across_chunks(spark, rows, slot_days):
     values = list(np.random.default_rng(2).normal(0, 0.01, 90))
     df = rets_frame(spark, values)
     plain = table(labels.forward_rv(df, ret="ret", grain="day"), "bar")
-    cut = labels.forward_rv(df, ret="ret", keys=["series"], rows=rows, slot=slot_days)
+    cut = labels.forward_rv(df, ret="ret", keys=["series"], rows=rows, slot=span(slot_days))
     got = table(cut, "bar")
     same(got["rv_5d"], plain["rv_5d"], 0)
 
@@ -238,6 +238,6 @@ def test_over_rows_without_keys_matches_pandas(spark):
     x = walk(500, seed=9)
     df = bars(spark, {"S": x}).select("bar", "adj_close")
     step = lambda w: {"m": F.max("adj_close").over(w.rowsBetween(-9, 0))}
-    out = table(over_rows(df, [], "bar", [step], back=9, rows=32, slot=4), "bar")
+    out = table(over_rows(df, [], "bar", [step], back=9, rows=32, slot=span(4)), "bar")
     assert len(out) == 500
     same(out["m"], pd.Series(x).rolling(10, min_periods=1).max(), 0)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from frames_util import bars, days, same, table, walk
+from frames_util import bars, days, same, span, table, walk
 from tidemark.operators import bars as b
 from tidemark.operators import profile
 from tidemark.operators.frames import (
@@ -31,7 +31,7 @@ def uneven(spark):
 @pytest.mark.parametrize("slot_days", [1, 7, 40, 400])
 def test_two_pass_row_numbers_are_exact(spark, slot_days):
     df = uneven(spark)
-    got = table(number_rows(df, ["series"], "bar", slot=slot_days), "series", "bar")
+    got = table(number_rows(df, ["series"], "bar", slot=span(slot_days)), "series", "bar")
     want = table(number_rows(df, ["series"], "bar", grain="day"), "series", "bar")
     assert got["position"].tolist() == want["position"].tolist()
     assert got["total"].tolist() == want["total"].tolist()
@@ -42,7 +42,7 @@ def test_two_pass_row_numbers_are_exact(spark, slot_days):
 def test_running_sum_from_slot_totals(spark, slot_days):
     df = uneven(spark).withColumn("x", F.when(F.col("x") % 7 != 0, F.col("x")))
     args = (["series"], "bar", F.col("x"), "total")
-    got = table(running_sum(df, *args, slot=slot_days), "series", "bar")
+    got = table(running_sum(df, *args, slot=span(slot_days)), "series", "bar")
     want = table(running_sum(df, *args, grain="day"), "series", "bar")
     same(got["total"], want["total"])
 
@@ -51,7 +51,7 @@ def test_running_sum_from_slot_totals(spark, slot_days):
 @pytest.mark.parametrize("rows, slot_days", [(16, 1), (20, 30), (50, 7)])
 def test_every_row_has_one_home_and_its_whole_reach(spark, back, ahead, rows, slot_days):
     df = uneven(spark)
-    out = halo_chunks(df, ["series"], "bar", back, ahead, rows=rows, slot=slot_days)
+    out = halo_chunks(df, ["series"], "bar", back, ahead, rows=rows, slot=span(slot_days))
     got = table(out.where("series = 'long'"), CHUNK, "bar")
     homes = got[got[CHUNK] == got[HOME]]
     assert len(homes) == 300 and homes["bar"].is_unique
@@ -177,6 +177,6 @@ def test_warmup_check(spark):
     df = spark.createDataFrame(rows, "series string, bar timestamp_ntz, a double, b double")
     out = {
         r.feature: (r.first_valid, r.nulls, r.nulls_after_first)
-        for r in profile.warmup_check(df, ["a", "b"], keys=["series"], slot=2).collect()
+        for r in profile.warmup_check(df, ["a", "b"], keys=["series"], slot=span(2)).collect()
     }
     assert out == {"a": (4, 4, 1), "b": (1, 0, 0)}

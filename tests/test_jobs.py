@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from frames_util import bars, days, same, table, walk
+from frames_util import bars, days, same, span, table, walk
 from test_features import five_series
 from tidemark.operators import bars as b
 from tidemark.operators import features as f
@@ -26,7 +26,7 @@ def since(df, day):
 CUT = str(days(200)[150])
 
 
-@pytest.mark.parametrize("options", [{"grain": "day"}, {"rows": 32, "slot": 4}])
+@pytest.mark.parametrize("options", [{"grain": "day"}, {"rows": 32, "slot": span(4)}])
 def test_incremental_returns_equal_full(spark, options):
     _, df = five_series(spark, n=200, gaps=(("SPY", 149), ("TLT", 150)))
     full = since(b.log_returns(df, grain="day"), CUT)
@@ -53,7 +53,7 @@ def test_incremental_features_equal_full_and_fill_gaps(spark):
     assert incremental.incremental_features(curated, empty, grain="day").count() == 199
 
 
-@pytest.mark.parametrize("options", [{"grain": "day"}, {"rows": 16, "slot": 2}])
+@pytest.mark.parametrize("options", [{"grain": "day"}, {"rows": 16, "slot": span(2)}])
 def test_master_upsert_equals_full(spark, options):
     rng = np.random.default_rng(8)
     rows = [(s, t, float(v)) for s in ("a", "b") for t, v in zip(days(60), rng.normal(0, 0.01, 60))]
@@ -104,7 +104,7 @@ def test_ingest_range_modes(spark):
     assert run(day(19), none) == (None, None, "up_to_date")
 
 
-@pytest.mark.parametrize("options", [{"grain": "day"}, {"slot": 3}])
+@pytest.mark.parametrize("options", [{"grain": "day"}, {"slot": span(3)}])
 def test_hold_out_split(spark, options):
     rows = [("a", t, float(i), float(i)) for i, t in enumerate(days(100))]
     df = spark.createDataFrame(rows, "series string, bar timestamp_ntz, x double, rv_5d double")
@@ -131,7 +131,7 @@ def test_walk_forward_split(spark, n, fraction):
 
 def test_expanding_folds(spark):
     df = bars(spark, {"a": walk(23)})
-    folds = split.ts_folds(df, 5, keys=["series"], slot=4)
+    folds = split.ts_folds(df, 5, keys=["series"], slot=span(4))
     out = table(split.fold_table(folds, ["series"]), "fold")
     assert out["train_rows"].tolist() == [8, 11, 14, 17, 20]
     assert out["test_rows"].tolist() == [3] * 5

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from frames_util import days, same, table
+from frames_util import days, same, span, table
 from tidemark.functions import scalars
 from tidemark.operators import baselines, ensemble, models, monitor, profile, split
 
@@ -53,7 +53,7 @@ def test_overall_recent_and_rolling_metrics(spark):
         same([recent[k]], [v])
     few = monitor.recent_metrics(scored_frame(spark, y[:7], p[:7])).first()
     assert few.n == 7
-    for options in ({"grain": "day"}, {"rows": 40, "slot": 3}):
+    for options in ({"grain": "day"}, {"rows": 40, "slot": span(3)}):
         roll = table(monitor.rolling_metrics(df, **options), "end_bar")
         assert len(roll) == 51 and (roll["window_size"] == 30).all()
         for i in (0, 20, 50):
@@ -371,7 +371,7 @@ def test_garch_chunks_equal_the_sequential_recursion(spark):
     x = np.random.default_rng(5).normal(0.02, 0.01, 3000)
     rows = [("s", t, float(v)) for t, v in zip(days(3000, step=datetime.timedelta(hours=1)), x)]
     df = spark.createDataFrame(rows, "series string, bar timestamp_ntz, v double")
-    for options in ({"grain": "hour"}, {"rows": 900, "slot": 5}):
+    for options in ({"grain": "hour"}, {"rows": 900, "slot": span(5)}):
         grid = baselines.garch_grid(df, "v", alphas=(0.05, 0.1), betas=(0.7, 0.9), **options)
         for r in grid.collect():
             same([r.loglik, r.next_variance], garch_direct(x, r.alpha, r.beta), 1e-9)
@@ -390,7 +390,7 @@ def test_arma_chunks_equal_the_sequential_recursion(spark):
     rows = [("s", t, float(v)) for t, v in zip(days(1000), x)]
     df = spark.createDataFrame(rows, "series string, bar timestamp_ntz, v double")
     z = x - x.mean()
-    for options in ({"grain": "day"}, {"rows": 300, "slot": 10}):
+    for options in ({"grain": "day"}, {"rows": 300, "slot": span(10)}):
         grid = baselines.arma_grid(df, "v", grid=(-0.4, 0.0, 0.6), **options)
         for r in grid.collect():
             e, prev, sse = 0.0, 0.0, 0.0

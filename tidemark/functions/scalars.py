@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the monitoring rules.
 REGIME_LIMITS = ((0.015, "LOW"), (0.03, "NORMAL"), (0.05, "ELEVATED"))
@@ -12,6 +13,7 @@ STATUS_LIMITS = ((10.0, "GOOD"), (30.0, "ACCEPTABLE"))
 STATUS_TOP = "DEGRADED"
 TREND_LIMIT = 10.0
 HIT_TOLERANCE = 0.20
+_CLOCK = ("hour", "minute", "second")
 
 
 def log_return(price: Column, previous: Column) -> Column:
@@ -66,8 +68,23 @@ def signed_percent_text(pct: Column) -> Column:
     return F.format_string("%+.1f percent", pct)
 
 
+def bar_start(ts: Column, every: str, kind: T.DataType) -> Column:
+    """Start of the hour, day, week, ... that holds ``ts``, in the type of ``ts``.
+
+    Times without zone are truncated by date arithmetic: ``date_trunc`` would pass
+    through the session zone, whose daylight-saving gap shifts them.
+    """
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.date_trunc(every, ts).cast(kind)
+    day = F.to_date(ts)
+    if every in _CLOCK:
+        parts = [F.hour(ts), F.minute(ts), F.second(ts)][: _CLOCK.index(every) + 1]
+        return day.cast(kind) + F.make_dt_interval(F.lit(0), *parts)
+    return (day if every == "day" else F.trunc(day, every)).cast(kind)
+
+
 def iso_date(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.to_date(ts).cast("string")
 
 
 def partition_value(folder: Column, key: str = "date") -> Column:

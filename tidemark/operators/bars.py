@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import log_return
+from tidemark.functions.scalars import bar_start, log_return
 from tidemark.operators.frames import over_rows
 
 # Fixed column names of a raw bar.
@@ -73,7 +73,7 @@ def ohlcv_bars(
     volume = F.count(F.lit(1)) if volume is None else volume
     bars = df.groupBy(
         F.col(series).alias("series"),
-        F.date_trunc(every, at).cast(df.schema[ts].dataType).alias("bar"),
+        bar_start(at, every, df.schema[ts].dataType).alias("bar"),
     ).agg(
         F.min_by(v, at).alias("open"),
         F.max(v).alias("high"),
@@ -106,7 +106,7 @@ def vwap_bars(
     return (
         df.groupBy(
             series.alias("series"),
-            F.date_trunc(every, F.col(ts)).cast(df.schema[ts].dataType).alias("bar"),
+            bar_start(F.col(ts), every, df.schema[ts].dataType).alias("bar"),
         )
         .agg(F.sum(minor).alias("_amount"), F.sum(quantity).alias("volume"))
         .select("series", "bar", close.alias("close"), close.alias("adj_close"), "volume")

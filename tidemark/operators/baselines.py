@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.frames import attach_group_value, number_rows
+from tidemark.operators.frames import Slot, attach_group_value, number_rows
 
 ROWS = 4096
 GARCH_ALPHAS = (0.02, 0.05, 0.1, 0.2)
@@ -65,7 +65,7 @@ def garch_grid(
     betas: Sequence[float] = GARCH_BETAS,
     rows: int = ROWS,
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Log likelihood of variance-targeted GARCH(1,1) for every stable (alpha, beta).
 
@@ -124,7 +124,7 @@ def arma_grid(
     grid: Sequence[float] = ARMA_GRID,
     rows: int = ROWS,
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Conditional sum of squares of ARMA(1,1) for every (phi, theta) on the grid.
 

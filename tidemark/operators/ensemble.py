@@ -367,8 +367,6 @@ def feature_overlap(top: DataFrame) -> DataFrame:
 
 def feature_intersection(top: DataFrame, models: Sequence[str]) -> DataFrame:
     """Features listed by every one of the named models."""
-    sets = [top.where(F.col("model") == m).select("feature") for m in models]
-    out = sets[0]
-    for s in sets[1:]:
-        out = out.intersect(s)
-    return out
+    listed = top.where(F.col("model").isin(list(models)))
+    counts = listed.groupBy("feature").agg(F.count_distinct("model").alias("_models"))
+    return counts.where(F.col("_models") == len(set(models))).select("feature")

@@ -4,7 +4,8 @@ A window partitioned by series alone puts a whole series into one task. That is
 safe only when the number of rows per series has a fixed bound. Bars of an hour
 or longer have one: a (series, bar) pair is unique, so two hundred years are at
 most 1.8 million hourly rows. Callers state this with ``grain``. Without it the
-functions here cut every long series into chunks of about ``rows`` rows:
+functions here cut every long series into chunks of about ``rows`` rows (``slot``
+sets the length of the time slots; by default it follows from the data):
 
 * rows are counted per (series, time slot) -- a small, map-side combined table;
 * running totals over that table give each slot its exact row offset;
@@ -17,39 +18,59 @@ The offsets are exact for any gaps, so the chunked result equals the plain one.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BOUNDED_GRAINS = ("hour", "day", "week", "month", "quarter", "year")
 ROWS_PER_CHUNK = 262_144
-SLOT_DAYS = 32
+SLOTS_PER_CHUNK = 16
 
 CHUNK, HOME, SLOT = "_chunk", "_home", "_slot"
 
 Step = Callable[[WindowSpec], dict[str, Column]]
+Slot = Column | timedelta | None
 
 
 def is_bounded(grain: str | None) -> bool:
     return grain in BOUNDED_GRAINS
 
 
-def time_slot(order: str, days: int = SLOT_DAYS) -> Column:
-    """Slot number of a date or timestamp; monotone in time and free of time-zone shifts."""
-    day = F.date_diff(F.to_date(F.col(order)), F.lit("1970-01-01").cast("date"))
-    return F.floor(day / F.lit(days)).cast("long")
+def _seconds(order: str) -> Column:
+    """Whole seconds of a date or time, monotone and free of time-zone shifts."""
+    at = F.col(order)
+    day = F.date_diff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("long")
+    clock = at.cast("timestamp_ntz")
+    return day * 86_400 + F.hour(clock) * 3_600 + F.minute(clock) * 60 + F.second(clock)
 
 
-def _slot(order: str, slot: Column | int | None) -> Column:
-    """A caller's slot column, or time slots of the given number of days."""
-    if isinstance(slot, Column):
-        return slot
-    return time_slot(order, SLOT_DAYS if slot is None else slot)
+def time_slot(order: str, length: timedelta) -> Column:
+    """Number of the time slot of the given length that holds a row."""
+    return F.floor(_seconds(order) / F.lit(int(length.total_seconds()))).cast("long")
 
 
-def slot_offsets(df: DataFrame, keys: Sequence[str], slot: Column) -> DataFrame:
+def even_slot(df: DataFrame, order: str, rows: int) -> Column:
+    """Slots that hold about ``rows`` rows on average: the more data, the shorter a slot.
+
+    The length comes from the table's row count and time span, one second at least.
+    """
+    span = F.max(_seconds(order)) - F.min(_seconds(order)) + 1
+    length = df.select(F.greatest(F.lit(1.0), span * rows / F.count(F.lit(1)))).scalar()
+    return F.floor(_seconds(order) / length).cast("long")
+
+
+def _with_slot(df: DataFrame, order: str, slot: Slot, rows: int) -> DataFrame:
+    if isinstance(slot, timedelta):
+        slot = time_slot(order, slot)
+    elif slot is None:
+        slot = even_slot(df, order, max(1, rows // SLOTS_PER_CHUNK))
+    return df.withColumn(SLOT, slot)
+
+
+def slot_offsets(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per (keys, slot): its row count, first 0-based row number and the key's total."""
-    counts = df.groupBy(*keys, slot.alias(SLOT)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = tagged.groupBy(*keys, SLOT).agg(F.count(F.lit(1)).alias("_n"))
     per_key = Window.partitionBy(*keys)
     upto = per_key.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
     return counts.select(
@@ -67,7 +88,7 @@ def number_rows(
     order: str,
     *,
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
     position: str = "position",
     total: str = "total",
 ) -> DataFrame:
@@ -80,14 +101,13 @@ def number_rows(
                 total: F.count(F.lit(1)).over(w),
             }
         )
-    slot = _slot(order, slot)
-    offsets = slot_offsets(df, keys, slot).select(
+    tagged = _with_slot(df, order, slot, ROWS_PER_CHUNK)
+    offsets = slot_offsets(tagged, keys).select(
         *keys, SLOT, "_first", F.col("_total").alias(total)
     )
     within = Window.partitionBy(*keys, SLOT).orderBy(order)
     return (
-        df.withColumn(SLOT, slot)
-        .join(offsets, [*keys, SLOT])
+        tagged.join(offsets, [*keys, SLOT])
         .withColumn(position, F.col("_first") + F.row_number().over(within))
         .drop(SLOT, "_first")
     )
@@ -101,19 +121,19 @@ def halo_chunks(
     ahead: int = 0,
     *,
     rows: int = ROWS_PER_CHUNK,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Assign rows to chunks, with copies wherever a frame of another chunk can reach.
 
     Adds ``_chunk`` (partition windows by it) and ``_home`` (keep rows where the
     two agree). Series of at most ``rows`` rows stay whole in chunk 0.
     """
-    slot = _slot(order, slot)
+    tagged = _with_slot(df, order, slot, rows)
     own = F.floor(F.col("_first") / F.lit(rows)).cast("long")
     last_reader = F.floor((F.col("_first") + F.col("_n") - 1 + back) / F.lit(rows)).cast("long")
     by_slot = Window.partitionBy(*keys).orderBy(SLOT)
     long_series = (
-        slot_offsets(df, keys, slot)
+        slot_offsets(tagged, keys)
         .where(F.col("_total") > rows)
         .withColumns({HOME: own, "_hi": last_reader, "_lo": own})
     )
@@ -129,8 +149,7 @@ def halo_chunks(
         )
     copies = long_series.select(*keys, SLOT, HOME, F.sequence("_lo", "_hi").alias("_readers"))
     return (
-        df.withColumn(SLOT, slot)
-        .join(copies, [*keys, SLOT], "left")
+        tagged.join(copies, [*keys, SLOT], "left")
         .withColumns(
             {
                 CHUNK: F.explode(F.coalesce("_readers", F.array(F.lit(0).cast("long")))),
@@ -151,7 +170,7 @@ def over_rows(
     ahead: int = 0,
     grain: str | None = None,
     rows: int = ROWS_PER_CHUNK,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Add window columns, step by step, over rows ordered within ``keys``.
 
@@ -178,15 +197,14 @@ def running_sum(
     out: str,
     *,
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Running total from the start of each series (nulls add nothing)."""
     upto = (Window.unboundedPreceding, Window.currentRow)
     if is_bounded(grain):
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(*upto)
         return df.withColumn(out, F.sum(value).over(w))
-    slot = _slot(order, slot)
-    tagged = df.withColumns({SLOT: slot, "_v": value})
+    tagged = _with_slot(df.withColumn("_v", value), order, slot, ROWS_PER_CHUNK)
     sums = tagged.groupBy(*keys, SLOT).agg(F.sum("_v").alias("_s"))
     before = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*keys, SLOT, F.sum("_s").over(before).alias("_start"))

@@ -185,13 +185,16 @@ def ingest_range(
     manifest: DataFrame, partitions: DataFrame, default_start, today, *, by: str = "date"
 ) -> DataFrame:
     """One row (start, end, mode): manifest first, then partitions, then the default start."""
-    known = manifest.agg(F.max(by).alias("_m")).select(F.lit(1).alias("_k"), "_m")
-    on_disk = partitions.agg(F.max(by).alias("_p")).select(F.lit(1).alias("_k"), "_p")
+    tagged = manifest.select(F.col(by).alias("_d"), F.lit("m").alias("_from")).unionByName(
+        partitions.select(F.col(by).alias("_d"), F.lit("p").alias("_from"))
+    )
+    latest = lambda source: F.max(F.when(F.col("_from") == source, F.col("_d")))
+    marks = tagged.agg(latest("m").alias("_m"), latest("p").alias("_p"))
     last = F.coalesce("_m", "_p")
     end = F.lit(today).cast("date")
     start = F.coalesce(F.date_add(last, 1), F.lit(default_start).cast("date"))
     done = last.isNotNull() & (start >= end)
-    return known.join(on_disk, "_k").select(
+    return marks.select(
         F.when(~done, start).alias("start"),
         F.when(~done, end).alias("end"),
         F.when(last.isNull(), "full")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio
-from tidemark.operators.frames import attach_group_value, number_rows, running_sum
+from tidemark.operators.frames import Slot, attach_group_value, number_rows, running_sum
 
 SKETCH_ACCURACY = 10_000
 SKETCH_MARGIN = 5  # bracket half-width in units of the sketch's guaranteed rank error
@@ -349,7 +349,7 @@ def cumulative_return(
     keys: Sequence[str] = ("series",),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Growth of one unit since the first bar; null where the return is null.
 
@@ -370,7 +370,7 @@ def warmup_check(
     keys: Sequence[str] = (),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """First valid position, null count and nulls after the first valid row, per column."""
     numbered = number_rows(df, keys, order, grain=grain, slot=slot)

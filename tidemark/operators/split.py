@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.frames import number_rows
+from tidemark.operators.frames import Slot, number_rows
 
 TEST_ROWS = 30
 VAL_FRACTION = 0.2
@@ -29,7 +29,7 @@ def time_split(
     keys: Sequence[str] = (),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Add ``split``: the last rows are test, a share of the rest (at least one row) is val.
 
@@ -69,7 +69,7 @@ def walk_forward_split(
     keys: Sequence[str] = (),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Add ``split``: the first ``floor(n * fraction)`` rows are train, the rest val."""
     rows = number_rows(df, keys, order, grain=grain, slot=slot, position="_pos", total="_total")
@@ -95,7 +95,7 @@ def ts_folds(
     keys: Sequence[str] = (),
     order: str = "bar",
     grain: str | None = None,
-    slot: Column | int | None = None,
+    slot: Slot = None,
 ) -> DataFrame:
     """Add ``test_fold`` (0..k) of an expanding-window cross validation.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars
@@ -208,7 +210,7 @@ def halo_rolling_max(spark, sf):
         f = rolling.frame(w, 60)
         return {"max_60": rolling.gated(F.max("value").over(f), f, 60, F.col("value"))}
 
-    out = over_rows(events, [], "bar", [top], back=59, rows=4096, slot=1)
+    out = over_rows(events, [], "bar", [top], back=59, rows=4096)
     return rounded(out.select("bar", "max_60"))
 
 
@@ -222,7 +224,7 @@ def halo_running_sum(spark, sf):
     """Running total of one long series from per-slot totals."""
     events = table(spark, sf, "events").select(F.col("ts").alias("bar"), "value")
     out = running_sum(
-        events, [], "bar", F.col("value"), "running_value", slot=1
+        events, [], "bar", F.col("value"), "running_value", slot=timedelta(hours=1)
     )
     return rounded(out.select("bar", "running_value"))
 

@@ -18,6 +18,7 @@ from tidemark.plans.common import (
     sql_round,
     supplier_features,
 )
+from tidemark.sources import store
 from tidemark.sources.tables import table
 
 QUERIES, ORACLE = {}, {}
@@ -399,7 +400,8 @@ def importance(spark, sf):
 
 
 def top(spark, sf):
-    return ensemble.top_features(importance(spark, sf))
+    """Top lists; the importance table is small and read several times, so it is written."""
+    return ensemble.top_features(store.stored(importance(spark, sf), "importance"))
 
 
 @query(sql_round("SELECT * FROM top", ("importance",), IMPORTANCE_CTES))

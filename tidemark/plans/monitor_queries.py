@@ -339,7 +339,7 @@ def runs(spark, sf):
     per_year = monitor.regression_metrics(
         rows.select(
             F.col("series").cast("string").alias("experiment"),
-            F.date_format("bar", "yyyy").alias("run_id"),
+            F.year("bar").cast("string").alias("run_id"),
             "rv_5d",
             "prediction",
         ),

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import iso_date, partition_value
+from tidemark.functions.scalars import bar_start, iso_date, partition_value
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -47,7 +47,7 @@ def write_partitions(
     the worst layout for a long table. Rows are rebalanced by the key, which
     splits a partition that is far larger than the rest over several files.
     """
-    key = F.date_trunc(unit, F.col(order)) if unit else F.col(order)
+    key = bar_start(F.col(order), unit, df.schema[order].dataType) if unit else F.col(order)
     (
         df.withColumn(by, iso_date(key) if by != order or unit else F.col(order))
         .hint("rebalance", F.col(by))
