@@ -404,3 +404,34 @@ def test_arma_chunks_equal_the_sequential_recursion(spark):
     first = b.phi * b.last_x + b.theta * b.last_e
     steps = table(baselines.arma_forecast(best, 3), "step")["forecast"]
     same(steps, [b.mean + first, b.mean + b.phi * first, b.mean + b.phi**2 * first])
+
+
+def test_experiment_runs_are_logged_and_compared(spark, tmp_path):
+    from tidemark.sources import runs
+
+    path = str(tmp_path / "runs")
+    for run_id, rmse in (("r1", 2.0), ("r2", 1.0)):
+        record = runs.run_record(
+            spark, "e", params={"depth": 3}, metrics={"rmse": rmse}, artifacts=[("m", "model")],
+            run_id=run_id,
+        )
+        runs.log_run(record, path)
+    runs.log_run(runs.run_record(spark, "other", metrics={"rmse": 9.0}), path)
+    stored = runs.load_runs(spark, path)
+    assert stored.count() == 3 and runs.load_runs(spark, path, "e").count() == 2
+    newest = runs.latest_runs(runs.load_runs(spark, path, "e")).first()
+    assert newest.run_id == "r2" and newest.params == {"depth": "3"}
+    assert newest.artifacts[0].description == "model"
+    change = monitor.compare_runs(stored).first()
+    assert (change["diff"], change.pct_change) == (-1.0, -50.0)
+
+
+def test_stack_of_three_and_refit(spark):
+    x, y, df = regression_frame(spark, 150)
+    model = models.stack_models(df, ["a", "b", "c"], alpha=0.5)
+    xc, yc = x - x.mean(0), y - y.mean()
+    same(model.coefficients.toArray(), np.linalg.solve(xc.T @ xc + 0.5 * np.eye(3), xc.T @ yc), 1e-7)
+    stopped = spark.createDataFrame([(1, 4, 0.5), (3, 2, 0.4)], "patience int, stopped_at int, val_rmse double")
+    small = {**models.FINAL_PARAMS, "n_estimators": 5}
+    fitted = models.refit_stopped(models.boosted(small), models.assemble(df, ["a", "b", "c"]), stopped)
+    assert fitted.getNumTrees == 2

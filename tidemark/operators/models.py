@@ -30,6 +30,8 @@ SECOND_PARAMS = {
 FOREST_PARAMS = {"n_estimators": 300, "max_depth": 5}
 RIDGE_ALPHAS = (0.1, 1.0, 10.0, 100.0, 1000.0)
 LASSO_ALPHAS = (0.0001, 0.001, 0.01)
+ELASTIC_ALPHAS, ELASTIC_RATIOS = (0.0001, 0.001), (0.2, 0.5, 0.8)
+STACK_ALPHA = 0.1
 PATIENCE = (30, 50, 100)
 HAR_COLUMNS = ("spy_vol_5d", "spy_vol_20d", "spy_vol_60d", "vix_term")
 SEED = 42
@@ -70,7 +72,12 @@ def elastic_net(alpha: float, l1_ratio: float, label: str = LABEL) -> LinearRegr
 def linear_grid(rows: int, label_std: float, label: str = LABEL) -> dict[str, LinearRegression]:
     """Named linear candidates over the tuning grids."""
     out = {f"ridge_{a:g}": ridge(a, rows, label_std, label) for a in RIDGE_ALPHAS}
-    return out | {f"lasso_{a:g}": lasso(a, label) for a in LASSO_ALPHAS}
+    out |= {f"lasso_{a:g}": lasso(a, label) for a in LASSO_ALPHAS}
+    return out | {
+        f"elastic_{a:g}_{r:g}": elastic_net(a, r, label)
+        for a in ELASTIC_ALPHAS
+        for r in ELASTIC_RATIOS
+    }
 
 
 def label_facts(train: DataFrame, label: str = LABEL) -> tuple[int, float]:
@@ -93,6 +100,15 @@ def har_rv(train: DataFrame, columns: Sequence[str] = HAR_COLUMNS, label: str =
     return linear(label, regParam=0.0).fit(assemble(rows, columns))
 
 
+def stack_models(
+    fit_rows: DataFrame, columns: Sequence[str], alpha: float = STACK_ALPHA, label: str = LABEL
+):
+    """Ridge on any number of base predictions (two have a closed form, see the ensembles)."""
+    rows = fit_rows.dropna(subset=[*columns, label])
+    n, std = label_facts(rows, label)
+    return ridge(alpha, n, std, label).fit(assemble(rows, columns))
+
+
 def coefficient_table(model, columns: Sequence[str], spark) -> DataFrame:
     """(feature, importance): coefficients or gain, one row per column."""
     values = model.coefficients if hasattr(model, "coefficients") else model.featureImportances
@@ -232,6 +248,12 @@ def early_stopping(curve: DataFrame, patience: int, by: Sequence[str] = ()) -> D
     )
 
 
+def refit_stopped(estimator: GBTRegressor, train: DataFrame, stopped: DataFrame):
+    """Fit again with the tree count of the best patience (smallest validation error)."""
+    best = stopped.orderBy("val_rmse", "stopped_at").first()
+    return estimator.copy({estimator.maxIter: best["stopped_at"]}).fit(train)
+
+
 # ---- training run -------------------------------------------------------------------
 
 
