@@ -101,7 +101,7 @@ def vwap_bars(
     Amounts are summed in whole minor units: integer sums are exact, so a bar does
     not depend on the order in which tasks deliver their partial sums.
     """
-    minor = F.round(amount * minor_units).cast("long")
+    minor = F.rint(amount * minor_units).cast("long")
     close = F.try_divide(F.col("_amount") / F.lit(float(minor_units)), F.col("volume"))
     return (
         df.groupBy(

@@ -19,11 +19,14 @@ DIGITS = 8
 def rounded(df: DataFrame, digits: int = DIGITS, exact: Sequence[str] = ()) -> DataFrame:
     """Round floating columns so results compare exactly with the SQL twin.
 
-    Columns in ``exact`` come from exact sums and one division; they stay as they are.
+    Half away from zero on the scaled value, in plain floating arithmetic. Columns in
+    ``exact`` come from exact sums and one division; they stay as they are.
     """
+    scale = f"{10**digits}D"
+    half_up = "(IF({c} < 0, -1D, 1D) * floor(abs({c}) * {s} + 0.5D)) / {s} + 0D"
     return df.select(
         [
-            F.round(F.col(f.name), digits).alias(f.name)
+            F.expr(half_up.format(c=f"`{f.name}`", s=scale)).alias(f.name)
             if isinstance(f.dataType, T.DoubleType) and f.name not in exact
             else F.col(f.name)
             for f in df.schema.fields
