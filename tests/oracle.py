@@ -83,11 +83,11 @@ def main(argv):
 
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
+        .config("spark.sql.shuffle.partitions", os.environ.get("ORACLE_PARTITIONS", "8"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

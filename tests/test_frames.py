@@ -180,3 +180,26 @@ def test_warmup_check(spark):
         for r in profile.warmup_check(df, ["a", "b"], keys=["series"], slot=span(2)).collect()
     }
     assert out == {"a": (4, 4, 1), "b": (1, 0, 0)}
+
+
+def test_degenerate_values_in_quantiles(spark):
+    rows = [("same", 1.0)] * 50 + [("big", float(v) * 1e300) for v in range(-5, 6)]
+    df = spark.createDataFrame(rows, "g string, value double")
+    out = {r.g: r.quantiles for r in profile.exact_quantiles(df, [0.1, 0.5], ["g"]).collect()}
+    same(out["same"], [1.0, 1.0])
+    same(out["big"], np.quantile(np.arange(-5, 6) * 1e300, [0.1, 0.5]))
+
+
+def test_chunks_have_a_bounded_size_under_a_hot_series(spark):
+    hot = spark.range(20000).selectExpr("'hot' AS series", "id")
+    cold = spark.range(10000).selectExpr("concat('s', id % 100) AS series", "id")
+    df = hot.unionByName(cold).selectExpr(
+        "series", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS bar", "id"
+    )
+    out = halo_chunks(df, ["series"], "bar", 59, 5, rows=1000)
+    sizes = out.groupBy("series", CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1000 + 3 * 100 + 64
+    assert out.where(F.col(CHUNK) == F.col(HOME)).count() == 30000
+    assert sizes.where("series = 'hot'").count() >= 20
+    numbered = number_rows(df, ["series"], "bar").where("series = 'hot'")
+    assert numbered.where("position <> id + 1 OR total <> 20000").count() == 0

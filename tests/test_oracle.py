@@ -13,7 +13,7 @@ from oracle import compare, duck
 SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 LEARNERS = {
-    "linear_models", "har_rv", "forest_model", "boosted_model", "train_run", "early_stopping",
+    "linear_models", "forest_model", "boosted_model", "train_run", "early_stopping",
     "grid_search", "model_importance",
 }
 

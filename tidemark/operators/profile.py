@@ -13,6 +13,7 @@ from tidemark.functions.scalars import ratio
 from tidemark.operators.frames import Slot, attach_group_value, number_rows, running_sum
 
 SKETCH_ACCURACY = 10_000
+BRACKET_STEPS = 1024
 SKETCH_MARGIN = 5  # bracket half-width in units of the sketch's guaranteed rank error
 
 
@@ -191,6 +192,13 @@ def return_histogram(
     )
 
 
+def _step(v: Column, low: Column, high: Column) -> Column:
+    """Number of the equal-width step of a bracket that holds ``v`` (clamped, monotone)."""
+    share = F.coalesce(F.try_divide(v - low, high - low), F.lit(0.0))
+    inner = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+    return F.floor(inner * F.lit(BRACKET_STEPS - 1)).cast("int")
+
+
 def exact_quantiles(
     values: DataFrame,
     probs: Sequence[float],
@@ -203,8 +211,9 @@ def exact_quantiles(
 
     A mergeable sketch brackets each wanted rank between two values. Everything
     below a bracket is only counted, equal values inside are combined to (value,
-    count), and ranks are taken inside the bracket: about ``10 / accuracy`` of the
-    group. A rank outside its bracket, which the sketch rules out, would raise.
+    count), and the bracket, about ``10 / accuracy`` of the group, is cut into steps
+    of equal width, of which only those holding a wanted rank are sorted. A rank
+    outside its bracket, which the sketch rules out, would raise.
     ``few`` states that the groups are named by the plan (see attach_group_value).
     """
     present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
@@ -224,28 +233,39 @@ def exact_quantiles(
     below = placed.groupBy(*by).agg(
         F.max("_total").alias("_total"), F.array(*[F.count_if(u) for u in under]).alias("_below")
     )
-    spots = F.array_compact(F.array(*[F.when(w, F.lit(i)) for i, w in enumerate(within)]))
+    spots = F.array_compact(
+        F.array(*[F.when(w, F.struct(F.lit(i), _step(v, q[i], q[n + i]))) for i, w in enumerate(within)])
+    )
     inside = (
         placed.where(reduce(lambda a, b: a | b, within))
-        .select(*by, "_v", F.explode(spots).alias("_i"))
-        .groupBy(*by, "_i", "_v")
+        .select(*by, "_v", F.explode(spots).alias("_s"))
+        .select(*by, "_v", F.col("_s.col1").alias("_i"), F.col("_s.col2").alias("_step"))
+        .groupBy(*by, "_i", "_step", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    upto = (
-        Window.partitionBy(*by, "_i")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = inside.withColumn("_seen", F.sum("_n").over(upto)).join(
-        F.broadcast(below) if few else below, list(by)
-    )
+    # Ranks of the bracket's steps (at most BRACKET_STEPS rows per quantile), then of
+    # the values in the one or two steps that hold the wanted rank.
+    steps = inside.groupBy(*by, "_i", "_step").agg(F.sum("_n").alias("_in"))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    in_steps = Window.partitionBy(*by, "_i").orderBy("_step").rowsBetween(*upto)
     prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")]
-    ranked = counted.withColumns(
-        {
-            "_last": F.col("_below")[F.col("_i")] + F.col("_seen") - 1,
-            "_at": (F.col("_total") - 1) * prob,
-        }
+    wanted = (
+        steps.withColumn("_through", F.sum("_in").over(in_steps))
+        .join(F.broadcast(below) if few else below, list(by))
+        .withColumns(
+            {
+                "_start": F.col("_below")[F.col("_i")] + F.col("_through") - F.col("_in"),
+                "_at": (F.col("_total") - 1) * prob,
+            }
+        )
     )
+    end = F.col("_start") + F.col("_in") - 1
+    reaches = lambda rank: (F.col("_start") <= rank) & (end >= rank)
+    wanted = wanted.where(reaches(F.floor("_at")) | reaches(F.ceil("_at")))
+    in_values = Window.partitionBy(*by, "_i", "_step").orderBy("_v").rowsBetween(*upto)
+    ranked = inside.join(
+        wanted.select(*by, "_i", "_step", "_start", "_at"), [*by, "_i", "_step"]
+    ).withColumn("_last", F.col("_start") + F.sum("_n").over(in_values) - 1)
     first = F.col("_last") - F.col("_n") + 1
     holds = lambda rank: (first <= rank) & (F.col("_last") >= rank)
     picked = ranked.groupBy(*by, "_i").agg(

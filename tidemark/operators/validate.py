@@ -102,7 +102,7 @@ def partition_rules(df: DataFrame, by: str = "date") -> DataFrame:
 def scan_partitions(
     df: DataFrame, by: str = "date", required: Sequence[str] = FEATURE_COLUMNS
 ) -> DataFrame:
-    """Bad-partition report: wrong row count, or required columns null in a whole partition."""
+    """Partitions without exactly one row, with the number of their all-null columns."""
     present = [c for c in required if c in df.columns]
     per = df.groupBy(by).agg(
         F.count(F.lit(1)).alias("rows"),

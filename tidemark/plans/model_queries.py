@@ -11,8 +11,10 @@ from tidemark.plans.common import (
     SUPPLIER_ALL,
     rounded,
     scored_wide,
+    sql_round,
     supplier_features,
 )
+from tidemark.plans.split_queries import SPLIT
 from tidemark.sources import store
 
 QUERIES, ORACLE = {}, {}
@@ -51,12 +53,47 @@ def linear_models(spark, sf):
     return models.evaluate_all(grid, rows)
 
 
-@query()
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in COLUMNS)
+
+
+@query(
+    sql_round(
+        """SELECT t.split, count(*) AS n, sqrt(avg(power(p - rv_5d, 2))) AS rmse,
+                  avg(abs(p - rv_5d)) AS mae,
+                  1 - avg(power(p - rv_5d, 2)) / var_pop(rv_5d) AS r2
+           FROM (SELECT t.*, w.my + w.w1 * (t.vol_5 - w.m1) + w.w2 * (t.vol_20 - w.m2)
+                        + w.w3 * (t.vol_60 - w.m3) AS p
+                 FROM training t CROSS JOIN weights w) t
+           GROUP BY t.split""",
+        ("rmse", "mae", "r2"),
+        (
+            *SUPPLIER_ALL,
+            SPLIT,
+            f"training AS (SELECT * FROM split WHERE {_COMPLETE})",
+            """sums AS (
+  SELECT avg(vol_5) AS m1, avg(vol_20) AS m2, avg(vol_60) AS m3, avg(rv_5d) AS my,
+         var_pop(vol_5) AS c11, covar_pop(vol_5, vol_20) AS c12, covar_pop(vol_5, vol_60) AS c13,
+         var_pop(vol_20) AS c22, covar_pop(vol_20, vol_60) AS c23, var_pop(vol_60) AS c33,
+         covar_pop(vol_5, rv_5d) AS y1, covar_pop(vol_20, rv_5d) AS y2, covar_pop(vol_60, rv_5d) AS y3
+  FROM training WHERE split = 'train')""",
+            """weights AS (
+  SELECT m1, m2, m3, my,
+         (y1 * (c22 * c33 - c23 * c23) - c12 * (y2 * c33 - c23 * y3)
+          + c13 * (y2 * c23 - c22 * y3)) / det AS w1,
+         (c11 * (y2 * c33 - y3 * c23) - y1 * (c12 * c33 - c23 * c13)
+          + c13 * (c12 * y3 - y2 * c13)) / det AS w2,
+         (c11 * (c22 * y3 - c23 * y2) - c12 * (c12 * y3 - y2 * c13)
+          + y1 * (c12 * c23 - c22 * c13)) / det AS w3
+  FROM (SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13)
+               + c13 * (c12 * c23 - c22 * c13) AS det FROM sums) d)""",
+        ),
+    )
+)
 def har_rv(spark, sf):
     """Errors of the unpenalised linear model on volatilities of three horizons."""
     rows = complete(training_table(spark, sf))
     model = models.har_rv(rows.where("split = 'train'"), HAR)
-    return models.split_metrics(model.transform(models.assemble(rows, HAR)))
+    return rounded(models.split_metrics(model.transform(models.assemble(rows, HAR))))
 
 
 @query()

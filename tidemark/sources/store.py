@@ -17,7 +17,11 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only for a local master."""
     sc = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+    named = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or sc.getConf().get(CHECKPOINT_KEY)
+        or sc.getCheckpointDir()
+    )
     if named:
         return named
     if not sc.master.startswith("local"):
