@@ -122,7 +122,9 @@ def rolling_state(
     """Rolling volatility of a stream of returns, the last rows of each series kept as state.
 
     Within a micro-batch the rows of a series are ordered by time; across batches
-    they must arrive in order. State per series is bounded by the longest window.
+    they must arrive in order. State per series is bounded by the longest window, the
+    rows a task sees at once by the source's rate limit (``maxFilesPerTrigger``). For a
+    backlog use :func:`feature_stream`, whose frames are split like any batch job's.
     """
     keep = max(windows) - 1
     kinds = {f.name: f.dataType.simpleString() for f in curated.schema.fields}
