@@ -11,7 +11,7 @@ from tidemark.functions import rolling
 from tidemark.functions.ladder import Ladder
 from tidemark.functions.scalars import ratio
 from tidemark.operators.bars import pivot_wide
-from tidemark.operators.frames import over_rows
+from tidemark.operators.frames import is_bounded, over_rows
 
 # Window lengths, symbols of the default universe, output columns.
 RETURN_WINDOWS = (1, 5, 10, 20, 60)
@@ -269,6 +269,10 @@ def universe_features(
     caller add columns (a label, say) in the same pass.
     """
     bench = benchmark.select(order, F.col("ret").alias("_bench"))
+    if is_bounded(grain):
+        # One row per bar of an hour or longer: 1.8 million rows in two centuries at most.
+        # A shuffle by bar would crowd all series into as few tasks as there are bars.
+        bench = F.broadcast(bench)
     joined = curated.join(bench, order, "left")
     ret, other = F.col("ret"), F.col("_bench")
 

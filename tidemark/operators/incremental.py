@@ -175,7 +175,11 @@ def master_upsert(
     order: str = "bar",
     **options,
 ) -> DataFrame:
-    """The master table with new rows appended and waiting labels filled in."""
+    """The master table with new rows appended and waiting labels filled in.
+
+    To update a large stored table, write :func:`master_changes` over the partitions
+    it touches instead of rewriting the whole.
+    """
     changes = master_changes(master, new_features, keys=keys, order=order, **options)
     on = [*keys, order]
     return master.join(changes.select(*on), on, "left_anti").unionByName(changes)

@@ -157,31 +157,45 @@ def split_metrics(
     return regression_metrics(scored, by, y=label, p=PREDICTION)
 
 
-def fit_score(estimator: Estimator, df: DataFrame, split: str = "split") -> DataFrame:
-    """Fit on the train rows and attach predictions to all rows."""
-    return estimator.fit(df.where(F.col(split) == "train")).transform(df)
+def _fit_all(jobs: Mapping, parallel: int) -> dict:
+    """Fit independent (estimator, train rows) jobs, submitted from a few threads."""
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip(jobs, pool.map(lambda job: job[0].fit(job[1]), jobs.values())))
+
+
+def score_all(fitted: Mapping, df: DataFrame) -> DataFrame:
+    """Predictions of every model in one pass, as columns ``_p0``, ``_p1``, ..."""
+    for i, model in enumerate(fitted.values()):
+        df = model.copy().setPredictionCol(f"_p{i}").transform(df)
+    return df
 
 
 def evaluate_all(
-    estimators: Mapping[str, Estimator], df: DataFrame, *, label: str = LABEL, parallel: int = 4
+    estimators: Mapping[str, Estimator],
+    df: DataFrame,
+    *,
+    split: str = "split",
+    label: str = LABEL,
+    parallel: int = 4,
 ) -> DataFrame:
     """(model, split, n, rmse, mae, r2) of every estimator fitted on the train rows.
 
-    Fits are independent Spark jobs submitted from a few threads; the scores of all
-    models stay one lazy union.
+    All models are scored and measured in one pass over the rows.
     """
-
-    def one(item):
-        name, estimator = item
-        scored = fit_score(estimator, df)
-        return split_metrics(scored, label=label).select(F.lit(name).alias("model"), "*")
-
-    with ThreadPoolExecutor(parallel) as pool:
-        tables = list(pool.map(one, estimators.items()))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    train = df.where(F.col(split) == "train")
+    fitted = _fit_all({name: (e, train) for name, e in estimators.items()}, parallel)
+    metrics = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.count(label).alias("n"),
+            *metric_aggregates(label, f"_p{i}"),
+        )
+        for i, name in enumerate(fitted)
+    ]
+    wide = score_all(fitted, df).groupBy(split).agg(F.array(*metrics).alias("_m"))
+    return wide.select(split, F.explode("_m").alias("_m")).select(
+        "_m.model", split, "_m.n", "_m.rmse", "_m.mae", "_m.r2"
+    )
 
 
 def grid_search(
@@ -196,21 +210,24 @@ def grid_search(
     """Expanding-window cross validation: mean and spread of the fold errors per config.
 
     Fold ``f`` trains on earlier folds only (the built-in cross validator would
-    train on later ones too).
+    train on later ones too). The configs of a fold are measured in one pass.
     """
-
-    def one(job):
-        (name, estimator), f = job
-        train = folded.where(F.col(fold) < f)
-        test = folded.where(F.col(fold) == f)
-        scored = estimator.fit(train).transform(test)
-        row = scored.agg(*metric_aggregates(label, PREDICTION)).first()
-        return name, f, row["rmse"]
-
-    with ThreadPoolExecutor(parallel) as pool:
-        rows = list(pool.map(one, product(estimators.items(), range(1, k + 1))))
-    spark = folded.sparkSession
-    per_fold = spark.createDataFrame(rows, "config string, fold int, rmse double")
+    folds = range(1, k + 1)
+    jobs = {
+        (name, f): (e, folded.where(F.col(fold) < f))
+        for name, e in estimators.items()
+        for f in folds
+    }
+    fitted = _fit_all(jobs, parallel)
+    rows = []
+    for f in folds:
+        models = {name: fitted[name, f] for name in estimators}
+        errors = [
+            metric_aggregates(label, f"_p{i}")[0].alias(f"_e{i}") for i in range(len(models))
+        ]
+        found = score_all(models, folded.where(F.col(fold) == f)).agg(*errors).first()
+        rows += [(name, f, found[f"_e{i}"]) for i, name in enumerate(models)]
+    per_fold = folded.sparkSession.createDataFrame(rows, "config string, fold int, rmse double")
     return per_fold.groupBy("config").agg(
         F.avg("rmse").alias("mean_rmse"),
         F.stddev_pop("rmse").alias("std_rmse"),

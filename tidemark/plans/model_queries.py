@@ -140,8 +140,8 @@ def grid_search(spark, sf):
     folded = split.ts_folds(rows, 3, keys=["series"], grain=LINE_GRAIN)
     scaled = models.scaled_split(folded, COLUMNS)
     n, std = models.label_facts(scaled)
-    grid = models.linear_grid(n, std)
-    return models.grid_search(grid, models.assemble(folded, COLUMNS), 3)
+    grid = {a: e for a, e in models.linear_grid(n, std).items() if not a.startswith("elastic")}
+    return rounded(models.grid_search(grid, scaled, 3))
 
 
 @query()
