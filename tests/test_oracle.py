@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from oracle import compare, duck
 
 SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.plans.collect("QUERIES"), entry.plans.collect("ORACLE")
 LEARNERS = {
     "linear_models", "forest_model", "boosted_model", "train_run", "early_stopping",
     "grid_search", "model_importance",
