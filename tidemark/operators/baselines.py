@@ -1,11 +1,11 @@
 """Volatility baselines per series on a parameter grid: GARCH(1,1) and ARMA(1,1).
 
 Both models are linear recurrences along a series. A series is cut into chunks of
-at most ``rows`` observations, so one array never exceeds that length. A chunk's
-starting state is the end state of the chunk before it, computed from that chunk
-alone: whatever precedes it is damped by ``decay ** rows``, which for the largest
-decay on the grids (0.95) and 4096 rows is below 1e-90 and vanishes in double
-precision. Hence the chunked recursion equals the sequential one.
+at most ``rows`` observations, so one array never exceeds that length. Over a chunk the
+state is an affine function of the state before it, ``a + b * state``: each chunk gives
+its ``a`` and ``b`` for every grid point, these few numbers are composed in order per
+series, and the chunks are walked once more from their exact starting states. The grid
+is walked inside the row, so the arrays are there once.
 """
 
 from __future__ import annotations
@@ -55,6 +55,25 @@ def _chunks(
     return lists.withColumn("xs", F.transform("_points", lambda p: p["x"])).drop("_points")
 
 
+def _starts(chunks: DataFrame, by: Sequence[str], maps: Column, first: Column) -> DataFrame:
+    """(by, chunk, _h): each chunk's starting states, composed from the chunks before it.
+
+    ``maps`` has (a, b) of the chunk for every grid point. A series has one entry for
+    ``rows`` observations in the list.
+    """
+    states = "array<struct<chunk:bigint,h:array<double>>>"
+    entry = F.struct(F.col("chunk").cast("long").alias("chunk"), maps.alias("maps"))
+    listed = chunks.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_c"), F.max(first).alias("_first"))
+
+    def step(s, c):
+        after = F.zip_with(s["h"], c["maps"], lambda h, m: m["a"] + m["b"] * h)
+        return F.struct(after.alias("h"), F.concat(s["seen"], F.array(F.struct(c["chunk"].alias("chunk"), s["h"].alias("h")))).alias("seen"))
+
+    start = F.struct(F.col("_first").alias("h"), F.array().cast(states).alias("seen"))
+    walked = listed.select(*by, F.explode(F.aggregate("_c", start, step)["seen"]).alias("_s"))
+    return walked.select(*by, F.col("_s.chunk").alias("chunk"), F.col("_s.h").alias("_h"))
+
+
 def garch_grid(
     df: DataFrame,
     value: str,
@@ -74,29 +93,39 @@ def garch_grid(
     """
     chunks = _chunks(df, value, by, order, rows, grain, slot).where("variance > 0")
     grid = _pairs(alphas, betas, ("alpha", "beta"), lambda a, b: a + b < 1)
-    runs = chunks.withColumn("_g", F.explode(grid)).select("*", "_g.*").drop("_g")
-    v, a, b = F.col("variance"), F.col("alpha"), F.col("beta")
-    after = lambda h, x: v * (1.0 - a - b) + a * x * x + b * h
-    in_order = Window.partitionBy(*by, "alpha", "beta").orderBy("chunk")
-    followed = F.col("n") > rows * (F.col("chunk") + 1)
-    runs = runs.withColumn(
-        "_out", F.when(followed, F.aggregate("xs", v, after))
-    ).withColumn("_in", F.coalesce(F.lag("_out").over(in_order), v))
-    start = F.struct(F.col("_in").alias("h"), F.lit(0.0).alias("ll"))
-    walk = F.aggregate(
-        "xs",
-        start,
-        lambda s, x: F.struct(
-            after(s["h"], x).alias("h"),
-            (s["ll"] - 0.5 * (F.ln(s["h"]) + x * x / s["h"])).alias("ll"),
+    chunks = chunks.withColumn("_grid", grid)
+    v = F.col("variance")
+
+    def after(g, h, x):
+        return v * (1.0 - g["alpha"] - g["beta"]) + g["alpha"] * x * x + g["beta"] * h
+
+    maps = F.transform(
+        "_grid",
+        lambda g: F.struct(
+            F.aggregate("xs", F.lit(0.0), lambda h, x: after(g, h, x)).alias("a"), F.pow(g["beta"], F.size("xs")).alias("b")
         ),
     )
-    walked = runs.withColumn("_w", walk)
-    return walked.groupBy(*by, "alpha", "beta").agg(
+    starts = _starts(chunks, by, maps, F.transform("_grid", lambda g: v))
+
+    def walk(g, h):
+        begin = F.struct(h.alias("h"), F.lit(0.0).alias("ll"))
+        end = F.aggregate(
+            "xs",
+            begin,
+            lambda s, x: F.struct(
+                after(g, s["h"], x).alias("h"), (s["ll"] - 0.5 * (F.ln(s["h"]) + x * x / s["h"])).alias("ll")
+            ),
+        )
+        return F.struct(g["alpha"].alias("alpha"), g["beta"].alias("beta"), end.alias("w"))
+
+    walked = chunks.join(starts, [*by, "chunk"]).select(
+        *by, "chunk", "n", "variance", F.explode(F.zip_with("_grid", "_h", walk)).alias("_r")
+    )
+    return walked.groupBy(*by, F.col("_r.alpha").alias("alpha"), F.col("_r.beta").alias("beta")).agg(
         F.max("n").alias("n"),
         F.max("variance").alias("variance"),
-        F.sum("_w.ll").alias("loglik"),
-        F.max_by("_w.h", "chunk").alias("next_variance"),
+        F.sum("_r.w.ll").alias("loglik"),
+        F.max_by("_r.w.h", "chunk").alias("next_variance"),
     )
 
 
@@ -131,36 +160,37 @@ def arma_grid(
     ``e[t] = x[t] - phi x[t-1] - theta e[t-1]`` with zero before the first row.
     """
     chunks = _chunks(df, value, by, order, rows, grain, slot)
-    pairs = _pairs(grid, grid, ("phi", "theta"), lambda a, b: True)
-    c = F.col
     in_series = Window.partitionBy(*by).orderBy("chunk")
-    chunks = chunks.withColumn("_x0", F.coalesce(F.lag(F.element_at("xs", -1)).over(in_series), F.lit(0.0)))
-    runs = chunks.withColumn("_g", F.explode(pairs)).select("*", "_g.*").drop("_g")
-    phi, theta = c("phi"), c("theta")
+    chunks = chunks.withColumns(
+        {
+            "_x0": F.coalesce(F.lag(F.element_at("xs", -1)).over(in_series), F.lit(0.0)),
+            "_grid": _pairs(grid, grid, ("phi", "theta"), lambda a, b: True),
+        }
+    )
 
-    def walk(e0: Column) -> Column:
-        start = F.struct(
-            e0.alias("e"), F.col("_x0").alias("x"), F.lit(0.0).alias("sse")
-        )
+    def walk(g, e0):
+        begin = F.struct(e0.alias("e"), F.col("_x0").alias("x"), F.lit(0.0).alias("sse"))
 
         def step(s, x):
-            e = x - phi * s["x"] - theta * s["e"]
+            e = x - g["phi"] * s["x"] - g["theta"] * s["e"]
             return F.struct(e.alias("e"), x.alias("x"), (s["sse"] + e * e).alias("sse"))
 
-        return F.aggregate("xs", start, step)
+        return F.aggregate("xs", begin, step)
 
-    in_order = Window.partitionBy(*by, "phi", "theta").orderBy("chunk")
-    followed = F.col("n") > rows * (F.col("chunk") + 1)
-    runs = runs.withColumn("_out", F.when(followed, walk(F.lit(0.0))["e"])).withColumn(
-        "_in", F.coalesce(F.lag("_out").over(in_order), F.lit(0.0))
+    maps = F.transform(
+        "_grid", lambda g: F.struct(walk(g, F.lit(0.0))["e"].alias("a"), F.pow(-g["theta"], F.size("xs")).alias("b"))
+    )
+    starts = _starts(chunks, by, maps, F.transform("_grid", lambda g: F.lit(0.0)))
+    run = F.zip_with(
+        "_grid", "_h", lambda g, e: F.struct(g["phi"].alias("phi"), g["theta"].alias("theta"), walk(g, e).alias("w"))
     )
-    walked = runs.withColumn("_w", walk(c("_in")))
-    return walked.groupBy(*by, "phi", "theta").agg(
+    walked = chunks.join(starts, [*by, "chunk"]).select(*by, "chunk", "n", "mean", F.explode(run).alias("_r"))
+    return walked.groupBy(*by, F.col("_r.phi").alias("phi"), F.col("_r.theta").alias("theta")).agg(
         F.max("n").alias("n"),
         F.max("mean").alias("mean"),
-        F.sum("_w.sse").alias("sse"),
-        F.max_by("_w.x", "chunk").alias("last_x"),
-        F.max_by("_w.e", "chunk").alias("last_e"),
+        F.sum("_r.w.sse").alias("sse"),
+        F.max_by("_r.w.x", "chunk").alias("last_x"),
+        F.max_by("_r.w.e", "chunk").alias("last_e"),
     )
 
 

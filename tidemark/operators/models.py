@@ -13,6 +13,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+import numpy as np
+
 from tidemark.operators.monitor import metric_aggregates, regression_metrics
 from tidemark.operators.prep import scale_stats, standardize
 
@@ -28,9 +30,10 @@ SECOND_PARAMS = {
     "colsample": 0.7, "min_child": 20,
 }
 FOREST_PARAMS = {"n_estimators": 300, "max_depth": 5}
-RIDGE_ALPHAS = (0.1, 1.0, 10.0, 100.0, 1000.0)
-LASSO_ALPHAS = (0.0001, 0.001, 0.01)
-ELASTIC_ALPHAS, ELASTIC_RATIOS = (0.0001, 0.001), (0.2, 0.5, 0.8)
+RIDGE_ALPHAS = (0.001, 0.01, 0.1, 1.0, 10.0, 50.0, 100.0, 1000.0)
+LASSO_ALPHAS = (0.001, 0.01, 0.1, 1.0, 10.0, 50.0, 100.0, 1000.0)
+ELASTIC_ALPHAS, ELASTIC_RATIOS = (0.001, 0.01, 0.1, 1.0, 10.0), (0.1, 0.5, 0.9)
+FOLDS = 5
 STACK_ALPHA = 0.1
 PATIENCE = (30, 50, 100)
 HAR_COLUMNS = ("spy_vol_5d", "spy_vol_20d", "spy_vol_60d", "vix_term")
@@ -65,19 +68,135 @@ def lasso(alpha: float, label: str = LABEL) -> LinearRegression:
     return linear(label, regParam=alpha, elasticNetParam=1.0)
 
 
-def elastic_net(alpha: float, l1_ratio: float, label: str = LABEL) -> LinearRegression:
-    return linear(label, regParam=alpha, elasticNetParam=l1_ratio)
+def elastic_net(alpha: float, l1_ratio: float, label_std: float, label: str = LABEL) -> LinearRegression:
+    """Half the mean squared error plus ``alpha * (r |w|_1 + (1 - r) / 2 |w|^2)``.
+
+    The solver divides the label by its standard deviation: the L1 part scales back by
+    itself, the L2 part is rescaled.
+    """
+    l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio) * label_std
+    return linear(label, regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0)
+
+
+def linear_candidates() -> dict[str, tuple[str, float, float]]:
+    """Named (family, alpha, l1 ratio) over the tuning grids."""
+    out = {f"ridge_{a:g}": ("ridge", a, 0.0) for a in RIDGE_ALPHAS}
+    out |= {f"lasso_{a:g}": ("lasso", a, 1.0) for a in LASSO_ALPHAS}
+    return out | {f"elastic_{a:g}_{r:g}": ("elastic", a, r) for a in ELASTIC_ALPHAS for r in ELASTIC_RATIOS}
 
 
 def linear_grid(rows: int, label_std: float, label: str = LABEL) -> dict[str, LinearRegression]:
-    """Named linear candidates over the tuning grids."""
-    out = {f"ridge_{a:g}": ridge(a, rows, label_std, label) for a in RIDGE_ALPHAS}
-    out |= {f"lasso_{a:g}": lasso(a, label) for a in LASSO_ALPHAS}
-    return out | {
-        f"elastic_{a:g}_{r:g}": elastic_net(a, r, label)
-        for a in ELASTIC_ALPHAS
-        for r in ELASTIC_RATIOS
+    """Estimators of the candidates for train rows with these facts."""
+    build = {
+        "ridge": lambda a, r: ridge(a, rows, label_std, label),
+        "lasso": lambda a, r: lasso(a, label),
+        "elastic": lambda a, r: elastic_net(a, r, label_std, label),
     }
+    return {name: build[family](a, r) for name, (family, a, r) in linear_candidates().items()}
+
+
+# ---- the whole linear grid from one set of moments ------------------------------------
+
+
+def moments(df: DataFrame, columns: Sequence[str], label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
+    """Rows, means and central co-moments of features and label per group: one aggregate, merged map-side.
+
+    Rows with a null among them are left out. Every penalised linear model of a group,
+    and its squared error, follows from these few numbers.
+    """
+    names = [*columns, label]
+    rows = df.dropna(subset=names)
+    pairs = [F.covar_pop(a, b) for i, a in enumerate(names) for b in names[i:]]
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in names]).alias("mean"), F.array(*pairs).alias("cov")
+    )
+
+
+def as_moment(row) -> tuple[float, np.ndarray, np.ndarray]:
+    """(n, means, covariance matrix) of a row of ``moments``."""
+    mean = np.array(row["mean"], float)
+    cov = np.zeros((len(mean), len(mean)))
+    cov[np.triu_indices(len(mean))] = row["cov"]
+    return float(row["n"]), mean, cov + np.triu(cov, 1).T
+
+
+def merged(parts: Sequence) -> tuple[float, np.ndarray, np.ndarray]:
+    """Moments of the union of disjoint groups."""
+    n, mean, cov = parts[0]
+    for m, other, spread in parts[1:]:
+        gap = other - mean
+        cov = (cov * n + spread * m + np.outer(gap, gap) * n * m / (n + m)) / (n + m)
+        mean = mean + gap * m / (n + m)
+        n += m
+    return n, mean, cov
+
+
+def penalised_weights(moment, family: str, alpha: float, l1_ratio: float) -> tuple[np.ndarray, float]:
+    """(weights, intercept) for the raw features; the penalty holds for features standardised by these moments.
+
+    Ridge in closed form; else coordinate descent on the covariances until nothing moves.
+    """
+    n, mean, cov = moment
+    p = len(mean) - 1
+    scale = np.sqrt(np.diag(cov)[:p])
+    scale = np.where(scale > 0, scale, 1.0)
+    g, c = cov[:p, :p] / np.outer(scale, scale), cov[:p, p] / scale
+    if family == "ridge":
+        w = np.linalg.solve(g + alpha / n * np.eye(p), c)
+    else:
+        l1, l2, w = alpha * l1_ratio, alpha * (1.0 - l1_ratio), np.zeros(p)
+        for _ in range(100_000):
+            moved = 0.0
+            for j in range(p):
+                rho = c[j] - g[j] @ w + g[j, j] * w[j]
+                new = np.sign(rho) * max(abs(rho) - l1, 0.0) / max(g[j, j] + l2, 1e-300)
+                moved, w[j] = max(moved, abs(new - w[j])), new
+            if moved < 1e-15:
+                break
+    w = w / scale
+    return w, float(mean[p] - w @ mean[:p])
+
+
+def squared_error(moment, weights: np.ndarray, intercept: float) -> float:
+    """Mean squared error of a linear model over the rows behind the moments."""
+    _, mean, cov = moment
+    v = np.append(-weights, 1.0)
+    return float(max(v @ cov @ v, 0.0) + (v @ mean - intercept) ** 2)
+
+
+def linear_models(df: DataFrame, columns: Sequence[str], *, split: str = "split", label: str = LABEL) -> DataFrame:
+    """(model, split, n, rmse, mae, r2) of the whole linear grid: one pass to fit, one to measure."""
+    rows = df.dropna(subset=[*columns, label])
+    train = as_moment(moments(rows.where(F.col(split) == "train"), columns, label).first())
+    metrics = []
+    for i, (name, candidate) in enumerate(linear_candidates().items()):
+        weights, intercept = penalised_weights(train, *candidate)
+        predicted = sum([F.lit(float(w)) * F.col(c) for w, c in zip(weights, columns)], F.lit(intercept))
+        rows = rows.withColumn(f"_p{i}", predicted)
+        metrics.append(F.struct(F.lit(name).alias("model"), F.count(label).alias("n"), *metric_aggregates(label, f"_p{i}")))
+    wide = rows.groupBy(split).agg(F.array(*metrics).alias("_m"))
+    return wide.select(split, F.explode("_m").alias("_m")).select("_m.model", split, "_m.n", "_m.rmse", "_m.mae", "_m.r2")
+
+
+def linear_grid_search(folded: DataFrame, columns: Sequence[str], k: int = FOLDS, *, fold: str = "test_fold", label: str = LABEL) -> DataFrame:
+    """Expanding-window cross validation of the linear grid from one aggregate: mean and spread of the fold errors.
+
+    Fold ``f`` is standardised, fitted and penalised by its own train rows, the folds before it.
+    """
+    found = {r[fold]: as_moment(r) for r in moments(folded, columns, label, [fold]).collect()}  # k + 1 rows
+    rows = []
+    for f in range(1, k + 1):
+        train = merged([found[i] for i in sorted(found) if i < f])
+        for name, candidate in linear_candidates().items():
+            rows.append((name, f, squared_error(found[f], *penalised_weights(train, *candidate)) ** 0.5))
+    per_fold = folded.sparkSession.createDataFrame(rows, "config string, fold int, rmse double")
+    return _over_folds(per_fold)
+
+
+def _over_folds(per_fold: DataFrame) -> DataFrame:
+    return per_fold.groupBy("config").agg(
+        F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"), F.count(F.lit(1)).alias("folds")
+    )
 
 
 def label_facts(train: DataFrame, label: str = LABEL) -> tuple[int, float]:
@@ -199,7 +318,7 @@ def evaluate_all(
 
 
 def grid_search(
-    estimators: Mapping[str, Estimator],
+    factories: Mapping,
     folded: DataFrame,
     k: int,
     *,
@@ -210,29 +329,25 @@ def grid_search(
     """Expanding-window cross validation: mean and spread of the fold errors per config.
 
     Fold ``f`` trains on earlier folds only (the built-in cross validator would
-    train on later ones too). The configs of a fold are measured in one pass.
+    train on later ones too). A factory builds its estimator from the fold's train rows
+    (row count, label deviation), because penalties depend on them. The configs of a
+    fold are measured in one pass.
     """
     folds = range(1, k + 1)
-    jobs = {
-        (name, f): (e, folded.where(F.col(fold) < f))
-        for name, e in estimators.items()
-        for f in folds
-    }
+    train = {f: folded.where(F.col(fold) < f) for f in folds}
+    facts = {f: label_facts(train[f], label) for f in folds}
+    jobs = {(name, f): (make(*facts[f]), train[f]) for name, make in factories.items() for f in folds}
     fitted = _fit_all(jobs, parallel)
     rows = []
     for f in folds:
-        models = {name: fitted[name, f] for name in estimators}
+        models = {name: fitted[name, f] for name in factories}
         errors = [
             metric_aggregates(label, f"_p{i}")[0].alias(f"_e{i}") for i in range(len(models))
         ]
         found = score_all(models, folded.where(F.col(fold) == f)).agg(*errors).first()
         rows += [(name, f, found[f"_e{i}"]) for i, name in enumerate(models)]
     per_fold = folded.sparkSession.createDataFrame(rows, "config string, fold int, rmse double")
-    return per_fold.groupBy("config").agg(
-        F.avg("rmse").alias("mean_rmse"),
-        F.stddev_pop("rmse").alias("std_rmse"),
-        F.count(F.lit(1)).alias("folds"),
-    )
+    return _over_folds(per_fold)
 
 
 def learning_curve(model, df: DataFrame) -> DataFrame:

@@ -137,3 +137,12 @@ def fold_table(folds: DataFrame, keys: Sequence[str] = (), order: str = "bar") -
             "test_end",
         )
     )
+
+
+def by_calendar(df: DataFrame, assign, order: str = "bar") -> DataFrame:
+    """Cut pooled rows by time: ``assign`` labels the distinct bars, and all rows of a bar go together.
+
+    Cut per series, train rows of one series could lie after test rows of another.
+    ``assign`` gets a frame with the one column ``order`` and adds its own.
+    """
+    return df.join(assign(df.select(order).distinct()), order)
