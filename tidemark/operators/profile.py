@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,10 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio
 from tidemark.operators.frames import Slot, attach_group_value, number_rows, running_sum
-
-SKETCH_ACCURACY = 10_000
-BRACKET_STEPS = 1024
-SKETCH_MARGIN = 5  # bracket half-width in units of the sketch's guaranteed rank error
+from tidemark.sources.store import stored
 
 
 def coverage(bars: DataFrame, by: Sequence[str] = ("series",), order: str = "bar") -> DataFrame:
@@ -61,15 +57,9 @@ def return_moments(
 ) -> DataFrame:
     """Corrected moments; null (not an error) for a constant group."""
     spread = bars.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("_mean"),
-        F.var_pop(value).alias("_var"),
-        *[F.expr(e).alias(a) for e, a in _raw_moments(value)],
+        F.count(value).alias("n"), F.skewness(value).alias("_g1"), F.kurtosis(value).alias("_g2")
     )
-    n, m, v = F.col("n").cast("double"), F.col("_mean"), F.col("_var")
-    third = F.col("_m3") - 3 * m * F.col("_m2") + 2 * m**3
-    fourth = F.col("_m4") - 4 * m * F.col("_m3") + 6 * m**2 * F.col("_m2") - 3 * m**4
-    g1, g2 = F.try_divide(third, v**1.5), F.try_divide(fourth, v**2) - 3
+    n, g1, g2 = F.col("n").cast("double"), F.col("_g1"), F.col("_g2")
     return spread.select(
         *by,
         "n",
@@ -78,10 +68,6 @@ def return_moments(
     )
 
 
-def _raw_moments(value: str):
-    return [(f"avg(power(`{value}`, {k}))", f"_m{k}") for k in (2, 3, 4)]
-
-
 def term_structure_share(
     wide: DataFrame, value: str = "vix_term", threshold: float = 1.0
 ) -> DataFrame:
@@ -192,112 +178,66 @@ def return_histogram(
     )
 
 
-def _step(v: Column, low: Column, high: Column) -> Column:
-    """Number of the equal-width step of a bracket that holds ``v`` (clamped, monotone)."""
-    share = F.coalesce(F.try_divide(v - low, high - low), F.lit(0.0))
-    inner = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
-    return F.floor(inner * F.lit(BRACKET_STEPS - 1)).cast("int")
-
-
-def exact_quantiles(
-    values: DataFrame,
-    probs: Sequence[float],
-    by: Sequence[str],
-    value: str = "value",
-    accuracy: int = SKETCH_ACCURACY,
-    few: bool = False,
-) -> DataFrame:
+def exact_quantiles(values: DataFrame, probs: Sequence[float], by: Sequence[str], value: str = "value") -> DataFrame:
     """Exact linear-interpolated quantiles per group without sorting a group in one task.
 
-    A mergeable sketch brackets each wanted rank between two values. Everything
-    below a bracket is only counted, equal values inside are combined to (value,
-    count), and the bracket, about ``10 / accuracy`` of the group, is cut into steps
-    of equal width, of which only those holding a wanted rank are sorted. A rank
-    outside its bracket, which the sketch rules out, would raise.
-    ``few`` states that the groups are named by the plan (see attach_group_value).
+    Equal values of a group are combined to (value, count), dealt by ranges of (group,
+    value) and written; the counts of a group's ranges, summed in order, say in which
+    ranges its wanted ranks lie, and only those ranges are ranked.
     """
-    present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    margin = SKETCH_MARGIN / accuracy
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
-    sketch = present.groupBy(*by).agg(
-        F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_q"),
-        F.count(F.lit(1)).alias("_total"),
-    )
-    placed = attach_group_value(present, sketch, by, "_v", few=few)
-    v, q, n = F.col("_v"), F.col("_q"), len(probs)
-    # In a small group the margin is less than a whole rank: all of it is the bracket.
-    small = F.col("_total") < accuracy
-    under = [~small & (v < q[i]) for i in range(n)]
-    within = [small | ((v >= q[i]) & (v <= q[n + i])) for i in range(n)]
-    below = placed.groupBy(*by).agg(
-        F.max("_total").alias("_total"), F.array(*[F.count_if(u) for u in under]).alias("_below")
-    )
-    spots = F.array_compact(
-        F.array(*[F.when(w, F.struct(F.lit(i), _step(v, q[i], q[n + i]))) for i, w in enumerate(within)])
-    )
-    inside = (
-        placed.where(reduce(lambda a, b: a | b, within))
-        .select(*by, "_v", F.explode(spots).alias("_s"))
-        .select(*by, "_v", F.col("_s.col1").alias("_i"), F.col("_s.col2").alias("_step"))
-        .groupBy(*by, "_i", "_step", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # Ranks of the bracket's steps (at most BRACKET_STEPS rows per quantile), then of
-    # the values in the one or two steps that hold the wanted rank.
-    steps = inside.groupBy(*by, "_i", "_step").agg(F.sum("_n").alias("_in"))
+    present = values.where(F.col(value).isNotNull())
+    counted = present.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counted.repartitionByRange(parts, *by, "_v").withColumn("_range", F.spark_partition_id())
+    dealt = stored(dealt, "quantiles")
     upto = (Window.unboundedPreceding, Window.currentRow)
-    in_steps = Window.partitionBy(*by, "_i").orderBy("_step").rowsBetween(*upto)
-    prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("_i")]
-    wanted = (
-        steps.withColumn("_through", F.sum("_in").over(in_steps))
-        .join(F.broadcast(below) if few else below, list(by))
-        .withColumns(
-            {
-                "_start": F.col("_below")[F.col("_i")] + F.col("_through") - F.col("_in"),
-                "_at": (F.col("_total") - 1) * prob,
-            }
-        )
+    of_group = Window.partitionBy(*by)
+    sums = dealt.groupBy(*by, "_range").agg(F.sum("_n").alias("_in"))
+    sums = sums.withColumns(
+        {
+            "_total": F.sum("_in").over(of_group),
+            "_start": F.sum("_in").over(of_group.orderBy("_range").rowsBetween(*upto)) - F.col("_in"),
+        }
     )
+    at = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array(*[f(a) for a in at for f in (F.floor, F.ceil)])
     end = F.col("_start") + F.col("_in") - 1
-    reaches = lambda rank: (F.col("_start") <= rank) & (end >= rank)
-    wanted = wanted.where(reaches(F.floor("_at")) | reaches(F.ceil("_at")))
-    in_values = Window.partitionBy(*by, "_i", "_step").orderBy("_v").rowsBetween(*upto)
-    ranked = inside.join(
-        wanted.select(*by, "_i", "_step", "_start", "_at"), [*by, "_i", "_step"]
-    ).withColumn("_last", F.col("_start") + F.sum("_n").over(in_values) - 1)
+    wanted = sums.where(F.exists(ranks, lambda r: (r >= F.col("_start")) & (r <= end)))
+    rows = dealt.join(wanted, [*by, "_range"])
+    last = F.col("_start") + F.sum("_n").over(Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(*upto)) - 1
+    ranked = rows.withColumn("_last", last)
     first = F.col("_last") - F.col("_n") + 1
-    holds = lambda rank: (first <= rank) & (F.col("_last") >= rank)
-    picked = ranked.groupBy(*by, "_i").agg(
-        F.max("_at").alias("_at"),
-        F.max(F.when(holds(F.floor("_at")), F.col("_v"))).alias("_lo"),
-        F.max(F.when(holds(F.ceil("_at")), F.col("_v"))).alias("_hi"),
-    )
-    lo, hi = F.col("_lo"), F.col("_hi")
-    exact = F.when(
-        lo.isNull() | hi.isNull(), F.raise_error(F.lit("quantile rank outside its bracket"))
-    ).otherwise(lo + (hi - lo) * (F.col("_at") - F.floor("_at")))
-    point = F.struct(F.col("_i"), exact.cast("double").alias("q"))
-    listed = picked.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_points"))
-    return listed.select(*by, F.transform("_points", lambda x: x["q"]).alias("quantiles"))
+    holds = lambda rank: F.max(F.when((first <= rank) & (F.col("_last") >= rank), F.col("_v")))
+    points = []
+    for a in at:
+        lo, hi, share = holds(F.floor(a)), holds(F.ceil(a)), F.max(a - F.floor(a))
+        points.append(lo + (hi - lo) * share)
+    return ranked.groupBy(*by).agg(F.array(*points).alias("quantiles"))
 
 
 PROFILE_QUANTILES = (0.25, 0.5, 0.75)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max of each column, one row per column."""
-    long = _long(df, columns, ()).where(F.col("value").isNotNull())
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quantiles = exact_quantiles(long, PROFILE_QUANTILES, ["column"], few=True)
+    """count, mean, std, min, quartiles, max of each column, one row per column.
+
+    The plain statistics are one aggregate over the table; only the quartiles look at
+    single values. A column without values has no row.
+    """
+    v = {c: F.col(c).cast("double") for c in columns}
+    stats = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"), F.count(v[c]).alias("count"), F.avg(v[c]).alias("mean"),
+                F.stddev_samp(v[c]).alias("std"), F.min(v[c]).alias("min"), F.max(v[c]).alias("max"),
+            )
+            for c in columns
+        ]
+    )
+    plain = df.agg(stats.alias("_s")).select(F.explode("_s").alias("_s")).select("_s.*")
+    quantiles = exact_quantiles(_long(df, columns, ()), PROFILE_QUANTILES, ["column"])
     q = F.col("quantiles")
-    return stats.join(quantiles, "column").select(
+    return plain.join(quantiles, "column").select(
         "column",
         "count",
         "mean",

@@ -141,7 +141,6 @@ def _matrix(columns, source) -> str:
 
 MATRIX = f"matrix AS ({_matrix(features.FEATURE_COLUMNS, 'features')})"
 EVENT_CTES = (*WIDE_CTES, EVENT_FEATURES)
-SERIES_MATRIX = f"matrix AS ({_matrix(FEATURES, 'supplier_features')})"
 
 
 @query(sql_round("SELECT * FROM matrix", ("corr",), (*EVENT_CTES, MATRIX)))
@@ -151,14 +150,14 @@ def corr_matrix(spark, sf):
 
 @query(
     sql_round(
-        "SELECT a, b, corr, abs(corr) AS abs_corr FROM matrix WHERE a < b AND abs(corr) > 0.5",
+        "SELECT a, b, corr, abs(corr) AS abs_corr FROM matrix WHERE a < b AND abs(corr) > 0.9",
         ("corr", "abs_corr"),
-        (*SUPPLIER_CTES, SERIES_MATRIX),
+        (*EVENT_CTES, MATRIX),
     )
 )
 def high_corr_pairs(spark, sf):
-    matrix = profile.corr_matrix(supplier_features(spark, sf), FEATURES)
-    return rounded(profile.high_corr_pairs(matrix, limit=0.5))
+    matrix = profile.corr_matrix(event_features(spark, sf), features.FEATURE_COLUMNS)
+    return rounded(profile.high_corr_pairs(matrix))
 
 
 @query(
@@ -191,7 +190,8 @@ def pair_corr(spark, sf):
     )
 )
 def return_histogram(spark, sf):
-    return rounded(profile.return_histogram(tables.supplier_curated(spark, sf), 50))
+    curated = store.stored(tables.supplier_curated(spark, sf).select("series", "ret"), "returns")
+    return rounded(profile.return_histogram(curated, 50))
 
 
 @query(
@@ -227,7 +227,8 @@ def warmup_check(spark, sf):
     )
 )
 def price_ratio(spark, sf):
-    return rounded(profile.price_ratio(tables.event_curated(spark, sf), "signup", "error"))
+    curated = store.stored(tables.event_curated(spark, sf), "curated")
+    return rounded(profile.price_ratio(curated, "signup", "error"))
 
 
 @query("""
@@ -272,3 +273,18 @@ def partition_rules(spark, sf):
         F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("date")
     )
     return validate.partition_rules(daily)
+
+
+@query("""
+  SELECT date_trunc('day', l_shipdate) AS date, count(*) AS rows,
+         CAST(CASE WHEN count(CASE WHEN l_returnflag = 'R' THEN 1 END) = 0 THEN 1 ELSE 0 END
+              + CASE WHEN count(CASE WHEN l_linestatus = 'F' THEN 1 END) = 0 THEN 1 ELSE 0 END AS INTEGER) AS empty_columns
+  FROM lineitem GROUP BY 1 HAVING count(*) <> 1""")
+def partition_scan(spark, sf):
+    """Days without exactly one row, and which of two sparse columns they lack altogether."""
+    rows = tables.table(spark, sf, "lineitem").select(
+        F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("date"),
+        F.when(F.col("l_returnflag") == "R", 1).alias("returned"),
+        F.when(F.col("l_linestatus") == "F", 1).alias("finished"),
+    )
+    return validate.scan_partitions(rows, "date", ["returned", "finished", "not_there"])
