@@ -12,10 +12,7 @@ from oracle import compare, duck
 
 SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry.plans.collect("QUERIES"), entry.plans.collect("ORACLE")
-LEARNERS = {
-    "linear_models", "forest_model", "boosted_model", "train_run", "early_stopping",
-    "grid_search", "model_importance",
-}
+LARGER = "/root/testdata/sf0.01"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
@@ -25,14 +22,16 @@ def con():
     return duck(SF)
 
 
-def test_only_learners_lack_a_twin():
-    assert set(QUERIES) - set(ORACLE) == LEARNERS
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_a_twin():
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
-    assert compare(QUERIES[name](spark, SF), con, ORACLE[name]) in ("", "EMPTY")
+    found = compare(QUERIES[name](spark, SF), con, ORACLE[name])
+    if found == "EMPTY":  # too few rows here: an empty result proves nothing
+        found = compare(QUERIES[name](spark, LARGER), duck(LARGER), ORACLE[name])
+    assert found == ""
 
 
 def test_flagship(spark):

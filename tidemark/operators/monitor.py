@@ -232,6 +232,15 @@ def _percentile(scored, latest, by, order, y) -> DataFrame:
     )
 
 
+def period_errors(scored: DataFrame, early: Column, by: Sequence[str] = GROUP, *, y: str = "rv_5d", p: str = "prediction") -> DataFrame:
+    """(by, test_rmse, production_rmse): errors of the benchmark period and after it, from one pass."""
+    square = _error(y, p) ** 2
+    both = scored.groupBy(*by).agg(
+        F.sqrt(F.avg(F.when(early, square))).alias("test_rmse"), F.sqrt(F.avg(F.when(~early, square))).alias("production_rmse")
+    )
+    return both.where("test_rmse IS NOT NULL AND production_rmse IS NOT NULL")
+
+
 def benchmark_comparison(
     production: DataFrame, benchmark: DataFrame, by: Sequence[str] = GROUP
 ) -> DataFrame:
@@ -243,6 +252,11 @@ def benchmark_comparison(
     joined = production.select(*by, F.col("rmse").alias("production_rmse")).join(
         benchmark.select(*by, "test_rmse"), list(by)
     )
+    return compared(joined, by)
+
+
+def compared(joined: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
+    """Difference and status of rows that have ``test_rmse`` and ``production_rmse``."""
     diff_pct = percent_change(F.col("production_rmse"), F.col("test_rmse"))
     return joined.select(
         *by,
@@ -344,17 +358,21 @@ def monitor_documents(
     order: str = "bar",
     rows: int = DOCUMENT_ROWS,
 ) -> DataFrame:
-    """JSON documents (monitor, summary, alerts) per group over its latest ``rows`` forecasts.
+    """JSON documents (monitor, summary, alerts) per group.
 
-    Every list in a document is bounded by ``rows``.
+    Counts, metrics, trend and percentile are of all rows; only the lists in a document
+    are of the latest ``rows`` forecasts. ``benchmark`` may carry a ``trained_date``.
     """
     recent = last_rows(scored, by, order, rows).drop("recency")
     done, _ = split_by_actual(recent)
     on = list(by)
-    overall = forecast_metrics(done, by)
+    overall = forecast_metrics(split_by_actual(scored)[0], by)
     metric_names = ["rmse", "mae", "r2", "mape", "hit_rate"]
     comparison = benchmark_comparison(overall, benchmark, by)
-    current = current_forecast(recent, by, order=order)
+    dated = "trained_date" in benchmark.columns
+    if dated:
+        comparison = comparison.join(benchmark.select(*by, F.col("trained_date").cast("string").alias("trained_date")), on)
+    current = current_forecast(scored, by, order=order)
 
     def listed(df: DataFrame, name: str, at: str, fields: list[Column]) -> DataFrame:
         entries = F.array_sort(F.collect_list(F.struct(F.col(at).alias("_at"), *fields)))
@@ -369,7 +387,7 @@ def monitor_documents(
         [day, F.col("prediction"), percent_text(F.col("prediction")).alias("prediction_pct")],
     )
     errors = listed(
-        error_table(recent, by=by, order=order),
+        error_table(scored, by=by, order=order),
         "predictions_vs_actuals",
         order,
         [
@@ -386,7 +404,7 @@ def monitor_documents(
         "end_bar",
         [iso_date(F.col("end_bar")).alias("end_date"), F.col("window_size"), *map(F.col, metric_names)],
     )
-    counts = recent.groupBy(*by).agg(
+    counts = scored.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_predictions"),
         F.count("rv_5d").alias("predictions_with_actuals"),
     )
@@ -395,7 +413,7 @@ def monitor_documents(
         counts.join(current, on, "left")
         .join(comparison, on, "left")
         .join(metrics(overall, "overall"), on, "left")
-        .join(metrics(recent_metrics(done, by=by, order=order), "recent_30d"), on, "left")
+        .join(metrics(recent_metrics(scored, by=by, order=order), "recent_30d"), on, "left")
         .join(windows, on, "left")
         .join(errors, on, "left")
         .join(waiting, on, "left")
@@ -419,7 +437,7 @@ def monitor_documents(
         "confidence",
         insight_list().alias("insights"),
     )
-    against = F.struct("test_rmse", "production_rmse", "rmse_diff", "rmse_diff_pct", "status")
+    against = F.struct("test_rmse", "production_rmse", "rmse_diff", "rmse_diff_pct", "status", *["trained_date"] * dated)
     no_list = lambda name: F.coalesce(F.col(name), F.array()).alias(name)
     performance = [F.col("overall"), F.col("recent_30d")]
     summary = [metadata.alias("metadata"), now.alias("current_forecast")]
@@ -474,8 +492,11 @@ def compare_runs(runs: DataFrame, *, experiment: str = "experiment", run: str =
 
 
 def threshold_alerts(metrics: DataFrame, limits=ALERT_LIMITS, by: Sequence[str] = GROUP) -> DataFrame:
-    """One row per breached limit; metrics that are absent or null raise nothing."""
-    present = [(m, side, limit) for m, side, limit in limits if m in metrics.columns]
+    """One row per breached limit; a null metric breaches nothing, an absent one is an error."""
+    absent = [m for m, _, _ in limits if m not in metrics.columns]
+    if absent:
+        raise ValueError(f"no metric {', '.join(absent)}; pass the limits that apply")
+    present = list(limits)
     rows = [
         F.struct(
             F.lit(m).alias("metric"),

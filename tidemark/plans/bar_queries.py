@@ -159,7 +159,8 @@ def duplicate_dates(spark, sf):
 def pair_returns(spark, sf):
     from tidemark.operators.profile import pair_returns as pairs
 
-    return rounded(pairs(event_curated(spark, sf), "purchase", "view"))
+    curated = store.stored(event_curated(spark, sf).select("series", "bar", "ret"), "curated")
+    return rounded(pairs(curated, "purchase", "view"))
 
 
 @query(

@@ -261,14 +261,14 @@ def scored_wide(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("series", "bar", "rv_5d", "half_vol_20", "vol_5")
 
 
-def _unpivot(wide: DataFrame) -> DataFrame:
+def unpivoted(wide: DataFrame) -> DataFrame:
     long = wide.unpivot(["series", "bar", "rv_5d"], list(MODELS), "model", "prediction")
     return long.where(F.col("prediction").isNotNull())
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts with their actuals (null while the future is unknown), from one pass."""
-    return _unpivot(scored_wide(spark, sf))
+    return unpivoted(scored_wide(spark, sf))
 
 
 def known(spark: SparkSession, sf: str) -> DataFrame:

@@ -61,7 +61,7 @@ def paired(spark, sf):
     )
 )
 def aligned_predictions(spark, sf):
-    rows = known(spark, sf)
+    rows = store.stored(known(spark, sf), "known")
     one = lambda m: rows.where(F.col("model") == m)
     return rounded(ensemble.aligned_predictions(one(A), one(B), ["series", "bar"]))
 
@@ -163,7 +163,7 @@ WINDOW_CTES = (*PAIRED_CTES, WINDOWS)
 
 
 def windows(spark, sf):
-    return ensemble.ab_windows(paired(spark, sf), A, B)
+    return ensemble.ab_windows(store.stored(paired(spark, sf), "paired"), A, B)
 
 
 @query(
@@ -215,6 +215,8 @@ def candidates(spark, sf):
     rows = rows.withColumn("average", (F.col(A) + F.col(B)) / 2.0)
     long = rows.unpivot(["series", "bar", "split", "rv_5d"], list(NAMES), "model", "prediction")
     per = monitor.regression_metrics(long, ["series", "model", "split"])
+    # a few rows per series, read several times by the rules
+    per = store.stored(per, "candidates")
     pick = lambda s, m: F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}")
     return per.groupBy("series", "model").agg(
         pick("train", "rmse"), pick("val", "rmse"), pick("val", "r2"), pick("test", "rmse")
@@ -363,6 +365,123 @@ def gap_correlation(spark, sf):
     return rounded(ensemble.gap_correlation(ensemble.generalization_gap(candidates(spark, sf), B)))
 
 
+@query(
+    sql_round(
+        """SELECT series, model, metric, value, "limit" FROM (
+              SELECT series, model, 'val_rmse' AS metric, val_rmse AS value, 0.0095::DOUBLE AS "limit", val_rmse > 0.0095 AS breach FROM candidates
+              UNION ALL SELECT series, model, 'val_r2', val_r2, 0.4::DOUBLE, val_r2 < 0.4 FROM candidates
+              UNION ALL SELECT series, model, 'gap_pct', gap_over_train, 20.0::DOUBLE, gap_over_train > 20 FROM gaps
+              UNION ALL SELECT series, model, 'drift_rmse', test_rmse, 0.01::DOUBLE, test_rmse > 0.01 FROM candidates
+            ) m WHERE breach""",
+        ("value",),
+        (*CANDIDATE_CTES, GAPS),
+    )
+)
+def threshold_alerts(spark, sf):
+    """All four limits: validation error and R2, gap to the train error, error on the latest rows."""
+    rows = candidates(spark, sf)
+    gap = F.abs(F.col("train_rmse") - F.col("val_rmse")) / F.col("train_rmse") * 100.0
+    named = rows.withColumn("gap_pct", gap).withColumnRenamed("test_rmse", "drift_rmse")
+    return rounded(monitor.threshold_alerts(named))
+
+
+# ---- registered for completeness: deduped candidates, stacked and blended entries -------
+
+
+@query(
+    sql_round(
+        "SELECT series, model, val_rmse FROM candidates UNION ALL "
+        "SELECT series, 'again', val_rmse FROM candidates WHERE model = 'vol_5'",
+        ("val_rmse",),
+        CANDIDATE_CTES,
+    )
+)
+def candidate_dedupe(spark, sf):
+    """Every candidate entered twice, first with a wrong error; one of another name once."""
+    rows = store.stored(candidates(spark, sf).select("series", "model", "val_rmse"), "entries")
+    first = rows.select("series", "model", (F.col("val_rmse") * 2).alias("val_rmse"), F.lit(1).alias("entry"))
+    other = rows.where(F.col("model") == A).select("series", F.lit("again").alias("model"), "val_rmse", F.lit(1).alias("entry"))
+    entries = store.union_layers([rows.withColumn("entry", F.lit(2)), first, other])
+    return rounded(ensemble.dedupe_candidates(entries, ["series", "model"], "entry").select("series", "model", "val_rmse"))
+
+
+COMBINED = """combined AS (
+  SELECT s.*, b.weight AS blend_weight,
+         k.intercept + k.weight_a * s.vol_5 + k.weight_b * s.half_vol_20 AS stacked,
+         b.weight * s.vol_5 + (1 - b.weight) * s.half_vol_20 AS blended
+  FROM split s
+  JOIN (SELECT series, arg_min(weight, round(rmse, 12)) AS weight FROM (
+          SELECT series, weight, sqrt(avg(power(rv_5d - weight * vol_5 - (1 - weight) * half_vol_20, 2))) AS rmse
+          FROM split, (SELECT unnest(range(21)) / 20.0::DOUBLE AS weight) g WHERE split = 'val' GROUP BY series, weight) x
+        GROUP BY series) b USING (series)
+  JOIN (SELECT series, (c1y * s2 - c2y * c12) / (s1 * s2 - c12 * c12) AS weight_a,
+               (c2y * s1 - c1y * c12) / (s1 * s2 - c12 * c12) AS weight_b,
+               my - (c1y * s2 - c2y * c12) / (s1 * s2 - c12 * c12) * m1 - (c2y * s1 - c1y * c12) / (s1 * s2 - c12 * c12) * m2 AS intercept
+        FROM (SELECT series, avg(vol_5) AS m1, avg(half_vol_20) AS m2, avg(rv_5d) AS my,
+                     var_pop(vol_5) + 0.1 / count(*) AS s1, var_pop(half_vol_20) + 0.1 / count(*) AS s2,
+                     covar_pop(vol_5, half_vol_20) AS c12, covar_pop(vol_5, rv_5d) AS c1y, covar_pop(half_vol_20, rv_5d) AS c2y
+              FROM split WHERE split = 'val' GROUP BY series) m WHERE s1 * s2 - c12 * c12 <> 0) k USING (series)),
+ entries AS (
+  SELECT series, model, sqrt(avg(CASE WHEN split = 'val' THEN power(p - rv_5d, 2) END)) AS val_rmse,
+         sqrt(avg(CASE WHEN split = 'test' THEN power(p - rv_5d, 2) END)) AS test_rmse
+  FROM (SELECT series, split, rv_5d, unnest(['vol_5', 'half_vol_20', 'stacked', 'blended']) AS model,
+               unnest([vol_5, half_vol_20, stacked, blended]) AS p FROM combined) l GROUP BY series, model)"""
+
+
+@query(sql_round("SELECT * FROM entries", ("val_rmse", "test_rmse"), (*CANDIDATE_CTES, COMBINED)))
+def combined_entries(spark, sf):
+    """Errors of both models, their ridge stack and their best blend, both fitted on the val rows."""
+    return rounded(combined(spark, sf))
+
+
+def combined(spark, sf):
+    rows = split.time_split(paired(spark, sf), keys=["series"], grain=LINE_GRAIN)
+    rows = store.stored(rows.select("series", "bar", "split", "rv_5d", A, B), "split")
+    val = rows.where("split = 'val'")
+    stack = ensemble.stacking_weights(val, A, B).where("weight_a IS NOT NULL")
+    grid = ensemble.blend_search(val, A, B).withColumn("rmse", F.round("rmse", 12))
+    best = ensemble.best_blend(grid).select("series", F.col("weight").alias("blend_weight"))
+    both = ensemble.apply_stack(rows, stack, A, B).join(best, "series")
+    w = F.col("blend_weight")
+    both = both.withColumn("blended", w * F.col(A) + (1 - w) * F.col(B))
+    long = both.unpivot(["series", "split", "rv_5d"], [A, B, "stacked", "blended"], "model", "prediction")
+    square = (F.col("prediction") - F.col("rv_5d")) ** 2
+    at = lambda s: F.sqrt(F.avg(F.when(F.col("split") == s, square))).alias(f"{s}_rmse")
+    return long.groupBy("series", "model").agg(at("val"), at("test"))
+
+
+_ORDER = ("vol_5", "half_vol_20", "stacked", "blended")
+
+
+def _sql_contest() -> str:
+    """The winner rule over the four entries, one nested query for each challenger."""
+    pick = ", ".join(
+        f"max(CASE WHEN model = '{m}' THEN val_rmse END) AS v_{m}, max(CASE WHEN model = '{m}' THEN test_rmse END) AS t_{m}"
+        for m in _ORDER
+    )
+    sql = f"SELECT *, 'vol_5' AS winner, v_vol_5 AS val_rmse, t_vol_5 AS test_rmse FROM (SELECT series, {pick} FROM entries GROUP BY series) e"
+    for m in _ORDER[1:]:
+        wins = (
+            f"coalesce(CASE WHEN v_{m} < val_rmse THEN true WHEN abs(v_{m} - val_rmse) <= 1e-8 + 1e-5 * abs(val_rmse) "
+            f"THEN t_{m} < test_rmse END, false)"
+        )
+        sql = (
+            f"SELECT * EXCLUDE (wins) REPLACE (CASE WHEN wins THEN '{m}' ELSE winner END AS winner, "
+            f"CASE WHEN wins THEN v_{m} ELSE val_rmse END AS val_rmse, "
+            f"CASE WHEN wins THEN t_{m} ELSE test_rmse END AS test_rmse) FROM (SELECT *, {wins} AS wins FROM ({sql}) q) r"
+        )
+    return f"SELECT series, winner, val_rmse, test_rmse FROM ({sql}) z"
+
+
+@query(sql_round(_sql_contest(), ("val_rmse", "test_rmse"), (*CANDIDATE_CTES, COMBINED)))
+def best_of_all(spark, sf):
+    """The best individual model, the ridge stack and the best blend against each other."""
+    rows = combined(spark, sf)
+    at = lambda m, f: F.max(F.when(F.col("model") == m, F.col(f"{f}_rmse"))).alias(f"{f}_{m}")
+    entries = rows.groupBy("series").agg(*[at(m, f) for m in _ORDER for f in ("val", "test")])
+    return rounded(ensemble.best_overall(entries, list(_ORDER)))
+
+
 # ---- importance: absolute correlation of each feature with the label, per region --------
 
 IMPORTANCE = (
@@ -436,9 +555,11 @@ def feature_overlap(spark, sf):
     "WITH "
     + ", ".join(IMPORTANCE_CTES)
     + """
-  SELECT feature FROM top WHERE model = 'ASIA' INTERSECT
-  SELECT feature FROM top WHERE model = 'EUROPE' INTERSECT
-  SELECT feature FROM top WHERE model = 'AMERICA'"""
+  SELECT feature FROM top WHERE model IN (SELECT r_name FROM region) GROUP BY feature
+  HAVING count(DISTINCT model) = (SELECT count(DISTINCT model) FROM top)"""
 )
 def feature_intersection(spark, sf):
-    return ensemble.feature_intersection(top(spark, sf), ["ASIA", "EUROPE", "AMERICA"])
+    """Features that the lists of all regions share."""
+    lists = store.stored(top(spark, sf), "top")
+    names = [r[0] for r in lists.select("model").distinct().collect()]  # the regions
+    return ensemble.feature_intersection(lists, names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import monitor, profile
@@ -9,12 +11,13 @@ from tidemark.plans.common import (
     KNOWN,
     LINE_GRAIN,
     SCORED_ALL,
-    actuals,
     forecasts,
     known,
     rounded,
     scored,
+    scored_wide,
     sql_round,
+    unpivoted,
 )
 from tidemark.sources import store
 
@@ -45,19 +48,12 @@ METRIC = ("rmse", "mae", "r2")
 FULL = (*METRIC, "mape", "hit_rate")
 
 
-def split_known(spark, sf):
-    """(rows of the benchmark period, production rows)."""
-    rows = known(spark, sf)
-    early = F.col("bar") < F.lit(BENCHMARK_END).cast("timestamp_ntz")
-    return rows.where(early), rows.where(~early)
+def is_early():
+    return F.col("bar") < F.lit(BENCHMARK_END).cast("timestamp_ntz")
 
 
 def comparison(spark, sf):
-    early, late = split_known(spark, sf)
-    bench = monitor.regression_metrics(early).select(
-        "series", "model", F.col("rmse").alias("test_rmse")
-    )
-    return monitor.benchmark_comparison(monitor.regression_metrics(late), bench)
+    return monitor.compared(monitor.period_errors(known(spark, sf), is_early()))
 
 
 COMPARISON = f"""comparison AS (
@@ -108,7 +104,9 @@ CURRENT = f"""current AS (
     )
 )
 def pred_vs_actual(spark, sf):
-    return rounded(monitor.attach_actuals(forecasts(spark, sf), actuals(spark, sf)))
+    wide = store.stored(scored_wide(spark, sf), "forecasts")
+    made = unpivoted(wide).select("series", "bar", "model", "prediction")
+    return rounded(monitor.attach_actuals(made, wide.select("series", "bar", "rv_5d")))
 
 
 @query(
@@ -120,12 +118,12 @@ def pred_vs_actual(spark, sf):
     )
 )
 def actuals_split(spark, sf):
-    done, waiting = monitor.split_by_actual(scored(spark, sf))
-    a = done.groupBy("model").agg(F.count(F.lit(1)).alias("with_actual"))
-    b = waiting.groupBy("model").agg(
-        F.count(F.lit(1)).alias("without_actual"), F.sum("prediction").alias("open_sum")
-    )
-    return rounded(a.join(b, "model"))
+    waits = F.col("rv_5d").isNull()
+    out = scored(spark, sf).groupBy("model").agg(
+        F.count("rv_5d").alias("with_actual"), F.count_if(waits).alias("without_actual"),
+        F.sum(F.when(waits, F.col("prediction"))).alias("open_sum"),
+    )
+    return rounded(out)
 
 
 @query(
@@ -195,7 +193,7 @@ def trend(spark, sf):
     sql_round("SELECT * FROM percentile", ("volatility", "percentile"), (*SCORED_ALL, PERCENTILE))
 )
 def forecast_percentile(spark, sf):
-    return rounded(monitor.forecast_percentile(scored(spark, sf)))
+    return rounded(monitor.forecast_percentile(store.stored(scored(spark, sf), "scored")))
 
 
 @query(
@@ -225,35 +223,39 @@ def benchmark_status(spark, sf):
 
 @query(
     sql_round(
-        "SELECT *, 'MEDIUM' AS confidence FROM current",
+        "SELECT *, CASE WHEN volatility IS NOT NULL THEN printf('%.2f percent', volatility * 100) END AS volatility_pct, "
+        "'MEDIUM' AS confidence FROM current",
         ("volatility", "trend_change_pct", "percentile"),
         (*SCORED_ALL, TREND, PERCENTILE, CURRENT),
     )
 )
 def current_forecast(spark, sf):
-    out = monitor.current_forecast(scored(spark, sf))
-    return rounded(out.drop("volatility_pct"))
+    return rounded(monitor.current_forecast(store.stored(scored(spark, sf), "scored")))
 
 
 @query(
     "WITH "
     + ", ".join((*SCORED_ALL, TREND, PERCENTILE, CURRENT, COMPARISON))
     + f"""
-  , joined AS (SELECT c.*, b.status FROM current c LEFT JOIN comparison b USING (series, model))
-  SELECT series, model, 'TREND' AS type, 'WARNING' AS severity FROM joined
+  , joined AS (SELECT c.*, b.status, b.test_rmse, b.production_rmse, b.rmse_diff_pct
+               FROM current c LEFT JOIN comparison b USING (series, model))
+  SELECT series, model, 'TREND' AS type, 'WARNING' AS severity, '{monitor.TREND_UP_TEXT}' AS message FROM joined
    WHERE trend = 'INCREASING' AND abs(trend_change_pct) > 15
-  UNION ALL SELECT series, model, 'TREND', 'INFO' FROM joined
+  UNION ALL SELECT series, model, 'TREND', 'INFO', '{monitor.TREND_DOWN_TEXT}' FROM joined
    WHERE trend = 'DECREASING' AND abs(trend_change_pct) > 15
-  UNION ALL SELECT series, model, 'REGIME', 'ALERT' FROM joined WHERE regime = 'HIGH'
-  UNION ALL SELECT series, model, 'REGIME', 'INFO' FROM joined
+  UNION ALL SELECT series, model, 'REGIME', 'ALERT', '{monitor.HIGH_TEXT}' FROM joined WHERE regime = 'HIGH'
+  UNION ALL SELECT series, model, 'REGIME', 'INFO', '{monitor.LOW_TEXT}' FROM joined
    WHERE regime = 'LOW' AND percentile < 10
-  UNION ALL SELECT series, model, 'RMSE', 'ALERT' FROM joined WHERE status = 'DEGRADED'
-  UNION ALL SELECT series, model, 'RMSE', 'WARNING' FROM joined WHERE status = 'ACCEPTABLE'"""
+  UNION ALL SELECT series, model, 'RMSE', 'ALERT', printf('{monitor.RMSE_DEGRADED_FORMAT}', test_rmse, production_rmse, rmse_diff_pct)
+    FROM joined WHERE status = 'DEGRADED'
+  UNION ALL SELECT series, model, 'RMSE', 'WARNING', printf('{monitor.RMSE_ACCEPTABLE_FORMAT}', test_rmse, production_rmse, rmse_diff_pct)
+    FROM joined WHERE status = 'ACCEPTABLE'"""
 )
 def insights(spark, sf):
     table = store.stored(scored(spark, sf), "scored")
-    notes = monitor.insights(monitor.current_forecast(table), comparison(spark, sf))
-    return notes.drop("message")
+    known_rows = table.where(F.col("rv_5d").isNotNull())
+    against = monitor.compared(monitor.period_errors(known_rows, is_early()))
+    return monitor.insights(monitor.current_forecast(table), against)
 
 
 @query(
@@ -282,29 +284,32 @@ DOCUMENT = (
 
 @query(
     sql_round(
-        f"""SELECT o.*, CASE WHEN o.predictions_with_actuals >= 30
-                     THEN o.predictions_with_actuals - 29 ELSE 0 END AS windows
+        f"""SELECT o.* EXCLUDE (recent), CASE WHEN o.recent >= 30 THEN o.recent - 29 ELSE 0 END AS windows
            FROM (SELECT r.series, r.model, count(*) AS total_predictions,
                         count(rv_5d) AS predictions_with_actuals, {RMSE} AS rmse,
                         least(count(rv_5d), 30) AS errors,
-                        count(*) - count(rv_5d) AS waiting, max(t.trend) AS trend,
-                        max({REGIME.format(v='t.volatility')}) AS regime, max(b.test_rmse) AS test
+                        count(*) FILTER (rn <= 35 AND rv_5d IS NULL) AS waiting, max(t.trend) AS trend,
+                        max({REGIME.format(v='t.volatility')}) AS regime, max(b.test_rmse) AS test,
+                        max(d.trained) AS trained, count(rv_5d) FILTER (rn <= 35) AS recent
                  FROM (SELECT *, row_number() OVER (PARTITION BY series, model
                               ORDER BY bar DESC) AS rn FROM scored) r
                  JOIN trend t ON r.series = t.series AND r.model = t.model
                  LEFT JOIN comparison b ON r.series = b.series AND r.model = b.model
-                 WHERE rn <= 35 GROUP BY r.series, r.model) o""",
+                 LEFT JOIN (SELECT series, model, strftime(max(bar), '%Y-%m-%d') AS trained FROM known
+                            WHERE bar < TIMESTAMP '{BENCHMARK_END}' GROUP BY ALL) d
+                   ON r.series = d.series AND r.model = d.model
+                 GROUP BY r.series, r.model) o""",
         ("rmse", "test"),
         (*SCORED_ALL, TREND, COMPARISON),
     )
 )
 def monitor_document(spark, sf):
     """The monitor document per group, read back from its JSON text."""
-    early, _ = split_known(spark, sf)
-    bench = monitor.regression_metrics(early).select(
-        "series", "model", F.col("rmse").alias("test_rmse")
-    )
     table = store.stored(scored(spark, sf), "scored")
+    early = table.where(F.col("rv_5d").isNotNull() & is_early())
+    bench = early.groupBy("series", "model").agg(
+        monitor.metric_aggregates()[0].alias("test_rmse"), F.max(F.to_date("bar")).alias("trained_date")
+    )
     docs = monitor.monitor_documents(table, bench)
     d = docs.select("series", "model", F.from_json("monitor", DOCUMENT).alias("d"), "alerts")
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
@@ -322,23 +327,24 @@ def monitor_document(spark, sf):
             F.get_json_object("alerts", "$.benchmark_comparison.test_rmse")
             .cast("double")
             .alias("test"),
+            F.get_json_object("alerts", "$.benchmark_comparison.trained_date").alias("trained"),
             size(F.col("d.performance.rolling_30d")).alias("windows"),
         )
     )
 
 
 RUNS = f"""runs AS (
-  SELECT CAST(series AS VARCHAR) AS experiment, strftime(date_trunc('year', bar), '%Y') AS run_id,
+  SELECT series || ' ' || model AS experiment, strftime(date_trunc('year', bar), '%Y') AS run_id,
          {RMSE} AS rmse, avg(abs(prediction - rv_5d)) AS mae
-  FROM known WHERE model = 'vol_5' GROUP BY 1, 2)"""
+  FROM known GROUP BY 1, 2)"""
 
 
 def runs(spark, sf):
-    """One run per series and year with its metrics as a map."""
-    rows = known(spark, sf).where("model = 'vol_5'")
+    """One run per series, model and year with its metrics as a map."""
+    rows = known(spark, sf)
     per_year = monitor.regression_metrics(
         rows.select(
-            F.col("series").cast("string").alias("experiment"),
+            F.concat_ws(" ", F.col("series").cast("string"), "model").alias("experiment"),
             F.year("bar").cast("string").alias("run_id"),
             "rv_5d",
             "prediction",
@@ -379,23 +385,6 @@ def compare_runs(spark, sf):
     return rounded(monitor.compare_runs(runs(spark, sf)))
 
 
-@query(
-    sql_round(
-        f"""SELECT series, model, metric, value, "limit" FROM (
-              SELECT series, model, 'val_rmse' AS metric, {RMSE} AS value, 0.0095::DOUBLE AS "limit",
-                     {RMSE} > 0.0095 AS breach FROM known GROUP BY ALL
-              UNION ALL SELECT series, model, 'val_r2', {R2}, 0.4::DOUBLE, {R2} < 0.4 FROM known GROUP BY ALL
-            ) m WHERE breach""",
-        ("value",),
-        SCORED_ALL,
-    )
-)
-def threshold_alerts(spark, sf):
-    metrics = monitor.regression_metrics(known(spark, sf))
-    named = metrics.withColumnsRenamed({"rmse": "val_rmse", "r2": "val_r2"})
-    return rounded(monitor.threshold_alerts(named))
-
-
 @query(
     sql_round(
         """SELECT series, model, avg(e) AS mean, stddev_pop(e) AS std, min(e) AS min,
@@ -416,18 +405,17 @@ _PROBS = tuple(i / 10 for i in range(1, 10))
 @query(
     sql_round(
         " UNION ALL ".join(
-            f"SELECT model, {p}::DOUBLE AS prob, quantile_cont(rv_5d - prediction, {p}) AS residual "
-            "FROM known GROUP BY model"
+            f"SELECT model, {p}::DOUBLE AS prob, {NormalDist().inv_cdf(p)!r}::DOUBLE AS normal, "
+            f"quantile_cont(rv_5d - prediction, {p}) AS residual FROM known GROUP BY model"
             for p in _PROBS
         ),
-        ("residual",),
+        ("normal", "residual"),
         SCORED_ALL,
     )
 )
 def residual_quantiles(spark, sf):
     table = store.stored(known(spark, sf), "scored")
-    out = profile.residual_quantiles(table, ["model"])
-    return rounded(out.drop("normal"))
+    return rounded(profile.residual_quantiles(table, ["model"]))
 
 
 @query(
