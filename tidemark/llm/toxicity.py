@@ -45,9 +45,10 @@ SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 INVISIBLE = "­​‌‍⁠﻿"
 
 _TABLE = {ord(a): b for a, b in HOMOGLYPHS.items()} | {ord(c): None for c in INVISIBLE}
-#: A sign stands for a letter only inside a word: with a letter on one side and a letter or sign on the other.
-_LEET = re.compile(r"(?<=[^\W\d_])[0134578@$!|€]+(?=[^\W\d_])|(?<![^\W_])[0134578@$|€]+(?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[0134578@$|€]+(?![^\W_])")
-_HAS_SIGN = re.compile(r"[0134578@$!|€]")
+#: A word with digits or signs and two letters or more is read with its signs as letters; an exclamation mark only between letters.
+_SIGNED = re.compile(r"(?:[^\W\d_]|[@$|€])*[0-9@$|€][\w@$|€]*")
+_HAS_SIGN = re.compile(r"[01345789@$|€]")
+_MARK = re.compile(r"(?<=[^\W\d_])!(?=[^\W\d_])")
 _SIGN_TABLE = {ord(a): b for a, b in SIGNS.items()}
 _BREAK = re.compile(r"[\W_]+")
 
@@ -58,8 +59,10 @@ def folded(text: str) -> str:
     t = t.lower()
     if not t.isascii():
         t = t.translate(_TABLE)
+    if "!" in t:
+        t = _MARK.sub("i", t)
     if _HAS_SIGN.search(t):
-        t = _LEET.sub(lambda m: m[0].translate(_SIGN_TABLE), t)
+        t = _SIGNED.sub(lambda m: m[0].translate(_SIGN_TABLE) if sum(map(str.isalpha, m[0])) >= 2 else m[0], t)
     return f" {_BREAK.sub(' ', t).strip()} "
 
 
