@@ -28,10 +28,14 @@ from tidemark.llm.common import arrow_map, settled, shipped
 
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 40_000
-#: Entries and exceptions of the lexicon, at most; texts an entry must mark; its share of toxic texts.
+#: Terms of toxic texts that are looked at, at most, the most frequent first; entries and exceptions of the
+#: lexicon, at most; texts (and contexts) an entry must mark; its share of toxic texts.
+CANDIDATES = 100_000
 ENTRIES = 2_000
 SUPPORT = 5
-PRECISION = 0.7
+PRECISION = 0.8
+#: Log likelihood ratio that an entry must reach: chance among millions of terms does not.
+SURPRISE = 18.0
 PREFIXES = (4, 5, 6, 7, 8)
 
 # Look-alike letters (Cyrillic, Greek and others), and signs that stand for letters.
@@ -146,22 +150,83 @@ def _log_odds(a: float, b: float, na: float, nb: float) -> float:
     return math.log((a + 0.5) / (na - a + 0.5)) - math.log((b + 0.5) / (nb - b + 0.5))
 
 
+def surprise(a: float, b: float, share: float) -> float:
+    """Log likelihood ratio of ``a`` toxic among ``a + b`` against the general share of toxic texts."""
+    n = a + b
+    out = 0.0
+    for k, p in ((a, share), (b, 1.0 - share)):
+        if k:
+            out += k * math.log(k / n / max(p, 1e-12))
+    return out
+
+
 def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Entries with weights: terms that mark toxic texts, the shorter one where a longer one adds nothing."""
-    good = {}
-    for t, a in toxic.items():
-        b = clean.get(t, 0)
-        lift = (a / max(n_toxic, 1)) / max((a + b) / max(n_toxic + n_clean, 1), 1e-12)
-        if a >= SUPPORT and a >= PRECISION * (a + b) and lift >= 2:
-            good[t] = (a, b)
+    """Entries with weights: terms that mark toxic texts.
+
+    Of a term and its beginnings the shortest that marks is taken, and made longer as long
+    as that marks toxic texts (almost) as surely.
+    """
+    share = n_toxic / max(n_toxic + n_clean, 1)
+
+    def sure(t):
+        return surprise(toxic[t], clean.get(t, 0), share)
+
+    def marks(t):
+        a, b = toxic[t], clean.get(t, 0)
+        return a >= SUPPORT and a >= PRECISION * (a + b) and sure(t) >= SURPRISE
+
+    longer: dict[str, list[str]] = {}
+    for t in toxic:
+        if t.endswith(" "):
+            parent = next((t[:k] for k in range(len(t) - 1, 1, -1) if t[:k] in toxic), None)
+        else:
+            parent = t[:-1] if t[:-1] in toxic else None
+        if parent:
+            longer.setdefault(parent, []).append(t)
     out: dict[str, float] = {}
-    for t in sorted(good, key=lambda t: (len(t.strip()), t)):
-        a, b = good[t]
-        shorter = [s for s in (t[:k] for k in range(2, len(t))) if s in out]
-        if not shorter:
-            out[t] = _log_odds(a, b, n_toxic, n_clean)
-    best = sorted(out, key=lambda t: (-out[t], t))[:ENTRIES]
-    return {t: round(out[t], 6) for t in best}
+    for t in sorted(filter(marks, toxic), key=lambda t: (len(t.strip()), t)):
+        if any(t[:k] in out for k in range(2, len(t) + 1)):
+            continue
+        top = t
+        while more := [x for x in longer.get(top, ()) if marks(x) and sure(x) >= 0.98 * sure(top)]:
+            top = max(more, key=lambda x: (sure(x), x))
+        out[top] = round(_log_odds(toxic[top], clean.get(top, 0), n_toxic, n_clean), 6)
+    return out
+
+
+def _contexts(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(entry, toxic, contexts): different pairs of neighbour words that an entry's matches have.
+
+    Copies of one text give one context, so their words cannot pass for a lexicon.
+    """
+
+    def find(batches):
+        automaton = lexicon.automaton()
+        for batch in batches:
+            seen = set()
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                t = folded(text or "")
+                for end, (n, _) in automaton.iter(t) if len(automaton) else ():
+                    b = end - n + 1
+                    e = t.index(" ", b + 1)
+                    after = t.find(" ", e + 1)
+                    before = t.rfind(" ", 0, b) if b else 0
+                    seen.add((t[b : end + 1], y, t[before:b] + "|" + t[e : max(after, e)]))
+            entry, y, context = zip(*seen) if seen else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(entry, pa.string()), pa.array(y, pa.int32()), pa.array(context, pa.string())], names=["entry", "toxic", "context"])
+
+    found = arrow_map(rows.select("text", "toxic"), find, "entry string, toxic int, context string").distinct()
+    return found.groupBy("entry", "toxic").agg(F.count("*").alias("contexts"))
+
+
+def varied(weights: dict[str, float], contexts: dict[tuple[str, int], int], share: float) -> dict[str, float]:
+    """The entries that still mark toxic texts when each context counts once, best first."""
+    out = []
+    for t, w in weights.items():
+        a, b = contexts.get((t, 1), 0), contexts.get((t, 0), 0)
+        if a >= SUPPORT and a >= PRECISION * (a + b) and surprise(a, b, share) >= SURPRISE:
+            out.append((-w, t))
+    return {t: -w for w, t in sorted(out)[:ENTRIES]}
 
 
 def _phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -218,9 +283,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     lexicon = Lexicon()
     if not n_toxic or not n_clean:
         return lexicon
-    marked = {r["term"]: r["n"] for r in _counted(rows.where("toxic = 1"), None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(50 * ENTRIES).collect()}
+    frequent = _counted(rows.where("toxic = 1"), None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(CANDIDATES)
+    marked = {r["term"]: r["n"] for r in frequent.collect()}
     clean = {r["term"]: r["n"] for r in _counted(rows.where("toxic = 0"), set(marked)).collect()}
     lexicon.weights = choose(marked, clean, n_toxic, n_clean)
+    contexts = {(r["entry"], r["toxic"]): r["contexts"] for r in _contexts(rows, lexicon).collect()}
+    lexicon.weights = varied(lexicon.weights, contexts, n_toxic / (n_toxic + n_clean))
     spared = _phrases(rows, lexicon).where(F.col("clean") >= 3).where(F.col("toxic") <= 0.25 * (F.col("clean") + F.col("toxic")))
     lexicon.exceptions = {r["phrase"] for r in spared.orderBy(F.desc("clean"), "phrase").limit(ENTRIES).collect()} - set(lexicon.weights)
     seen = [(r["weight"], r["words"], r["toxic"]) for r in _measured(rows, lexicon).collect()]  # ``sample`` rows at most
