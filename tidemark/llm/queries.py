@@ -26,11 +26,11 @@ def op3_merkle_fixity(spark, sf_dir):
     The replica lacks the pages whose bytes are a multiple of 89 in number, and has another
     first byte in the records of those with a multiple of 97.
     """
-    rows = warc.records(table(spark, sf_dir, "pages"))
-    source = settled(warc.fixity(rows.drop("payload")))
     size = F.col("payload")
     damaged = F.when(size % 97 == 0, F.concat(F.lit("X"), F.substr("record", F.lit(2)))).otherwise(F.col("record"))
-    replica = settled(warc.fixity(rows.where(size % 89 != 0).withColumn("record", damaged).drop("payload")))
+    rows = settled(warc.fixity(table(spark, sf_dir, "pages"), {"other": warc.digest(damaged)}))
+    source = rows.select("page_id", "archive", "offset", "length", "sha256")
+    replica = rows.where(size % 89 != 0).select("archive", "offset", "length", F.col("other").alias("sha256"))
     found = warc.audit(source, replica)
     return source.join(found, ["archive", "offset"], "left").select("page_id", "archive", "offset", "length", "sha256", F.coalesce("status", F.lit("ok")).alias("status"))
 
@@ -101,11 +101,11 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 OP3 = r"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 r AS (SELECT page_id, url, strlen(html) AS size, 'WARC/1.0' || n || 'WARC-Type: resource' || n || 'WARC-Target-URI: ' || regexp_replace(url, '[\r\n]', '%0A', 'g') || n || 'WARC-Date: 1970-01-01T00:00:00Z' || n
-  || 'WARC-Record-ID: <urn:sha256:' || sha256(html) || '>' || n || 'Content-Type: text/html' || n || 'Content-Length: ' || strlen(html) || n || n || html AS record
+  || 'WARC-Record-ID: <urn:sha256:' || sha256(html) || '>' || n || 'Content-Type: text/html' || n || 'Content-Length: ' || strlen(html) || n || n || html AS record, n
   FROM p, (SELECT chr(13) || chr(10) AS n)),
 a AS (SELECT *, CAST(floor(page_id / 256.0) AS BIGINT) AS archive, strlen(record) + 4 AS length FROM r)
-SELECT page_id, archive, CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id, url, sha256(record) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
-       CAST(length AS BIGINT) AS length, sha256(record || chr(13) || chr(10) || chr(13) || chr(10)) AS sha256,
+SELECT page_id, archive, CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id, url, sha256(record || n || n) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+       CAST(length AS BIGINT) AS length, sha256(record || n || n) AS sha256,
        CASE WHEN size % 89 = 0 THEN 'missing' WHEN size % 97 = 0 THEN 'changed' ELSE 'ok' END AS status
 FROM a
 """

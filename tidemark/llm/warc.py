@@ -28,30 +28,46 @@ END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 
 
-def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_archive: int = PER_ARCHIVE) -> DataFrame:
-    """(archive, page_id, offset, length, payload, record): a WARC resource record for each page, laid out in archives.
-
-    Archive: page_id in steps of ``per_archive`` (null ids have one of their own, null); order:
-    page_id, url, digest. Null urls and pages are empty; repeated rows are records each.
-    ``record`` is without its closing blank lines, ``length`` counts them; ``payload`` is the page's bytes.
-    """
+def _record(pages: DataFrame, page_id: str, url: str, html: str, per_archive: int) -> DataFrame:
+    """(archive, page_id, url, payload, length, record, sha256) of each page."""
     p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     uri = F.regexp_replace("url", r"[\r\n]", "%0A")
-    digest = F.sha2("html", 256)
     record = F.concat(
-        F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: "), uri, F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Record-ID: <urn:sha256:"), digest,
+        F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: "), uri, F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Record-ID: <urn:sha256:"), F.sha2("html", 256),
         F.lit(">\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length("html").cast("string"), F.lit(END), F.col("html"),
     )
-    archive = F.floor(F.col("page_id") / per_archive).cast("long")
-    rows = p.select(archive.alias("archive"), "page_id", "url", F.octet_length("html").cast("long").alias("payload"), record.alias("record"))
-    rows = rows.withColumn("length", (F.octet_length("record") + len(END)).cast("long"))
-    order = Window.partitionBy("archive").orderBy("page_id", "url", F.sha2("record", 256)).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long")).select("archive", "page_id", "offset", "length", "payload", "record")
+    rows = p.select(F.floor(F.col("page_id") / per_archive).cast("long").alias("archive"), "page_id", "url", F.octet_length("html").cast("long").alias("payload"), record.alias("record"))
+    return rows.withColumn("length", (F.octet_length("record") + len(END)).cast("long")).withColumn("sha256", digest(F.col("record")))
+
+
+def digest(record):
+    """SHA-256 of a record with its closing blank lines."""
+    return F.sha2(F.concat(record, F.lit(END)), 256)
+
+
+def _laid_out(rows: DataFrame) -> DataFrame:
+    order = Window.partitionBy("archive").orderBy("page_id", "url", "sha256").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long"))
 
 
-def fixity(rows: DataFrame) -> DataFrame:
-    """(archive, offset, length, sha256) of records with their closing blank lines; other columns stay, the text goes."""
-    return rows.withColumn("sha256", F.sha2(F.concat("record", F.lit(END)), 256)).drop("record")
+def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_archive: int = PER_ARCHIVE) -> DataFrame:
+    """(archive, page_id, offset, length, payload, sha256, record): a WARC resource record for each page, laid out in archives.
+
+    Archive: page_id in steps of ``per_archive`` (null ids have one of their own, null); order:
+    page_id, url, digest. Null urls and pages are empty; repeated rows are records each.
+    ``record`` is without its closing blank lines, ``length`` and ``sha256`` count them;
+    ``payload`` is the page's bytes.
+    """
+    return _laid_out(_record(pages, page_id, url, html, per_archive)).drop("url")
+
+
+def fixity(pages: DataFrame, more=None, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_archive: int = PER_ARCHIVE) -> DataFrame:
+    """``records`` without the records themselves: only their digests are shuffled into archives.
+
+    ``more``: further columns by name, computed from the columns of ``records`` but offset.
+    """
+    rows = _record(pages, page_id, url, html, per_archive).withColumns(more or {}).drop("record")
+    return _laid_out(rows).drop("url")
 
 
 def write_archives(rows: DataFrame, path: str) -> None:
