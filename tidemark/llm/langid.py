@@ -30,6 +30,9 @@ NGRAM = 3
 #: Texts whose best codeword's share of the decoded weight is below this are ambiguous.
 AMBIGUOUS = 0.55
 
+#: Text bytes that are looked at together: what a task holds does not grow with a text.
+BLOCK = 1 << 18
+
 # Letters keep their byte (A-Z lower-cased), the rest is one blank.
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -72,6 +75,20 @@ def buckets(data: np.ndarray, bounds: np.ndarray, bits: int, n: int) -> tuple[np
     return code.astype(np.int64), counts
 
 
+def gram_blocks(texts, bits: int, n: int):
+    """(first row, end row, buckets, whether they count, row bounds) over ``BLOCK`` bytes of texts at a time.
+
+    A longer text comes in several blocks; each of its n-grams is in one of them.
+    """
+    for lo, hi, data, bounds in text_chunks(texts, BLOCK):
+        if hi - lo > 1 or len(data) <= BLOCK:
+            yield lo, hi, *buckets(data, bounds, bits, n), bounds
+        else:
+            for a in range(0, len(data), BLOCK):
+                part = data[a : a + BLOCK + n - 1]
+                yield lo, hi, *buckets(part, np.array([0, len(part)]), bits, n), np.array([0, len(part)])
+
+
 @dataclass
 class Model:
     """langs, their codewords, one row of margins per bucket, bit weights; sized by ``bits`` and the code."""
@@ -93,8 +110,7 @@ def _counted(labelled: DataFrame, bits: int, n: int) -> list:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for lo, hi, data, bounds in text_chunks(batch.column(1)):
-                code, counts = buckets(data, bounds, bits, n)
+            for lo, hi, code, counts, bounds in gram_blocks(batch.column(1), bits, n):
                 for name in set(langs[lo:hi]):
                     own = np.zeros(hi - lo, bool)
                     own[[i for i in range(hi - lo) if langs[lo + i] == name]] = True
@@ -158,22 +174,20 @@ def classifier(model: Model):
     def predict(texts: pa.Array) -> pa.Array:
         n = len(texts)
         lang, score, unclear = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
-        for lo, hi, data, bounds in text_chunks(texts):
-            lettered = np.flatnonzero([_has_letter(t) for t in texts[lo:hi].to_pylist()])
-            if not len(lettered) or not model.langs:
-                continue
-            code, counts = buckets(data, bounds, model.bits, model.ngram)
-            sums = np.zeros((len(code) + 1, model.weights.shape[1]))
-            seen = np.zeros(len(code) + 1)
-            np.cumsum(model.weights[code] * counts[:, None], axis=0, out=sums[1:])
-            np.cumsum(counts, out=seen[1:])
+        total, seen = np.zeros((n, model.codes.shape[1])), np.zeros(n)
+        for lo, hi, code, counts, bounds in gram_blocks(texts, model.bits, model.ngram) if model.langs else ():
             ends = np.minimum(bounds, len(code))
-            total = (sums[ends[1:]] - sums[ends[:-1]])[lettered]
-            seen = (seen[ends[1:]] - seen[ends[:-1]])[lettered]
-            # like evidence for each n-gram up to 64 of them: longer texts are not surer without end
-            margins = total / np.maximum(seen, 1)[:, None] * np.minimum(seen, 64)[:, None] / 4
+            sums = np.zeros((len(code) + 1, total.shape[1]))
+            np.cumsum(model.weights[code] * counts[:, None], axis=0, out=sums[1:])
+            total[lo:hi] += sums[ends[1:]] - sums[ends[:-1]]
+            sums = np.concatenate([[0], np.cumsum(counts)])
+            seen[lo:hi] += sums[ends[1:]] - sums[ends[:-1]]
+        # like evidence for each n-gram up to 64 of them: longer texts are not surer without end
+        lettered = [i for lo in range(0, n, 500) for i, t in enumerate(texts[lo : lo + 500].to_pylist(), lo) if _has_letter(t)]
+        if lettered and model.langs:
+            margins = (total / np.maximum(seen, 1)[:, None] * np.minimum(seen, 64)[:, None] / 4)[lettered]
             best, share = decode(margins, model)
-            for i, b, s in zip((lettered + lo).tolist(), best.tolist(), share.tolist()):
+            for i, b, s in zip(lettered, best.tolist(), share.tolist()):
                 lang[i], score[i], unclear[i] = model.langs[b], s, s < model.ambiguous
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score), pa.array(unclear)], fields=list(kind))
 
@@ -196,4 +210,4 @@ def rejects(docs: DataFrame, model: Model, *, text: str = "text"):
     """A condition: the text is of no language, or ambiguous between languages."""
     shipped(docs.sparkSession)
     found = classifier(model)(F.col(text))
-    return (found["lang_pred"] == UNKNOWN) | found["ambiguous"]
+    return found["ambiguous"]  # texts of no language are, too
