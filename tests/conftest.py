@@ -23,4 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from tidemark.sources.store import drop_scratch
+
+    drop_scratch(session)
     session.stop()

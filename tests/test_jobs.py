@@ -310,3 +310,14 @@ def test_stateful_features_equal_batch(spark, tmp_path):
     want = table(f.realized_vol(df, (5, 20, 60), grain="day"), "series", "bar")
     for n in (5, 20, 60):
         same(got[f"vol_{n}"], want[f"vol_{n}"], 1e-9)
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    first = store.stored(spark.range(3), "probe")
+    folder = store._own_scratch(spark).removeprefix("file:")
+    assert first.count() == 3 and os.path.isdir(folder)
+    store.drop_scratch(spark)
+    assert not os.path.exists(folder)
+    assert store.stored(spark.range(4), "probe").count() == 4

@@ -251,26 +251,23 @@ def union_layers(spark, sf):
 @query(
     sql_round(
         """SELECT series, bar, strftime(bar, '%Y-%m-%d') AS day, exp(ret) - 1 AS simple_ret,
-                  CAST(printf('%.2f', ret * 100) AS DOUBLE) AS pct,
-                  CASE WHEN ret < 0 THEN '-' ELSE '+' END AS sign
+                  printf('%.2f percent', ret * 100) AS pct, printf('%+.1f percent', ret * 100) AS signed
            FROM supplier_curated""",
-        ("simple_ret", "pct"),
+        ("simple_ret",),
         SUPPLIER_BASE,
     )
 )
 def scalar_formats(spark, sf):
-    """Date and percent texts; the numbers are read back from the texts for comparison."""
+    """Date and percent texts."""
     curated = supplier_curated(spark, sf)
-    text = percent_text(F.col("ret"))
-    signed = signed_percent_text(F.when(F.col("ret") < 0, -1.0).otherwise(1.0))
     return rounded(
         curated.select(
             "series",
             "bar",
             iso_date(F.col("bar")).alias("day"),
             simple_return(F.col("ret")).alias("simple_ret"),
-            F.regexp_extract(text, r"^(.*) percent$", 1).cast("double").alias("pct"),
-            F.substring(signed, 1, 1).alias("sign"),
+            percent_text(F.col("ret")).alias("pct"),
+            signed_percent_text(F.col("ret") * 100.0).alias("signed"),
         )
     )
 

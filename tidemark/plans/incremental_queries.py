@@ -181,3 +181,38 @@ def dates_to_predict(spark, sf):
     """Forecast keys that the history does not hold yet."""
     rows = forecasts(spark, sf)
     return incremental.dates_to_process(rows, cut(rows, LINE_CUT)[0], ["series", "model", "bar"])
+
+
+@query(
+    sql_round(
+        f"""SELECT series, bar, ret FROM supplier_curated
+            WHERE bar >= (SELECT min(bar) FROM supplier_curated WHERE bar >= TIMESTAMP '{LINE_CUT}') - INTERVAL 150 DAYS""",
+        ("ret",),
+        SUPPLIER_BASE,
+    )
+)
+def context_days(spark, sf):
+    """Stored rows from 150 calendar days before the first new bar to the last one."""
+    curated = store.stored(tables.supplier_curated(spark, sf).select("series", "bar", "ret"), "curated")
+    _, new = cut(curated, LINE_CUT)
+    return rounded(incremental.context_by_days(curated, new))
+
+
+@query(
+    sql_round(
+        """SELECT series, bar, ret, strftime(date_trunc('month', bar), '%Y-%m-%d') AS month FROM supplier_curated
+           WHERE date_trunc('month', bar) IN (SELECT DISTINCT date_trunc('month', o_orderdate) FROM orders)""",
+        ("ret",),
+        SUPPLIER_BASE,
+    )
+)
+def tolerant_read(spark, sf):
+    """Monthly partitions read by a list of months, some of which the table does not have."""
+    path = store.scratch_path(spark, "months")
+    curated = tables.supplier_curated(spark, sf).select("series", "bar", "ret")
+    store.write_partitions(curated, path, order="bar", by="month", unit="month")
+    back = store.read_partitions(spark, path, "series long, bar timestamp_ntz, ret double, month string", tolerant=True)
+    months = tables.table(spark, sf, "orders").select(
+        F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("month")
+    )
+    return rounded(store.read_by_dates(back, months, "month"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import baselines, models, split
+from tidemark.operators import baselines, models, prep, split
 from tidemark.operators.features import SERIES_FEATURES
 from tidemark.plans.common import (
     LINE_GRAIN,
@@ -121,25 +121,17 @@ def linear_models(spark, sf):
     return rounded(models.linear_models(training_table(spark, sf), COLUMNS))
 
 
-@query(
-    sql_round(
-        """SELECT t.split, count(*) AS n, sqrt(avg(power(p - rv_5d, 2))) AS rmse,
-                  avg(abs(p - rv_5d)) AS mae,
-                  1 - avg(power(p - rv_5d, 2)) / var_pop(rv_5d) AS r2
-           FROM (SELECT t.*, w.my + w.w1 * (t.vol_5 - w.m1) + w.w2 * (t.vol_20 - w.m2)
-                        + w.w3 * (t.vol_60 - w.m3) AS p
-                 FROM training t CROSS JOIN weights w) t
-           GROUP BY t.split""",
-        ("rmse", "mae", "r2"),
-        (
-            *TRAINING_CTES,
-            """sums AS (
+SUMS = """sums AS (
   SELECT avg(vol_5) AS m1, avg(vol_20) AS m2, avg(vol_60) AS m3, avg(rv_5d) AS my,
          var_pop(vol_5) AS c11, covar_pop(vol_5, vol_20) AS c12, covar_pop(vol_5, vol_60) AS c13,
          var_pop(vol_20) AS c22, covar_pop(vol_20, vol_60) AS c23, var_pop(vol_60) AS c33,
          covar_pop(vol_5, rv_5d) AS y1, covar_pop(vol_20, rv_5d) AS y2, covar_pop(vol_60, rv_5d) AS y3
-  FROM training WHERE split = 'train')""",
-            """weights AS (
+  FROM training WHERE split = 'train')"""
+
+
+def _solved(penalty: str = "0") -> str:
+    """Weights of three features from the sums, with ``penalty`` on the diagonal."""
+    out = """weights AS (
   SELECT m1, m2, m3, my,
          (y1 * (c22 * c33 - c23 * c23) - c12 * (y2 * c33 - c23 * y3)
           + c13 * (y2 * c23 - c22 * y3)) / det AS w1,
@@ -148,10 +140,22 @@ def linear_models(spark, sf):
          (c11 * (c22 * y3 - c23 * y2) - c12 * (c12 * y3 - y2 * c13)
           + y1 * (c12 * c23 - c22 * c13)) / det AS w3
   FROM (SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13)
-               + c13 * (c12 * c23 - c22 * c13) AS det FROM sums) d)""",
-        ),
-    )
-)
+               + c13 * (c12 * c23 - c22 * c13) AS det FROM sums) d)"""
+    for c in ("c11", "c22", "c33"):
+        out = out.replace(c, f"({c} + {penalty})")
+    return out
+
+
+THREE = """SELECT t.split, count(*) AS n, sqrt(avg(power(p - rv_5d, 2))) AS rmse,
+                  avg(abs(p - rv_5d)) AS mae,
+                  1 - avg(power(p - rv_5d, 2)) / var_pop(rv_5d) AS r2
+           FROM (SELECT t.*, w.my + w.w1 * (t.vol_5 - w.m1) + w.w2 * (t.vol_20 - w.m2)
+                        + w.w3 * (t.vol_60 - w.m3) AS p
+                 FROM training t CROSS JOIN weights w) t
+           GROUP BY t.split"""
+
+
+@query(sql_round(THREE, ("rmse", "mae", "r2"), (*TRAINING_CTES, SUMS, _solved())))
 def har_rv(spark, sf):
     """Errors of the unpenalised linear model on volatilities of three horizons."""
     rows = complete(training_table(spark, sf))
@@ -159,6 +163,39 @@ def har_rv(spark, sf):
     return rounded(models.split_metrics(model.transform(models.assemble(rows, HAR))))
 
 
+@query(
+    sql_round(
+        THREE,
+        ("rmse", "mae", "r2"),
+        (*TRAINING_CTES, SUMS.replace("SELECT avg(vol_5)", "SELECT count(*) AS rows_, avg(vol_5)"), _solved(f"{models.STACK_ALPHA} / rows_")),
+    )
+)
+def extended_stack(spark, sf):
+    """Ridge on three base forecasts of the label."""
+    rows = complete(training_table(spark, sf))
+    model = models.stack_models(rows.where("split = 'train'"), HAR)
+    return rounded(models.split_metrics(model.transform(models.assemble(rows, HAR))))
+
+
+@query(
+    sql_round(
+        """SELECT t.series, t.bar, 'har' AS model_name, w.my + w.w1 * (t.vol_5 - w.m1) + w.w3 * (coalesce(t.vol_60, w.m3) - w.m3) AS prediction
+           FROM split_rows t CROSS JOIN weights w WHERE t.split = 'test' AND t.vol_5 IS NOT NULL""",
+        ("prediction",),
+        (*TRAINING_CTES, SUMS, _solved()),
+    )
+)
+def batch_scoring(spark, sf):
+    """The predict job: rows that lack a feature altogether, and some values, are filled with train means and scored."""
+    rows = training_table(spark, sf)
+    train = complete(rows.where("split = 'train'"))
+    model = models.har_rv(train, HAR)
+    newest = rows.where("split = 'test' AND vol_5 IS NOT NULL").select("series", "bar", "vol_5", "vol_60")
+    filled = prep.impute_means(newest, prep.feature_means(train, HAR), HAR)
+    out = models.score(model, models.assemble(filled, HAR), "har", keep=("series", "bar"))
+    return rounded(out.drop("prediction_timestamp"))
+
+
 FOLDED = f"""folded AS (
   SELECT t.*, CASE WHEN rn <= n - {models.FOLDS} * size THEN 0
          ELSE CAST((rn - 1 - (n - {models.FOLDS} * size)) // size + 1 AS BIGINT) END AS test_fold

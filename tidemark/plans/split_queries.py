@@ -168,3 +168,23 @@ def standardize(spark, sf):
 
 
 assert set(COLUMNS) <= set(SERIES_FEATURES)
+
+
+@query(
+    sql_round(
+        f"""SELECT split, count(*) AS indices, count(*) AS features, count(rv_5d) AS labels, sum(rv_5d) AS label_sum,
+                  sum(vol_5) AS feature_sum FROM split GROUP BY split""",
+        ("label_sum", "feature_sum"),
+        (*SUPPLIER_ALL, SPLIT),
+    )
+)
+def split_export(spark, sf):
+    """Index, feature and label files of every split, written and read back."""
+    path = store.scratch_path(spark, "export")
+    rows = split_master(spark, sf, clean=False).select("series", "bar", "rv_5d", "vol_5", "split")
+    store.export_splits(rows, path, order="bar", label="rv_5d")
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    n = spark.read.csv(f"{path}/indices", header=True).groupBy("split").agg(F.count(F.lit(1)).alias("indices"))
+    x = read("x").groupBy("split").agg(F.count(F.lit(1)).alias("features"), F.sum("vol_5").alias("feature_sum"))
+    y = read("y").groupBy("split").agg(F.count("rv_5d").alias("labels"), F.sum("rv_5d").alias("label_sum"))
+    return rounded(n.join(x, "split").join(y, "split"))

@@ -30,9 +30,19 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the scratch root."""
-    return f"{scratch_root(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the scratch root; :func:`drop_scratch` removes it."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all that this application wrote below the scratch root; results read from there end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
