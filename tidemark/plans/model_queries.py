@@ -240,10 +240,10 @@ _FITTED: dict = {}
 def fitted(spark, sf, name, estimator):
     """(model, assembled rows): one fit per session, table and name, as several queries look at it."""
     key = (spark.sparkContext.applicationId, sf, name)
+    rows = models.assemble(complete(training_table(spark, sf)), COLUMNS)
     if key not in _FITTED:
-        rows = models.assemble(complete(training_table(spark, sf)), COLUMNS)
-        _FITTED[key] = estimator.fit(rows.where("split = 'train'")), rows
-    return _FITTED[key]
+        _FITTED[key] = estimator.fit(rows.where("split = 'train'"))
+    return _FITTED[key], rows
 
 
 def tree_facts(name, model, rows):
