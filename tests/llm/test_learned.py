@@ -106,6 +106,9 @@ def test_folding():
     assert toxicity.folded("10 men, 108.51 3rd!") == " 10 men 108 51 erd "
     assert toxicity.folded("w!nd m4$h. no!") == " wind mash no "
     assert toxicity.folded("!!! \n") == "  "
+    for text in ("Été, ÜBER_all – «ça»!", "Été, ÜBER_all ça! x9y @b2c c-d", "A\x00b\x1fc\u00a0d"):  # both ways of folding agree
+        slow = toxicity.folded(text + " —")
+        assert toxicity.folded(text) == slow
 
 
 def test_matches_follow_the_lexicon():

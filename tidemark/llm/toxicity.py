@@ -45,29 +45,36 @@ HOMOGLYPHS = {
     "у": "y", "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "μ": "u", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t",
     "υ": "u", "χ": "x", "γ": "y", "ω": "w", "ı": "i", "ɑ": "a", "ɡ": "g", "ʟ": "l", "ո": "n", "ս": "u", "օ": "o",
 }
-SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e"}
+SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "|": "i", "€": "e"}
 INVISIBLE = "­​‌‍⁠﻿"
 
 _TABLE = {ord(a): b for a, b in HOMOGLYPHS.items()} | {ord(c): None for c in INVISIBLE}
-#: A word with digits or signs and two letters or more is read with its signs as letters; an exclamation mark only between letters.
-_SIGNED = re.compile(r"(?:[^\W\d_]|[@$|€])*[0-9@$|€][\w@$|€]*")
+_SIGN_TABLE = {ord(a): b for a, b in SIGNS.items()}
 _HAS_SIGN = re.compile(r"[01345789@$|€]")
 _MARK = re.compile(r"(?<=[^\W\d_])!(?=[^\W\d_])")
-_SIGN_TABLE = {ord(a): b for a, b in SIGNS.items()}
 _BREAK = re.compile(r"[\W_]+")
+#: Anything but ASCII and the letters of Latin-1, which need no folding but that of case.
+_ODD = re.compile(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]")
+_SEPARATE = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def _letters_for_signs(word: str) -> str:
+    """A word with digits or signs and two letters or more, read with its signs as letters."""
+    return word.translate(_SIGN_TABLE) if _HAS_SIGN.search(word) and sum(map(str.isalpha, word)) >= 2 else word
 
 
 def folded(text: str) -> str:
     """The text as words of folded letters with one blank around each."""
-    t = text if text.isascii() else unicodedata.normalize("NFKC", text)
-    t = t.lower()
-    if not t.isascii():
-        t = t.translate(_TABLE)
+    t = text.lower()
+    odd = _ODD.search(t)
+    if odd:
+        t = unicodedata.normalize("NFKC", text).lower().translate(_TABLE)
     if "!" in t:
-        t = _MARK.sub("i", t)
+        t = _MARK.sub("i", t)  # an exclamation mark only between letters
     if _HAS_SIGN.search(t):
-        t = _SIGNED.sub(lambda m: m[0].translate(_SIGN_TABLE) if sum(map(str.isalpha, m[0])) >= 2 else m[0], t)
-    return f" {_BREAK.sub(' ', t).strip()} "
+        t = " ".join(map(_letters_for_signs, t.replace("!", " ").split()))
+    t = _BREAK.sub(" ", t) if odd else t.encode().translate(_SEPARATE).decode()
+    return f" {' '.join(t.split())} "
 
 
 @dataclass
