@@ -26,9 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 
+#: Rows of an Arrow batch, at most: a batch of whole texts must fit beside the executor's heap.
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def shipped(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, once per application (Spark's file server delivers it)."""
+    """Hand this package to the Python workers, once per application (Spark's file server delivers it).
+
+    Also lowers the session's Arrow batch to ``BATCH_ROWS`` rows where it is larger.
+    """
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -34,6 +34,8 @@ CANDIDATES = 100_000
 ENTRIES = 2_000
 SUPPORT = 5
 PRECISION = 0.8
+#: Tallies that a task holds, about.
+TALLY = 100_000
 #: Log likelihood ratio that an entry must reach: chance among millions of terms does not.
 SURPRISE = 18.0
 PREFIXES = (4, 5, 6, 7, 8)
@@ -137,20 +139,37 @@ def _terms(words: list[str]) -> set[str]:
     return out
 
 
-def _counted(rows: DataFrame, wanted: set[str] | None) -> DataFrame:
-    """(term, toxic, n): texts that hold each term; ``wanted`` limits the terms looked at."""
+def _tallied(rows: DataFrame, found, name: str) -> DataFrame:
+    """(name, toxic, n): rows that hold each string of ``found(text)``; a task passes its tallies on before they grow large."""
 
     def count(batches):
-        total: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        total: Counter = Counter()
+
+        def out():
+            keys = list(total)
+            columns = [pa.array([t for t, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()), pa.array([total[k] for k in keys], pa.int64())]
+            total.clear()
+            return pa.RecordBatch.from_arrays(columns, names=[name, "toxic", "n"])
+
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                terms = _terms(folded(text or "").split())
-                total[y].update(terms if wanted is None else terms & wanted)
-        rows = [(t, y, n) for y, c in total.items() for t, n in c.items()]
-        t, y, n = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(y, pa.int32()), pa.array(n, pa.int64())], names=["term", "toxic", "n"])
+                total.update((t, y) for t in found(text or ""))
+                if len(total) > TALLY:
+                    yield out()
+        yield out()
+
+    counts = arrow_map(rows.select("text", "toxic"), count, f"{name} string, toxic int, n bigint")
+    return counts.groupBy(name, "toxic").agg(F.sum("n").alias("n"))
+
+
+def _counted(rows: DataFrame, wanted: set[str] | None) -> DataFrame:
+    """(term, toxic, n): texts that hold each term; ``wanted`` limits the terms looked at."""
+
+    def found(text):
+        terms = _terms(folded(text).split())
+        return terms if wanted is None else terms & wanted
 
-    return arrow_map(rows.select("text", "toxic"), count, "term string, toxic int, n bigint").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
+    return _tallied(rows, found, "term")
 
 
 def _log_odds(a: float, b: float, na: float, nb: float) -> float:
@@ -239,29 +258,26 @@ def varied(weights: dict[str, float], contexts: dict[tuple[str, int], int], shar
 def _phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
     """(phrase, toxic, n): words that hold an entry, and such words with a neighbour, by texts."""
 
-    def count(batches):
-        automaton = lexicon.automaton()
-        total: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = folded(text or "")
-                found = set()
-                for end, (n, _) in automaton.iter(t) if len(automaton) else ():
-                    b = end - n + 1
-                    e = t.index(" ", b + 1)
-                    found.add(t[b : e + 1])
-                    after = t.find(" ", e + 1)
-                    before = t.rfind(" ", 0, b) if b else -1
-                    if after > 0:
-                        found.add(t[b : after + 1])
-                    if before >= 0:
-                        found.add(t[before : e + 1])
-                total[y].update(found)
-        rows = [(t, y, n) for y, c in total.items() for t, n in c.items()]
-        t, y, n = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(y, pa.int32()), pa.array(n, pa.int64())], names=["phrase", "toxic", "n"])
-
-    counts = arrow_map(rows.select("text", "toxic"), count, "phrase string, toxic int, n bigint").groupBy("phrase", "toxic").agg(F.sum("n").alias("n"))
+    held: list = []
+
+    def around(text):
+        if not held:  # built by the task
+            held.append(lexicon.automaton())
+        t = folded(text)
+        found = set()
+        for end, (n, _) in held[0].iter(t) if len(held[0]) else ():
+            b = end - n + 1
+            e = t.index(" ", b + 1)
+            found.add(t[b : e + 1])
+            after = t.find(" ", e + 1)
+            before = t.rfind(" ", 0, b) if b else -1
+            if after > 0:
+                found.add(t[b : after + 1])
+            if before >= 0:
+                found.add(t[before : e + 1])
+        return found
+
+    counts = _tallied(rows, around, "phrase")
     return counts.groupBy("phrase").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
 
 
