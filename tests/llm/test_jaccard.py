@@ -103,6 +103,31 @@ def test_linked_sets_share_a_signature(n):
             assert x & y
 
 
+@pytest.mark.parametrize("percent", [67, 80, 90, 95])
+def test_small_linked_sets_share_a_signature(percent):
+    """All sizes up to 30, one shingle more, or one exchanged."""
+    rng = np.random.default_rng(percent)
+    classes = jaccard.size_classes(percent)
+    linked = 0
+    for n in range(1, 31):
+        for _ in range(10):
+            h = np.unique(textnp.mixed(rng.integers(0, 1 << 62, n + 1).astype(np.uint64)))
+            out = rng.integers(0, n + 1)
+            for a, b in ((h, np.delete(h, out)), (np.delete(h, out), np.delete(h, (out + 1) % (n + 1)))):
+                both = jaccard.overlap(a, b)
+                if 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
+                    linked += 1
+                    assert set(jaccard.all_signatures(a, classes, percent).tolist()) & set(jaccard.all_signatures(b, classes, percent).tolist())
+    assert linked
+
+
+def test_nine_shingles_inside_ten(spark):
+    words = [f"w{i}" for i in range(12)]
+    docs = [(1, " ".join(words[:11])), (2, " ".join(words)), (3, " ".join(words[:10]))]
+    got = jaccard.similarity_classes(docs_frame(spark, docs))
+    assert sorted(map(tuple, got.collect())) == brute(docs) == [(1, 9, 1), (2, 10, 1), (3, 8, 3)]
+
+
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(2)
     points = rng.poisson(4, (300, 16)).astype(np.int32)

@@ -43,8 +43,8 @@ _CLASS_RATIO = 1.5
 
 def size_classes(percent: int, top: int = 1 << 40) -> list[int]:
     """Upper bounds of the size classes; the first holds the sets that only equal sets can link with."""
-    alone = 1
-    while (2 * alone + 2) * (100 - percent) < 100 + percent and alone < 1 << 20:
+    alone = 0  # the nearest unequal sets have alone + 1 and alone + 2 shingles, and one differs
+    while (2 * alone + 3) * (100 - percent) < 100 + percent and alone < 1 << 20:
         alone += 1
     out = [alone]
     while out[-1] < top:
