@@ -145,3 +145,26 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in jaccard.components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_scans_may_split_the_files_differently(spark, tmp_path, monkeypatch):
+    """Each step reads the table in other partitions than the one before, as on a cluster that gains or loses cores."""
+    docs = cases()
+    path = str(tmp_path / "documents")
+    docs_frame(spark, docs, extra=False).repartition(12).write.parquet(path)
+    key, calls = "spark.sql.files.maxPartitionBytes", []
+    was, settled = spark.conf.get(key), jaccard.settled
+
+    def resplit(df):
+        calls.append(df)
+        spark.conf.set(key, "64k" if len(calls) % 2 else "1g")
+        return settled(df.select("*"))  # planned under the new setting
+
+    monkeypatch.setattr(jaccard, "settled", resplit)
+    try:
+        for turn in range(2):
+            calls[:] = [None] * turn
+            got = sorted(map(tuple, jaccard.similarity_classes(spark.read.parquet(path)).collect()), key=repr)
+            assert got == brute(docs)
+    finally:
+        spark.conf.set(key, was)

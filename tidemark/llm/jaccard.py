@@ -109,40 +109,53 @@ def _sets(column, k):
             yield lo + i, _shingles(h[first[i] : first[i + 1]], k)
 
 
+def _fingerprint(h: np.ndarray) -> tuple[int, int, int]:
+    """(size, h1, h2) of a shingle set, the hashes as signed 64-bit values."""
+    sums = np.array([textnp.mixed(h).sum(dtype=_U), textnp.mixed(h ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U)], _U).view(np.int64)
+    return len(h), int(sums[0]), int(sums[1])
+
+
 def _fingerprinted(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(row, doc_id, mark, n, h1, h2, keys) of (row, doc_id, mark, text)."""
     classes = size_classes(percent)
 
     def scan(batches):
         for batch in batches:
             n, a, b, keys = [], [], [], []
-            for _, h in _sets(batch.column(2), k):
-                n.append(len(h))
-                a.append(int(textnp.mixed(h).sum(dtype=_U)))
-                b.append(int(textnp.mixed(h ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U)))
+            for _, h in _sets(batch.column(3), k):
+                for column, value in zip((n, a, b), _fingerprint(h)):
+                    column.append(value)
                 keys.append(all_signatures(h, classes, percent).view(np.int64))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(np.array(a, _U).view(np.int64)), pa.array(np.array(b, _U).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["row", "doc_id", "n", "h1", "h2", "keys"],
+                [*batch.columns[:3], *(pa.array(x, pa.int64()) for x in (n, a, b)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=["row", "doc_id", "mark", "n", "h1", "h2", "keys"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs, scan, f"row bigint, doc_id {kind}, n bigint, h1 bigint, h2 bigint, keys array<bigint>")
+    return arrow_map(docs, scan, f"row bigint, doc_id {kind}, mark bigint, n bigint, h1 bigint, h2 bigint, keys array<bigint>")
 
 
 def _points(docs: DataFrame, k: int, dims: int) -> DataFrame:
-    """(id, points, hashes): a document's count vector and its whole shingle set, as bytes."""
+    """(id, n, h1, h2, again, point, hashes): a document's count vector and its whole shingle set, as bytes.
+
+    Of (id, n, h1, h2, again, text) only the rows whose text has that fingerprint.
+    """
 
     def scan(batches):
         for batch in batches:
-            points, hashes = [], []
-            for _, h in _sets(batch.column(1), k):
-                points.append(np.bincount((h >> _U(40)).astype(np.int64) % dims, minlength=dims).astype(np.int32).tobytes())
-                hashes.append(h.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(points, pa.binary()), pa.array(hashes, pa.binary())], names=["id", "point", "hashes"])
+            wanted = list(zip(*(c.to_pylist() for c in batch.columns[1:4])))
+            rows, points, hashes = [], [], []
+            for i, h in _sets(batch.column(5), k):
+                if _fingerprint(h) == wanted[i]:
+                    rows.append(i)
+                    points.append(np.bincount((h >> _U(40)).astype(np.int64) % dims, minlength=dims).astype(np.int32).tobytes())
+                    hashes.append(h.tobytes())
+            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:5]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(points, pa.binary()), pa.array(hashes, pa.binary())], names=["id", "n", "h1", "h2", "again", "point", "hashes"])
 
-    return arrow_map(docs, scan, "id bigint, point binary, hashes binary")
+    return arrow_map(docs, scan, "id bigint, n bigint, h1 bigint, h2 bigint, again boolean, point binary, hashes binary")
 
 
 # ---- R-tree over count vectors --------------------------------------------------
@@ -270,10 +283,13 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     without a doc_id are returned without a component and link nothing. doc_id is an
     integer. Other columns are not looked at.
     """
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marked = settled(_fingerprinted(source, shingle, percent))
+    # A row's number is made once, in what is written here; texts are read again by what they themselves are.
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
+    numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "mark", "text")
+    marked = settled(_fingerprinted(numbered, shingle, percent))
     known = marked.where("n > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.min_by("row", F.struct("doc_id", "row")).alias("row"))
+    best = F.min_by(F.struct("row", "mark"), F.struct("doc_id", "row"))
+    classes = known.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), best.alias("best")).select("n", "h1", "h2", "id", "best.row", "best.mark")
     classes = settled(classes)
 
     # blocks: the smallest set of each key, and those that share the key
@@ -281,10 +297,16 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     shared = keyed.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("last")).where("block < last").select("key", "block")
     members = settled(keyed.join(shared, "key").select("block", "id").distinct())
 
-    # a class's points come from the text of the row that stands for it
-    used = members.select("id").distinct().join(classes.select("id", "row"), "id")
-    texts = source.join(used.select("row", "id"), "row").select("id", "text")
-    points = settled(_points(texts, shingle, dims))
+    # a class's points come from the text of the row that stands for it, or of one that is equal in doc_id and text
+    used = members.select("id").distinct().join(classes, "id")
+    copies = known.groupBy(F.col("doc_id").alias("id"), "mark").count().where("count > 1")
+    used = used.join(copies, ["id", "mark"], "left").select("id", "mark", "n", "h1", "h2", F.col("count").isNotNull().alias("again"))
+    texts = source.join(used.withColumnRenamed("id", "doc_id"), ["doc_id", "mark"])
+    points = settled(_points(texts.select(F.col("doc_id").alias("id"), "n", "h1", "h2", "again", "text"), shingle, dims))
+    again = points.where("again")
+    if not again.isEmpty():
+        points = points.where("NOT again").union(settled(again.dropDuplicates(["id", "n", "h1", "h2"])))
+    points = points.select("id", "point", "hashes")
 
     width = members.groupBy("block").agg(F.ceil(F.count("*") / page).cast("int").alias("pages"))
     dealt = members.join(width, "block").select("block", "id", "pages", F.pmod(F.xxhash64("id"), "pages").cast("int").alias("page"))
