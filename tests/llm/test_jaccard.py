@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_util import WORDS5, docs_frame, lowered, sentence
 from tidemark.llm import jaccard, textnp
@@ -168,3 +169,21 @@ def test_scans_may_split_the_files_differently(spark, tmp_path, monkeypatch):
             assert got == brute(docs)
     finally:
         spark.conf.set(key, was)
+
+
+def test_no_group_of_the_second_search_holds_its_block(spark, monkeypatch):
+    """Texts of one template, each too far from the others: all meet, a few pages' worth at a time."""
+    rng = random.Random(5)
+    base, sizes, paged = sentence(rng, 185, 5000), [], jaccard._paged
+    docs = [(i, f"{base} " + " ".join(f"u{i}x{k // 2 if i % 7 == 0 else k}" for k in range(15))) for i in range(300)]
+    docs += [(1000 + i, f"{docs[i][1]} tail") for i in range(0, 300, 10)]
+
+    def seen(dealt, points, percent):
+        keys = [c for c in ("block", "page", "chunk") if c in dealt.columns]
+        sizes.append(dealt.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return paged(dealt, points, percent)
+
+    monkeypatch.setattr(jaccard, "_paged", seen)
+    got = jaccard.similarity_classes(docs_frame(spark, docs), page=16)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(docs)
+    assert len(sizes) == 2 and max(sizes) <= 4 * 16

@@ -16,7 +16,7 @@ Two sets of shingles are linked when 100 * |A & B| >= percent * |A | B|. Then
    verified on the whole sets, unless earlier links of the page connect them already.
    The block's smallest set is in each of its pages, so pages of copies connect there.
 4. In blocks of several pages, sets that are not connected to the smallest one meet
-   all pages of their block once more.
+   all pages of their block once more, in chunks of about PAGE sets.
 5. Components of the links found: smallest label over neighbours, with label jumping.
 
 Links that add nothing to a component are not listed; components lose none.
@@ -312,7 +312,7 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     dealt = members.join(width, "block").select("block", "id", "pages", F.pmod(F.xxhash64("id"), "pages").cast("int").alias("page"))
     dealt = settled(dealt)
     leaders = dealt.where("pages > 1 AND id = block").select("block", "id", "pages", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"))
-    first = dealt.union(leaders.select("block", "id", "pages", "page")).distinct()
+    first = dealt.union(leaders.select("block", "id", "pages", "page")).distinct().withColumn("chunk", F.lit(0))
     found = settled(_paged(first.withColumn("probe", F.lit(True)), points, percent))
 
     # blocks of several pages: what the block's smallest set does not reach meets every page
@@ -320,10 +320,7 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     reach = _page_reach(dealt.where("pages > 1"), own)
     rest = settled(dealt.where("pages > 1").join(reach, ["block", "page", "id"], "left_anti"))
     if not rest.isEmpty():
-        probes = rest.select("block", "id", "pages", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page")).withColumn("probe", F.lit(True))
-        hit = rest.select("block").distinct()
-        others = dealt.where("pages > 1").join(hit, "block", "left_semi").withColumn("probe", F.lit(False))
-        second = probes.union(others.select("block", "id", "pages", "page", "probe")).groupBy("block", "page", "id").agg(F.max("pages").alias("pages"), F.max("probe").alias("probe"))
+        second = _second_search(dealt.where("pages > 1"), rest, page)
         found = found.union(settled(_paged(second, points, percent)))
 
     links = found.select("a", "b")
@@ -335,8 +332,21 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     )
 
 
+def _second_search(dealt: DataFrame, rest: DataFrame, page: int) -> DataFrame:
+    """(block, page, chunk, id, pages, probe): every page of a block once with each chunk of its ``rest``.
+
+    A chunk is about ``page`` sets, so a group is about two pages, however large the block and its rest.
+    """
+    chunks = rest.groupBy("block").agg(F.ceil(F.count("*") / page).cast("int").alias("chunks"))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = F.pmod(F.xxhash64(F.lit("chunk"), "id"), F.col("chunks")).cast("int").alias("chunk")
+    probes = rest.join(chunks, "block").select("block", all_of("pages").alias("page"), own, "id", "pages", F.lit(True).alias("probe"))
+    others = dealt.join(chunks, "block").select("block", "page", all_of("chunks").alias("chunk"), "id", "pages", F.lit(False).alias("probe"))
+    return probes.union(others).groupBy("block", "page", "chunk", "id").agg(F.max("pages").alias("pages"), F.max("probe").alias("probe"))
+
+
 def _paged(dealt: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """(block, page, pages, a, b): connecting links within each page of each block."""
+    """(block, page, pages, a, b): connecting links within each page and chunk of each block, from its probes."""
 
     def search(key, table):
         probes = np.flatnonzero(table.column("probe").to_numpy(zero_copy_only=False))
@@ -346,7 +356,7 @@ def _paged(dealt: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         return pa.table({"block": pa.array([key[0].as_py()] * n, pa.int64()), "page": pa.array([key[1].as_py()] * n, pa.int32()), "pages": pa.array([table.column("pages")[0].as_py()] * n, pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     rows = dealt.join(points, "id")
-    return arrow_groups(rows, ["block", "page"], search, "block bigint, page int, pages int, a bigint, b bigint")
+    return arrow_groups(rows, ["block", "page", "chunk"], search, "block bigint, page int, pages int, a bigint, b bigint")
 
 
 def _page_reach(dealt: DataFrame, links: DataFrame) -> DataFrame:
