@@ -37,6 +37,19 @@ def test_main_text(page, want):
     assert extract.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "notice",
+    [
+        '<img class="banner" src=x>', '<hr class="ad">', '<input class="search widget">', '<img aria-hidden="true">', '<img alt="a hidden village">', '<div title="a hidden village" data-x="display: none"></div>',
+        '<p class="notice">Cookies', '<p class="notice">Cookies<p></p>', '<ul><li class="ad">Buy<li></ul>', '<dl><dt class="ad">Buy<dd></dl>', '<table><tr><td class="ad">Buy<td></table>', '<table><tr class="ad"><td>Buy<tr></table>',
+        '<div><div class="ad">Buy</section></div></div>', '<section><div class="ad"><div>Buy</div></section>', '<section><span class="ad">Buy</section>', '<div hidden><b><div>Buy</b></div>Buy</div>', '<table><tr><td class="ad"><table><tr><td>Buy<td>Buy</table>Buy</table>',
+    ],
+)
+def test_boilerplate_ends_where_its_element_does(notice):
+    assert extract.main_text(f"<article>{notice}<p>{LONG}</p></article>") == LONG
+    assert extract.main_text(f"{notice}<p>{LONG}</p>") == LONG
+
+
 def test_pages_frame(spark):
     rows = [(1, "u", f"<article><p>{LONG}</p></article>"), (1, "u", f"<article><p>{LONG}</p></article>"), (None, None, None), (2, "v", "<p>" + "word the " * 100_000)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(-1))

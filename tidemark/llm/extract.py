@@ -30,6 +30,20 @@ BOILERPLATE_TAGS = set("nav footer aside form menu dialog button select".split()
 #: Boilerplate outside the article, part of it inside.
 PAGE_TAGS = {"header"}
 CONTENT_TAGS = {"article", "main"}
+VOID_TAGS = set("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
+_P_ENDS = "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul"
+#: Elements whose end tag may be left out, and the tags that then end them.
+ENDED_BY = {
+    "p": set(_P_ENDS.split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
+    "td": set("td th tr tbody tfoot thead".split()), "th": set("td th tr tbody tfoot thead".split()), "tr": set("tr tbody tfoot thead".split()),
+    "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}, "tfoot": {"tbody", "thead"}, "caption": set("col colgroup tbody tfoot thead tr".split()),
+}
+#: Elements inside which such a tag belongs to another, inner one.
+SCOPES = {"p": {"button", "object"}, "li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "optgroup": {"select"}} | dict.fromkeys("td th tr thead tbody tfoot caption".split(), {"table"})
+#: The elements that a start tag may end.
+ENDS = {tag: [k for k, tags in ENDED_BY.items() if tag in tags] for tag in set().union(*ENDED_BY.values())}
+TABLE_TAGS = set("table thead tbody tfoot tr td th caption".split())
+CELLS = {"table", "td", "th", "caption"}
 HINTS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidenav menu nav navbar "
     "navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices alert popup modal overlay newsletter subscribe "
@@ -58,8 +72,9 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+#: An attribute: its name and, as one of three, its value.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -81,33 +96,70 @@ def _container(name: str, rest: str, inside: bool) -> bool:
         return True
     if not rest or name in ("html", "body", "a"):
         return False
-    if _HIDDEN.search(rest):
-        return True
-    for kind, *values in _NAMES.findall(rest):
-        value = next((v for v in values if v), "").lower()
-        if kind.lower() == "role":
+    for kind, *values in _ATTRIBUTE.findall(rest):
+        kind, value = kind.lower(), next((v for v in values if v), "").lower()
+        if kind == "hidden" or (kind == "aria-hidden" and value.startswith("true")) or (kind == "style" and _NO_DISPLAY.search(value)):
+            return True
+        if kind == "role":
             if value in ROLES:
                 return True
-        else:
-            parts = set(_PARTS.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", value)))
+        elif kind in ("class", "id"):
+            parts = set(_PARTS.split(value))
             if parts & HINTS or (parts & PAGE_HINTS and not inside):
                 return True
     return False
 
 
+class _Open:
+    """The open elements, outermost first; end tags that may be left out are added."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.at: dict[str, list[int]] = {}  # places of each name, and of all blocks under ""
+
+    def _last(self, names) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=-1)
+
+    def push(self, name: str) -> None:
+        for key in (name, "") if name in BLOCK_TAGS else (name,):
+            self.at.setdefault(key, []).append(len(self.names))
+        self.names.append(name)
+
+    def cut(self, depth: int) -> None:
+        while len(self.names) > depth:
+            name = self.names.pop()
+            for key in (name, "") if name in BLOCK_TAGS else (name,):
+                self.at[key].pop()
+
+    def count(self, names) -> int:
+        return sum(len(self.at.get(x, ())) for x in names)
+
+    def after_start(self, name: str) -> int:
+        """How many elements stay open before ``name`` begins."""
+        ended = [self.at[x][-1] for x in ENDS.get(name, ()) if self.at.get(x) and self.at[x][-1] > self._last(SCOPES[x])]
+        return min(ended, default=len(self.names))
+
+    def after_end(self, name: str) -> int:
+        """How many elements stay open after the end tag of ``name``; one that fits no open element ends none."""
+        i = self._last((name,))
+        bars = SCOPES.get(name, set()) if name in TABLE_TAGS else SCOPES.get(name, set()) | CELLS if name in BLOCK_TAGS else {""}
+        return i if i >= 0 and i > self._last(bars - {name}) else len(self.names)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, white space made single, character references decoded."""
     out: list[Block] = []
     held: list[str] = []
-    linked = links = inside = skipped = 0
-    skip_name, in_link, heading, at = "", False, False, 0
+    linked = links = inside = 0
+    skipped: int | None = None  # the place of the open element that is boilerplate
+    opened, in_link, heading, at = _Open(), False, False, 0
 
     def flush():
         nonlocal linked, links
         if held:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
-                out.append(Block(text, linked, links, heading, inside > 0, bool(skipped)))
+                out.append(Block(text, linked, links, heading, inside > 0, skipped is not None))
             held.clear()
         linked = links = 0
 
@@ -136,18 +188,22 @@ def blocks(page: str) -> list[Block]:
             links += not close
         elif name[0] == "h" and len(name) == 2 and name[1].isdigit():
             heading = not close
-        if skipped:
-            if name == skip_name:
-                if close:
-                    flush()
-                    skipped -= 1
-                elif not rest.endswith("/"):
-                    skipped += 1
-        elif not close and not rest.endswith("/") and _container(name, rest, inside > 0):
+        depth = opened.after_end(name) if close else opened.after_start(name)
+        if skipped is not None and depth <= skipped:
             flush()
-            skip_name, skipped = name, 1
-        elif name in CONTENT_TAGS:
-            inside = max(0, inside - 1) if close else inside + 1
+            skipped = None
+        if depth < len(opened.names):
+            opened.cut(depth)
+            inside = min(inside, opened.count(CONTENT_TAGS))
+        if close or name in VOID_TAGS or rest.endswith("/"):
+            continue
+        if skipped is None:
+            if _container(name, rest, inside > 0):
+                flush()
+                skipped = len(opened.names)
+            elif name in CONTENT_TAGS:
+                inside += 1
+        opened.push(name)
     flush()
     return out
 
