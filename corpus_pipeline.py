@@ -67,7 +67,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in the packed sequences."""
-    return packing.packed_documents(docs)
+    return packing.packed_documents(docs, specials=True)
 
 
 STAGES = [

@@ -23,6 +23,27 @@ def test_ids_equal_the_tokenizers_library():
         assert t.encode(text, add_special_tokens=False).ids == enc.encode_ordinary(text)
 
 
+def test_query_and_pipeline_take_the_ids_of_the_library(spark, tmp_path):
+    """The json with its default settings: the special token in a text, and more white space than the ranks' pattern can take."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tidemark.llm import queries
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = [*enumerate(ODD), (100, "<|endoftext|>"), (101, "a <|endoftext|><|endoftext|>\n b"), (102, "a" + " " * 1_000_001 + "b"), (103, "\n" * 150_000 + "<|endoftext|>"), (104, None)]
+    docs_frame(spark, docs, extra=False).write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(
+        (d, k, s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()))
+        for d, text in docs
+        for ids in [[*t.encode(text or "", add_special_tokens=False).ids, 0]]
+        for k, (s, n) in enumerate(packing.cut(len(ids), 2048))
+    )
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for out in (queries.op4_pattern_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out.collect()) == want
+
+
 def check_packed(rows, docs, capacity):
     enc = packing.encoder(packing.default_vocabulary())
     want = sorted(

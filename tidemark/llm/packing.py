@@ -19,6 +19,7 @@ numbers come from per-partition counts, so no task sees all pieces of a common l
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 
 import numpy as np
@@ -50,22 +51,46 @@ def encoder(path: str):
 
 
 def default_vocabulary() -> str:
-    """The ranks of the vocabulary ``byte_bpe_50k.json``; their ids are equal (tested)."""
+    """The ranks of the vocabulary ``byte_bpe_50k.json``; ids are equal (tested), but for special tokens."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: The vocabulary's special token, one id where the tokenizers library meets it in a text.
+SPECIAL = "<|endoftext|>"
+#: White space in a row that is still encoded by ranks; their pattern's stack overflows at some more than 600,000.
+BLANKS = 100_000
+_BLANK_RUN = re.compile(r"\s{%d}" % BLANKS)
+
+
+def encode(text: str, path: str, specials: bool = False) -> list[int]:
+    """The ids of ``text``. Long white space, and with ``specials`` a text with ``SPECIAL``, takes the tokenizers library itself.
+
+    It reads the json beside the ranks at ``path``.
+    """
+    special = specials and SPECIAL in text
+    if not special and (len(text) < BLANKS or not _BLANK_RUN.search(text)):
+        return encoder(path).encode_ordinary(text)
+    if (key := (path, specials)) not in _ENCODERS:
+        from tokenizers import Tokenizer
+
+        _ENCODERS[key] = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+        _ENCODERS[key].encode_special_tokens = not specials
+    return _ENCODERS[key].encode(text, add_special_tokens=False).ids
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` ids; only the first may be shorter than ``capacity``."""
     head = n - capacity * ((n - 1) // capacity)
     return [(0, head), *((s, capacity) for s in range(head, n, capacity))]
 
 
-def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, specials: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids), and its number among equal lengths of the partition.
 
-    A null or empty text is the closing id alone.
+    A null or empty text is the closing id alone. ``specials``: the vocabulary's special
+    token is its one id where it stands in a text, as in the tokenizers library's default.
     """
     path = vocabulary or default_vocabulary()
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -73,13 +98,13 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocab
     def run(batches):
         from pyspark import TaskContext
 
-        pid, seen, enc = TaskContext.get().partitionId(), {}, encoder(path)
+        pid, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
                 take, rows = [], []
                 for i, t in enumerate(part.column(1).to_pylist()):
-                    ids = np.array(enc.encode_ordinary(t) if t else [], "<u4")
+                    ids = np.array(encode(t, path, specials) if t else [], "<u4")
                     ids = np.append(ids, np.uint32(END)).astype("<u4")
                     for k, (start, length) in enumerate(cut(len(ids), capacity)):
                         take.append(i)
@@ -265,13 +290,13 @@ def pack(cut_up: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     return arrow_map(numbered.select(*names, "_rank"), put, schema)
 
 
-def packed_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def packed_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, specials: bool = False) -> DataFrame:
     """One row per piece of every document: doc_id, piece, start, length, ids_crc32, (ids,) sequence_id, offset.
 
     Rows are packed each on its own, so repeated rows and null doc_ids are kept; a null
     text is empty; an empty table gives no rows; other columns are not looked at.
     """
-    return pack(pieces(docs, doc_id=doc_id, text=text, vocabulary=vocabulary, capacity=capacity, keep_ids=keep_ids), capacity=capacity)
+    return pack(pieces(docs, doc_id=doc_id, text=text, vocabulary=vocabulary, capacity=capacity, keep_ids=keep_ids, specials=specials), capacity=capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

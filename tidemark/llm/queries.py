@@ -36,7 +36,7 @@ def op3_merkle_fixity(spark, sf_dir):
 
 
 def op4_pattern_packing(spark, sf_dir):
-    return packing.packed_documents(table(spark, sf_dir, "documents"))
+    return packing.packed_documents(table(spark, sf_dir, "documents"), specials=True)
 
 
 def op5_jaccard_join(spark, sf_dir):
