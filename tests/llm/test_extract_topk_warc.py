@@ -139,3 +139,27 @@ def test_files_hold_the_records(spark, tmp_path):
     text = "".join(r["record"] + "\r\n\r\n" for r in data).encode()
     assert all(text[r["offset"] : r["offset"] + r["length"]] == (r["record"] + "\r\n\r\n").encode() for r in data)
     assert hashlib.sha256(text[: data[0]["length"]]).hexdigest() in {s for *_, s in want}
+
+
+def test_fixity_query_audits_pages_without_an_id(spark, tmp_path):
+    from tidemark.llm import queries
+
+    rows = [(None if i % 3 else i, f"http://x/{i % 50}", "x" * (i % 400)) for i in range(900)] + [(7, "u", "same")] * 500
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op3_merkle_fixity(spark, str(tmp_path)).collect()
+    seen = {(r["archive"], r["offset"]): r for r in got}
+    assert len(seen) == len(got) == len(rows)
+    for archive in {r["archive"] for r in got}:
+        at = 0
+        for r in sorted((r for r in got if r["archive"] == archive), key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+    for k, (i, _, html) in enumerate(rows):
+        rows[k] = (i, "missing" if len(html) % 89 == 0 else "changed" if len(html) % 97 == 0 else "ok")
+    assert sorted(map(repr, rows)) == sorted(repr((r["page_id"], r["status"])) for r in got)
+
+
+def test_one_archive_of_equal_rows_is_laid_out(spark):
+    rows = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "'u' AS url", "'same' AS html")
+    laid = warc.fixity(rows)
+    assert laid.agg(F.count_distinct("offset"), F.max(F.col("offset") / F.col("length"))).first()[:] == (4000, 3999.0)

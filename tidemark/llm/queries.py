@@ -32,7 +32,9 @@ def op3_merkle_fixity(spark, sf_dir):
     source = rows.select("page_id", "archive", "offset", "length", "sha256")
     replica = rows.where(size % 89 != 0).select("archive", "offset", "length", F.col("other").alias("sha256"))
     found = warc.audit(source, replica)
-    return source.join(found, ["archive", "offset"], "left").select("page_id", "archive", "offset", "length", "sha256", F.coalesce("status", F.lit("ok")).alias("status"))
+    s, f = source.alias("s"), found.alias("f")
+    same = F.col("s.archive").eqNullSafe(F.col("f.archive")) & (F.col("s.offset") == F.col("f.offset"))
+    return s.join(f, same, "left").select("s.*", F.coalesce("f.status", F.lit("ok")).alias("status"))
 
 
 def op4_pattern_packing(spark, sf_dir):

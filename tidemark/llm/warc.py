@@ -46,8 +46,20 @@ def digest(record):
 
 
 def _laid_out(rows: DataFrame) -> DataFrame:
-    order = Window.partitionBy("archive").orderBy("page_id", "url", "sha256").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long"))
+    """Adds ``offset``, from totals of pieces of archives, so that no task holds a whole one.
+
+    A piece is an archive's part of one range of all rows in order; rows that are equal
+    throughout may be in several. The ranges are dealt once and kept in the shared folder.
+    """
+    order = ["page_id", "url", "sha256"]
+    ranges = rows.withColumn("_tie", F.rand(0)).repartitionByRange("archive", *order, "_tie").drop("_tie")
+    dealt = settled(ranges.withColumn("_piece", F.spark_partition_id()))
+    before = lambda by: by.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(F.col("archive").alias("_archive"), F.col("_piece").alias("_at")).agg(F.sum("length").alias("_size"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before(Window.partitionBy("_archive").orderBy("_at"))), F.lit(0)))
+    inner = F.coalesce(F.sum("length").over(before(Window.partitionBy("archive", "_piece").orderBy(*order))), F.lit(0))
+    placed = dealt.withColumn("_inner", inner).join(starts, F.col("archive").eqNullSafe(F.col("_archive")) & (F.col("_piece") == F.col("_at")))
+    return placed.select(*rows.columns, (F.col("_start") + F.col("_inner")).cast("long").alias("offset"))
 
 
 def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_archive: int = PER_ARCHIVE) -> DataFrame:
