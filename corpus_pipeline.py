@@ -19,6 +19,9 @@ from tidemark.sources.store import scratch_path
 #: Keys of dropped rows up to this many are broadcast (24 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 200_000
 
+#: The near-duplicate stage follows op5's rule: words of a shingle, least similarity in percent.
+SHINGLE, PERCENT = 3, 90
+
 
 def _key() -> str:
     return f"key_{uuid.uuid4().hex}"
@@ -49,7 +52,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id belong to no class and stay.
     """
-    found = settled(jaccard.similarity_classes(docs.select("doc_id", "text")))
+    found = settled(jaccard.similarity_classes(docs.select("doc_id", "text"), shingle=SHINGLE, percent=PERCENT))
     kept = _without(docs, F.col("doc_id"), found.where("component_id <> doc_id").select("doc_id"))
     repeated = settled(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if repeated.isEmpty():

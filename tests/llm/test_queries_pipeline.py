@@ -87,6 +87,13 @@ def test_distinct_stage_keeps_one_of_each_class(spark):
     assert sorted(d for d, _ in kept if d is not None) == sorted(want) and (None, base) in kept
 
 
+def test_distinct_stage_names_its_rule(spark, monkeypatch):
+    asked, classes = [], corpus_pipeline.jaccard.similarity_classes
+    monkeypatch.setattr(corpus_pipeline.jaccard, "similarity_classes", lambda docs, **rule: asked.append(rule) or classes(docs, **rule))
+    corpus_pipeline.distinct(spark, frame(spark, [(1, "a b c d", "en")]), SF)
+    assert asked == [{"shingle": 3, "percent": 90}]
+
+
 def test_decontamination_stage_follows_the_rule(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rng = random.Random(3)
