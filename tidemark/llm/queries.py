@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, extract, jaccard, langid, packing, sharding, topk, toxicity, warc
+from tidemark.llm import chat, decontam, divergence, extract, jaccard, langid, lattice, packing, sharding, topk, toxicity, trie, warc
 from tidemark.llm.common import crc_mod, settled, table
 
 
@@ -77,6 +77,18 @@ def op10_block_rules(spark, sf_dir):
     return extract.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_lattice_dedup(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pivot_topk": op1_pivot_topk,
     "op2_ecoc_language": op2_ecoc_language,
@@ -88,6 +100,9 @@ QUERIES = {
     "op8_lexicon_toxicity": op8_lexicon_toxicity,
     "op9_differencing_shards": op9_differencing_shards,
     "op10_block_rules": op10_block_rules,
+    "op11_lattice_dedup": op11_lattice_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 OP1 = """
@@ -157,4 +172,59 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
-ORACLE = {"op1_pivot_topk": OP1, "op3_merkle_fixity": OP3, "op5_jaccard_join": OP5, "op6_winnowing": OP6, "op7_event_chat": OP7}
+#: All pairs; equal to the operator where its tables find every link, as they do in the given data.
+OP11 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT r, vec_id, v FROM v WHERE v IS NOT NULL AND len(v) > 0 AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in v if x <> 0]) > 0),
+l AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r <> b.r AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (SELECT r AS a, r AS c FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.c),
+comp AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.c GROUP BY 1),
+n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM v JOIN comp USING (r) LEFT JOIN n USING (r)
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS n FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY 1, 2),
+p AS (SELECT gn.lang, gn.source, kept.term, coalesce(c.n, 0) AS c,
+  1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (gn.n + v.v) AS p
+  FROM gn JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = kept.term),
+lq AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 1)) // (any_value(l.n) + any_value(v.v)) AS q
+  FROM p JOIN (SELECT lang, sum(n) AS n FROM gn GROUP BY 1) l USING (lang) JOIN v USING (lang) GROUP BY 1, 2),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value FROM p JOIN lq USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+OP13 = """
+WITH RECURSIVE crc(t) AS (SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x : xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) FROM range(256) r(i)),
+ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS base,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) for x in string_split(CAST(c AS VARCHAR), '')]), lambda a, b : xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 6 AS h FROM ids, crc),
+o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT h.c, 0 AS own, pos, role, text FROM h JOIN o ON o.c = h.base AND o.pos <= h.h UNION ALL SELECT h.c, 1, pos, role, text FROM h JOIN o ON o.c = h.c AND o.pos > h.h),
+d AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d, length(role) || ':' || role || md5(text) AS k, length(text) AS n FROM t),
+r AS (SELECT c, CAST(0 AS BIGINT) AS d, CAST('' AS VARCHAR) AS p, CAST(NULL AS VARCHAR) AS up, CAST(0 AS BIGINT) AS n FROM ids
+  UNION ALL SELECT d.c, d.d, sha256(r.p || d.k), r.p, d.n FROM r JOIN d ON d.c = r.c AND d.d = r.d + 1),
+g AS (SELECT d, p, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n FROM r GROUP BY 1, 2),
+kids AS (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1, 2),
+m AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN kids USING (d, p)),
+sub AS (SELECT r.d, r.p, count(*) FILTER (m.n_children = 0) AS n_leaves, sum((m.n_convs - 1) * m.n) AS saved_tokens FROM m JOIN r ON r.c = m.conv_id AND r.d <= m.d GROUP BY 1, 2),
+last AS (SELECT c, max(d) AS d FROM r GROUP BY 1),
+ends AS (SELECT r.d, r.p, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS e FROM last JOIN r USING (c, d) GROUP BY 1, 2)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e, '')) AS ends_sha256
+FROM m JOIN sub USING (d, p) LEFT JOIN ends USING (d, p) LEFT JOIN m AS above ON above.d = m.d - 1 AND above.p = m.up
+"""
+
+ORACLE = {"op1_pivot_topk": OP1, "op3_merkle_fixity": OP3, "op5_jaccard_join": OP5, "op6_winnowing": OP6, "op7_event_chat": OP7, "op11_lattice_dedup": OP11, "op12_source_divergence": OP12, "op13_prefix_trie": OP13}
