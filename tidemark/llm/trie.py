@@ -10,11 +10,14 @@ depth d + 1 was stripped. Regrouping finds a node, and its members, children, le
 subtree totals at the same time; hot prefixes are combined before the shuffle. A level is
 written before the next one starts from it.
 
+The turns of a path that no other path shares form a tail: a chain without branches, which
+is stripped at once and joins the peeling where the sharing ends. So the deepest prefix
+that two different paths share sets the number of levels, not the longest conversation.
+
 Paths are cut into segments of ``SEGMENT`` turns, each with the digest of all before it. A
 node carries only the open part of its own segment, so what is shuffled grows with the
 number of turns, not with its square; at a segment's edge the node's smallest member
-hands in the segment before. Levels follow one another, so the longest conversation sets
-the number of steps.
+hands in the segment before.
 
 The ids of the conversations that end at a node are sorted by range over all tasks and
 joined to pieces of ``PIECE`` bytes there; a SHA-256 is sequential, so one node's pieces
@@ -36,6 +39,8 @@ SEGMENT = 16
 #: Bytes of a turn's token: digest, code points.
 TOKEN, DIGEST = 24, 16
 PIECE = 1 << 16
+#: Nodes of a level that one task writes.
+LEVEL_ROWS = 1 << 17
 #: A conversation takes its first turns, fewer than this many, from the first one of its hundred.
 HEADS = 6
 
@@ -45,26 +50,24 @@ def _digest(*parts):
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, token, copies) of rows that have a conv_id; null roles and texts are empty."""
+    """(conv_id, turn, tie, token) of rows that have a conv_id; null roles and texts are empty."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     digest = _digest(F.length(role).cast("string").cast("binary"), F.lit(b":"), role.cast("binary"), text.cast("binary"))
     size = F.unhex(F.lpad(F.hex(F.length(text).cast("long")), 16, "0"))
     order = F.concat_ws("\0", role, F.md5(text))
-    rows = conversations.where("conv_id IS NOT NULL").select(
+    return conversations.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", order.alias("tie"), F.concat(digest, size).alias("token")
     )
-    return rows.groupBy("conv_id", "turn", "tie", "token").agg(F.count("*").alias("copies"))
 
 
 def ordered(conversations: DataFrame) -> DataFrame:
     """(conv_id, pos, token): turns numbered from 1 by turn, null first; equal turns by role and text's digest.
 
-    Rows are sorted by range, numbered where they lie, and shifted by the totals of the
-    ranges before: a conversation of any length is spread over tasks.
+    Rows are sorted by range and numbered where they lie; only the first conversation of a
+    range may have begun before it. One row for each range tells where it goes on.
     """
-    rows = turns(conversations).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).drop("copies")
-    dealt = rows.repartitionByRange("conv_id", F.col("turn").asc_nulls_first(), "tie", "token", "copy")
-    dealt = dealt.sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "tie", "token", "copy").select("conv_id", "token")
+    keys = ["conv_id", F.col("turn").asc_nulls_first(), "tie", "token"]
+    dealt = turns(conversations).repartitionByRange(*keys).sortWithinPartitions(*keys).select("conv_id", "token")
 
     def count(batches):
         from pyspark import TaskContext
@@ -79,10 +82,16 @@ def ordered(conversations: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([pid] * len(local), pa.int32()), pa.array(local, pa.int64())], names=["conv_id", "token", "part", "local"])
 
     marked = settled(arrow_map(dealt, count, "conv_id bigint, token binary, part int, local bigint"))
-    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = marked.groupBy("conv_id", "part").agg(F.max("local").alias("n"))
-    starts = sizes.withColumn("start", F.sum("n").over(before)).where("start IS NOT NULL").select("conv_id", "part", "start")
-    joined = marked.join(starts, ["conv_id", "part"], "left")
+    ranges = marked.groupBy("part").agg(F.min("conv_id").alias("begins"), F.max(F.struct("conv_id", "local")).alias("ends"))
+    ranges = sorted(ranges.collect())  # one row for each range of the shuffle
+    starts, known, conv = [], 0, None
+    for part, begins, (last, local) in ranges:
+        if begins == conv:
+            starts.append((part, begins, known))
+        known = known + local if last == conv else local
+        conv = last
+    starts = marked.sparkSession.createDataFrame(starts, "part int, conv_id bigint, start bigint")
+    joined = marked.join(F.broadcast(starts), ["part", "conv_id"], "left")
     return joined.select("conv_id", (F.col("local") + F.coalesce("start", F.lit(0))).alias("pos"), "token")
 
 
@@ -99,11 +108,10 @@ def rebuilt(rows: DataFrame, heads: int = HEADS) -> DataFrame:
     begun = rows.groupBy("conv_id").agg(F.max("pos").alias("own")).withColumn("base", F.expr("conv_id - conv_id % 100"))
     begun = begun.join(base, "base", "left").withColumn("head", F.slice(F.coalesce("head", F.array()), 1, h.cast("int")))
     begun = settled(begun.select("conv_id", "own", "head", h.alias("h"), F.size("head").alias("shared")))
-    taken = begun.select("conv_id", F.explode("head").alias("t")).select("conv_id", F.col("t.pos").alias("d"), F.col("t.token").alias("token"))
+    taken = begun.where("shared > 0 OR own <= h").select("conv_id", F.explode_outer("head").alias("t"))
+    taken = taken.select("conv_id", F.col("t.pos").alias("d"), F.col("t.token").alias("token"))
     late = rows.where(F.col("pos") > h).join(begun.where("own > h").select("conv_id", "h", "shared"), "conv_id")
-    late = late.select("conv_id", (F.col("pos") - F.col("h") + F.col("shared")).alias("d"), "token")
-    without = begun.where("shared = 0 AND own <= h").select("conv_id", F.lit(None).cast("long").alias("d"), F.lit(None).cast("binary").alias("token"))
-    return taken.union(late).union(without)
+    return taken.union(late.select("conv_id", (F.col("pos") - F.col("h") + F.col("shared")).alias("d"), "token"))
 
 
 def paths(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
@@ -112,11 +120,9 @@ def paths(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
     The last segment has the conversation's depth (else null); it may be empty, and then
     holds no turn: a depth of a multiple of ``segment`` ends in an empty one.
     """
-    some = rows.where("d IS NOT NULL")
-    parts = some.groupBy("conv_id", F.expr(f"(d - 1) div {segment}").alias("segment"))
-    token = F.array_sort(F.collect_list(F.struct("d", "token")))
+    parts = rows.groupBy("conv_id", F.expr(f"coalesce((d - 1) div {segment}, 0)").alias("segment"))
+    token = F.array_sort(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("d", "token"))))
     parts = parts.agg(token.alias("tokens")).select("conv_id", "segment", F.size("tokens").alias("n"), F.expr("aggregate(tokens, X'', (a, t) -> concat(a, t.token))").alias("path"))
-    parts = parts.union(rows.where("d IS NULL").select("conv_id", F.lit(0).cast("long"), F.lit(0), F.lit(b"")))
     parts = settled(parts)
     chain = parts.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("segment", _digest("path").alias("own")))).alias("s"),
@@ -192,42 +198,86 @@ def _foldered(df: DataFrame, by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SCHEMA = "node binary, parent binary, conv_id bigint, depth bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint"
+COLUMNS = [f.split(" ")[0] for f in SCHEMA.split(", ")]
+
+
+def _node(depth, before, path):
+    return _digest(F.concat(depth.cast("string"), F.lit(":")).cast("binary"), before, path)
+
+
+def _code_points(path):
+    """The code points of the last turn of ``path``."""
+    return F.conv(F.hex(F.substring(path, -(TOKEN - DIGEST), TOKEN - DIGEST)), 16, 10).cast("long")
+
+
+def _prefixes(segments: DataFrame, segment: int) -> DataFrame:
+    """(conv_id, d, node, size): every depth from 1 of the conversations of ``segments``, the last turn's code points."""
+    k = F.explode(F.expr(f"sequence(1, length(path) div {TOKEN})")).alias("k")
+    each = segments.where("length(path) > 0").select("conv_id", "segment", "before", "path", k)
+    d = F.col("segment") * segment + F.col("k")
+    cut = F.expr(f"substring(path, 1, k * {TOKEN})")
+    node = F.when(F.col("k") == segment, _node(d, _digest("before", _digest("path")), F.lit(b""))).otherwise(_node(d, F.col("before"), cut))
+    return each.select("conv_id", d.alias("d"), node.alias("node"), _code_points(cut).alias("size"))
+
+
+def _tails(ends: DataFrame, segments: DataFrame, segment: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes, entries): the unshared nodes of each path, and the paths as they join the peeling.
+
+    ``ends``: one row for each distinct path; ``entries``: (at, before, path, conv_id,
+    n_convs, child, leaves, saved), ended paths at their depth and tails where they begin.
+    """
+    each = settled(_prefixes(segments.join(ends.select("conv_id"), "conv_id", "left_semi"), segment))
+    single = each.groupBy("d", "node").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("paths")).where("paths = 1")
+    first = single.groupBy("conv_id").agg(F.min("d").alias("first"))
+    ends = settled(ends.join(first, "conv_id", "left"))
+
+    tail = each.join(ends.where("first IS NOT NULL").select("conv_id", "first", "depth", F.col("n").alias("n_convs")), "conv_id").where("d >= first - 1")
+    down = Window.partitionBy("conv_id").orderBy("d")
+    below = Window.partitionBy("conv_id").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, 0)
+    root = _node(F.lit(0), F.lit(b""), F.lit(b""))
+    tail = tail.withColumn("parent", F.when(F.col("d") == 1, root).otherwise(F.lag("node").over(down)))
+    tail = tail.withColumn("saved_tokens", (F.col("n_convs") - 1) * F.sum("size").over(below)).where("d >= first")
+    one = F.lit(1).cast("long")
+    nodes = settled(tail.select("node", "parent", "conv_id", F.col("d").alias("depth"), "n_convs", (F.col("d") < F.col("depth")).cast("long").alias("n_children"), one.alias("n_leaves"), "saved_tokens", "first"))
+
+    zero = F.lit(0).cast("long")
+    ended = ends.where("first IS NULL").select(F.col("depth").alias("at"), "before", "path", "conv_id", F.col("n").alias("n_convs"), zero.alias("child"), zero.alias("leaves"), zero.alias("saved"))
+    begun = nodes.where("depth = first").select((F.col("first") - 1).alias("at"), "conv_id", "n_convs", "saved_tokens").withColumn("segment", F.expr(f"at div {segment}"))
+    begun = begun.join(segments.select("conv_id", "segment", "before", "path"), ["conv_id", "segment"])
+    left = F.expr(f"substring(path, 1, at % {segment} * {TOKEN})")
+    begun = begun.select("at", "before", left.alias("path"), "conv_id", "n_convs", one.alias("child"), one.alias("leaves"), F.col("saved_tokens").alias("saved"))
+    return nodes.select(COLUMNS), ended.union(begun)
+
+
 def peeled(segments: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """All nodes of the trie of ``paths``: node, parent (digests), conv_id, depth, n_convs, n_children, n_leaves, saved_tokens."""
     ends = segments.where("depth IS NOT NULL").groupBy("depth", "before", "path").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n"))
-    ends, segments = _foldered(ends, "depth"), _foldered(segments.drop("depth"), "segment")
-    top = ends.agg(F.max("depth")).first()[0]
-    schema = "node binary, parent binary, conv_id bigint, depth bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint"
-    levels: list[DataFrame] = []
+    tails, entries = _tails(settled(ends), segments.drop("depth"), segment)
+    entries, segments = _foldered(entries, "at"), _foldered(segments.drop("depth"), "segment")
+    sizes = dict(entries.groupBy("at").count().collect())  # one row for each level
+    top, most = max(sizes, default=None), 0
+    levels = [tails]
     alive: DataFrame | None = None
     for depth in range(-1 if top is None else top, -1, -1):
-        new = ends.where(F.col("depth") == depth)
-        zero = F.lit(0).cast("long")
-        rows = new.select("before", "path", "conv_id", F.col("n").alias("n_convs"), zero.alias("child"), zero.alias("leaves"), zero.alias("saved"))
+        most += sizes.get(depth, 0)
+        rows = entries.where(F.col("at") == depth).drop("at")
         if alive is not None:
             if (depth + 1) % segment == 0:  # the edge of a segment: the smallest member hands in the one before
                 at = segments.where(F.col("segment") == depth // segment).select("conv_id", F.col("before").alias("b"), F.col("path").alias("p"))
                 alive = alive.join(at, "conv_id").withColumns({"before": F.col("b"), "path": F.col("p")})
             left = F.expr(f"substring(path, 1, length(path) - {TOKEN})")
-            one = F.lit(1).cast("long")
-            rows = rows.union(alive.select("before", left.alias("path"), "conv_id", "n_convs", one, "n_leaves", "saved_tokens"))
+            rows = rows.union(alive.select("before", left.alias("path"), "conv_id", "n_convs", F.lit(1).cast("long"), "n_leaves", "saved_tokens"))
         nodes = rows.groupBy("before", "path").agg(
             F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.sum("child").alias("n_children"),
             F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"),
         )
-        nodes = settled(_finished(nodes, depth, segment, segments))
-        levels.append(nodes)
-        alive = nodes
-    if not levels:
-        return segments.sparkSession.createDataFrame([], schema)
+        alive = settled(_finished(nodes, depth, segment, segments).coalesce(-(-most // LEVEL_ROWS)))
+        levels.append(alive.select(COLUMNS))
     out = levels[0]
     for level in levels[1:]:
         out = out.union(level)
-    return out.select([f.split(" ")[0] for f in schema.split(", ")])
-
-
-def _node(depth: int, before, path):
-    return _digest(F.lit(f"{depth}:".encode()), before, path)
+    return out
 
 
 def _finished(nodes: DataFrame, depth: int, segment: int, segments: DataFrame) -> DataFrame:
@@ -237,13 +287,12 @@ def _finished(nodes: DataFrame, depth: int, segment: int, segments: DataFrame) -
         nodes = nodes.join(at, "conv_id")
     else:
         nodes = nodes.withColumns({"up": F.col("before"), "end": F.col("path")})
-    size = F.conv(F.hex(F.expr(f"substring(end, length(end) - {TOKEN - DIGEST - 1}, {TOKEN - DIGEST})")), 16, 10).cast("long")
-    own = (F.col("n_convs") - 1) * size if depth else F.lit(0).cast("long")
-    parent = _node(depth - 1, F.col("up"), F.expr(f"substring(end, 1, length(end) - {TOKEN})")) if depth else F.lit(None).cast("binary")
+    own = (F.col("n_convs") - 1) * _code_points("end") if depth else F.lit(0).cast("long")
+    parent = _node(F.lit(depth - 1), F.col("up"), F.expr(f"substring(end, 1, length(end) - {TOKEN})")) if depth else F.lit(None).cast("binary")
     return nodes.select(
         "before", "path", "conv_id", "n_convs", "n_children",
         F.greatest("leaves", F.lit(1)).alias("n_leaves"), (F.col("saved") + own).alias("saved_tokens"),
-        F.lit(depth).cast("long").alias("depth"), _node(depth, F.col("before"), F.col("path")).alias("node"), parent.alias("parent"),
+        F.lit(depth).cast("long").alias("depth"), _node(F.lit(depth), F.col("before"), F.col("path")).alias("node"), parent.alias("parent"),
     )
 
 
@@ -255,10 +304,9 @@ def prefix_trie(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
     whose d is null) are members of the root. No rows give no nodes, not even a root.
     """
     segments = settled(paths(rows, segment))
-    nodes = settled(peeled(segments, segment))
+    nodes = peeled(segments, segment)
     last = segments.where("depth IS NOT NULL")
-    node = _digest(F.concat(F.col("depth").cast("string"), F.lit(":")).cast("binary"), F.col("before"), F.col("path"))
-    ends = _ends_digests(last.select(node.alias("node"), "conv_id"))
+    ends = _ends_digests(last.select(_node(F.col("depth"), F.col("before"), F.col("path")).alias("node"), "conv_id"))
     above = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     out = nodes.join(ends, "node", "left").join(above, "parent", "left")
     return out.select(
@@ -274,4 +322,4 @@ def conversation_trie(conversations: DataFrame, heads: int = HEADS) -> DataFrame
     turn are ordered by role and the text's digest; equal rows are as many turns. Null
     roles and texts are empty. Other columns are not looked at.
     """
-    return prefix_trie(rebuilt(settled(ordered(conversations)), heads))
+    return prefix_trie(rebuilt(ordered(conversations), heads))
