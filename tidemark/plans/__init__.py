@@ -6,7 +6,7 @@ from importlib import import_module
 
 SECTIONS = (
     "bar_queries", "feature_queries", "profile_queries", "monitor_queries",
-    "incremental_queries", "split_queries", "ensemble_queries", "model_queries", "stream_queries",
+    "incremental_queries", "split_queries", "ensemble_queries", "model_queries", "tree_queries", "stream_queries",
 )
 
 

@@ -45,6 +45,12 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store Spark reads it from."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: later plans start from files, not from its lineage."""
     path = scratch_path(df.sparkSession, name)
