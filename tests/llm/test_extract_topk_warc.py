@@ -50,6 +50,39 @@ def test_boilerplate_ends_where_its_element_does(notice):
     assert extract.main_text(f"{notice}<p>{LONG}</p>") == LONG
 
 
+PROSE = " ".join([LONG] * 2)
+RUSSIAN = " ".join(["Город стоит на берегу реки, и его дома видны с холма. Люди здесь живут давно, и все они знают друг друга. В мае у воды сидят старики и говорят о том, что было."] * 2)
+CHINESE = "这座城市位于河边，居民们已经在这里生活了很多年。春天的时候，孩子们在广场上玩耍，老人们坐在水边谈论过去的事情。" * 3
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f'<main class="with-sidebar"><p>{PROSE}</p></main>', PROSE),
+        (f'<div class="content has-sidebar"><p>{PROSE}</p></div>', PROSE),
+        (f'<article class="post no-comments"><p>{PROSE}</p></article>', PROSE),
+        (f'<article id="related-1"><p>{PROSE}</p></article>', PROSE),
+        (f'<main class="page alert-none"><p>{PROSE}</p></main>', PROSE),
+        (f'<div class="related"><main><p>{PROSE}</p></main></div><div class="related"><p>{PROSE}</p></div>', PROSE),
+        (f'<body><form id="aspnetForm"><div><a href=x>Home</a></div><p>{PROSE}</p></form></body>', PROSE),
+        (f"<form><main><p>{PROSE}</p></main></form>", PROSE),
+        (f"<p>{PROSE}</p><form><p>{LONG}</p></form>", PROSE),
+        (f'<a name="top"><p>{PROSE}</p><p>{PROSE}</p>', f"{PROSE}\n\n{PROSE}"),
+        (f"<div><a href=x>Home</div><p>{PROSE}</p>", PROSE),
+        (f"<p>{RUSSIAN}</p><div><a href=x>Главная</a> <a href=y>Ещё</a></div>", RUSSIAN),
+        (f"<p>{CHINESE}</p>", CHINESE),
+        (PROSE, PROSE),
+        ("<h1>Closed</h1><p>We are away.</p>", "Closed\n\nWe are away."),
+        (f"<head><title>x</title><meta a><p>{PROSE}</p>", PROSE),
+        (f'<article><p>{PROSE}</p></article><div class="comments"><article class="comment"><p>{PROSE}{PROSE}</p></article></div>', PROSE),
+        (f'<p>{PROSE}</p><div id="comments"><p>{PROSE}{PROSE}{PROSE}</p></div>', PROSE),
+        (f'<p>{PROSE}</p><div class="sidebar"><p>{LONG}</p></div><div class="cookie-notice"><p>{LONG}</p></div>', PROSE),
+    ],
+)
+def test_articles_in_doubtful_elements_stay(page, want):
+    assert extract.main_text(page) == want
+
+
 def test_pages_frame(spark):
     rows = [(1, "u", f"<article><p>{LONG}</p></article>"), (1, "u", f"<article><p>{LONG}</p></article>"), (None, None, None), (2, "v", "<p>" + "word the " * 100_000)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(-1))

@@ -6,6 +6,14 @@ made of links, is boilerplate; a long block, or one with many stop words, is tex
 second pass gives each undecided short block the label of its nearest decided
 neighbours. On a page that has an <article> or <main>, only blocks inside it can be
 text, and the densities decide between its blocks.
+
+An element that is boilerplate by its tag (a menu, a footer) or hidden is so for certain. One
+that is so by its class, id, role or as a form is not, if it holds all the <article> and
+<main> of its page, or most of the text of a page that has none; comments always are.
+Running text is told by stop words of four languages, or by the short words of its
+sentences in any other; scripts without blanks are told by their signs. On a page
+without <article> and <main> where nothing is text by these rules, all that is neither
+boilerplate nor links is.
 """
 
 from __future__ import annotations
@@ -25,8 +33,8 @@ BLOCK_TAGS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul caption".split()
 )
-RAW_TAGS = set("script style noscript template iframe svg math object textarea head".split())
-BOILERPLATE_TAGS = set("nav footer aside form menu dialog button select".split())
+RAW_TAGS = set("script style noscript template iframe svg math object textarea head title".split())
+BOILERPLATE_TAGS = set("nav footer aside menu dialog button select".split())
 #: Boilerplate outside the article, part of it inside.
 PAGE_TAGS = {"header"}
 CONTENT_TAGS = {"article", "main"}
@@ -50,6 +58,9 @@ HINTS = set(
     "subscription share sharing social related recommended recommendations comment comments reply replies respond disqus widget login "
     "signup toolbar pagination pager copyright disclaimer teaser".split()
 )
+COMMENT_HINTS = set("comment comments reply replies respond disqus".split())
+#: A hint after one of these says what an element lacks or is beside of.
+DENIALS = set("no not non has have with without hide".split())
 PAGE_HINTS = {"header", "masthead", "topbar"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 STOP_WORDS = set(
@@ -63,6 +74,8 @@ STOP_WORDS = set(
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.30
 LINKS_BAD = 0.5
+#: Of the text outside menus and the like, the share that a doubtful element of a page without <article> must exceed to be its text.
+MOST = 2 / 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,6 +90,9 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
+_SENTENCE = re.compile(r"[.!?…։؟।]['\"»”)\]]*(?:\s|\Z)")
+#: Letters of scripts that put no blanks between words: Thai to Burmese, Khmer, kana, ideographs.
+_DENSE = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
 
 
 @dataclass
@@ -86,28 +102,46 @@ class Block:
     links: int
     heading: bool
     inside: bool
-    boilerplate: bool
+    regions: tuple[int, ...]
+    boilerplate: bool = False
     label: str = "?"
 
 
-def _container(name: str, rest: str, inside: bool) -> bool:
-    """Whether an element holds boilerplate, by its tag or its class, id and role."""
+@dataclass
+class _Region:
+    """An element that may be boilerplate: for certain, or as long as it does not hold the page's text."""
+
+    depth: int
+    certain: bool
+    comment: bool
+    contents: int = 0
+
+
+def _hints(value: str) -> set[str]:
+    parts = [x for x in _PARTS.split(value) if x]
+    return {x for x, before in zip(parts, ["", *parts]) if before not in DENIALS}
+
+
+def _region(name: str, rest: str, inside: bool, depth: int) -> _Region | None:
+    """The region that an element opens by its tag or its class, id and role."""
     if name in BOILERPLATE_TAGS or (name in PAGE_TAGS and not inside):
-        return True
+        return _Region(depth, True, False)
+    found = _Region(depth, False, False) if name == "form" else None
     if not rest or name in ("html", "body", "a"):
-        return False
+        return found
     for kind, *values in _ATTRIBUTE.findall(rest):
         kind, value = kind.lower(), next((v for v in values if v), "").lower()
         if kind == "hidden" or (kind == "aria-hidden" and value.startswith("true")) or (kind == "style" and _NO_DISPLAY.search(value)):
-            return True
-        if kind == "role":
-            if value in ROLES:
-                return True
+            return _Region(depth, True, False)
+        if kind == "role" and value in ROLES and name not in CONTENT_TAGS:
+            found = found or _Region(depth, False, False)
         elif kind in ("class", "id"):
-            parts = set(_PARTS.split(value))
-            if parts & HINTS or (parts & PAGE_HINTS and not inside):
-                return True
-    return False
+            parts = _hints(value)
+            if parts & COMMENT_HINTS:
+                found = _Region(depth, False, True)
+            elif name not in CONTENT_TAGS and (parts & HINTS or (parts & PAGE_HINTS and not inside)):
+                found = found or _Region(depth, False, False)
+    return found
 
 
 class _Open:
@@ -150,16 +184,18 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks in order, white space made single, character references decoded."""
     out: list[Block] = []
     held: list[str] = []
-    linked = links = inside = 0
-    skipped: int | None = None  # the place of the open element that is boilerplate
-    opened, in_link, heading, at = _Open(), False, False, 0
+    linked = links = inside = contents = 0
+    regions: list[_Region] = []
+    active: list[int] = []  # regions that hold the place we are at, outermost first
+    opened, heading, at = _Open(), False, 0
+    link: int | None = None  # the place of the open link
 
     def flush():
         nonlocal linked, links
         if held:
             text = " ".join(_html.unescape("".join(held)).split())
             if text:
-                out.append(Block(text, linked, links, heading, inside > 0, skipped is not None))
+                out.append(Block(text, linked, links, heading, inside > 0, tuple(active)))
             held.clear()
         linked = links = 0
 
@@ -167,7 +203,7 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         if (text := m["text"]) is not None:
             held.append(text)
-            if in_link:
+            if link is not None:
                 linked += len(" ".join(text.split()))
             continue
         name = m["name"] or m["name2"]
@@ -181,51 +217,89 @@ def blocks(page: str) -> list[Block]:
         if name in RAW_TAGS and not close and not rest.endswith("/"):
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             body = re.compile(r"<body\b", re.I).search(page, at) if name == "head" and not end else None
-            at = end.end() if end else body.start() if body else len(page)
+            # a head that nothing ends: what belongs to it is skipped tag by tag
+            at = end.end() if end else body.start() if body else at if name == "head" else len(page)
             continue
-        if name == "a":
-            in_link = not close
-            links += not close
-        elif name[0] == "h" and len(name) == 2 and name[1].isdigit():
+        if name[0] == "h" and len(name) == 2 and name[1].isdigit():
             heading = not close
         depth = opened.after_end(name) if close else opened.after_start(name)
-        if skipped is not None and depth <= skipped:
+        if active and depth <= regions[active[-1]].depth:
             flush()
-            skipped = None
+            while active and depth <= regions[active[-1]].depth:
+                active.pop()
         if depth < len(opened.names):
             opened.cut(depth)
             inside = min(inside, opened.count(CONTENT_TAGS))
+        if link is not None and (len(opened.names) <= link or (close and name == "a")):
+            link = None
         if close or name in VOID_TAGS or rest.endswith("/"):
             continue
-        if skipped is None:
-            if _container(name, rest, inside > 0):
-                flush()
-                skipped = len(opened.names)
-            elif name in CONTENT_TAGS:
-                inside += 1
+        if name == "a" and any(kind.lower() == "href" for kind, *_ in _ATTRIBUTE.findall(rest)):
+            link = len(opened.names)
+            links += 1
+        if region := _region(name, rest, inside > 0, len(opened.names)):
+            flush()
+            active.append(len(regions))
+            regions.append(region)
+        if name in CONTENT_TAGS:
+            if not any(regions[r].certain or regions[r].comment for r in active):
+                contents += 1
+                for r in active:
+                    regions[r].contents += 1
+            inside += 1
         opened.push(name)
     flush()
+    _decide(out, regions, contents)
     return out
 
 
+def _decide(found: list[Block], regions: list[_Region], contents: int) -> None:
+    """Which regions, hence which blocks, are boilerplate."""
+    known = [any(regions[r].certain or regions[r].comment for r in b.regions) for b in found]
+    size = [0] * len(regions)
+    total = 0
+    for b, out in zip(found, known):
+        if not out:
+            total += len(b.text) - b.linked
+            for r in b.regions:
+                size[r] += len(b.text) - b.linked
+    holds = [(r.contents == contents if contents else n > MOST * total) for r, n in zip(regions, size)]
+    for b, out in zip(found, known):
+        b.boilerplate = out or any(not holds[r] for r in b.regions)
+
+
+def _running(text: str) -> float:
+    """The share of stop words, or of short words where there are sentences: running text has many of them."""
+    if len(_DENSE.findall(text)) > 0.3 * len(text):
+        return 1.0
+    words = _WORD.findall(text.lower())
+    listed = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    short = sum(len(w) <= 3 for w in words) / max(len(words), 1) if _SENTENCE.search(text) else 0.0
+    return max(listed, short)
+
+
+def _length(text: str) -> int:
+    """Characters; a letter of a script without blanks is as long as three."""
+    return len(text) + 2 * len(_DENSE.findall(text))
+
+
 def _first_pass(found: list[Block], framed: bool) -> None:
     for b in found:
-        n = len(b.text)
-        density = b.linked / n
+        n = _length(b.text)
+        density = b.linked / len(b.text)
         if b.boilerplate or (framed and not b.inside):
             b.label = "boilerplate"
         elif density > LINKS_BAD and (b.links > 1 or not b.inside):
             b.label = "boilerplate"
         else:
-            words = _WORD.findall(b.text.lower())
-            stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+            stop = _running(b.text)
             if framed:
                 if density <= LINKS_BAD and (n >= LONG or n >= SHORT and stop >= STOP_LOW):
                     b.label = "text"
             elif n >= LONG and stop >= STOP_LOW or n >= SHORT and stop >= STOP_HIGH:
                 b.label = "text"
             elif n >= LONG:
-                b.label = "boilerplate"
+                b.label = "unlike text"
 
 
 def _second_pass(found: list[Block], framed: bool) -> None:
@@ -272,6 +346,14 @@ def main_text(page: str | None) -> str:
     found = blocks(page)
     framed = any(b.inside and not b.boilerplate for b in found)
     _first_pass(found, framed)
+    if not framed and not any(b.label == "text" for b in found):
+        rest = [b for b in found if b.label in ("?", "unlike text")]
+        if "<" in page or sum(len(b.text) for b in rest) >= SHORT:
+            for b in rest:
+                b.label = "text"
+    for b in found:
+        if b.label == "unlike text":
+            b.label = "boilerplate"
     _second_pass(found, framed)
     return "\n\n".join(b.text for b in found if b.label == "text")
 
