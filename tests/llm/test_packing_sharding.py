@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -165,3 +166,29 @@ def test_differencing_is_consistent():
             found[t] += item[p]
     assert found == sums and max(sums) - min(sums) <= 30
     assert sharding.differenced([], 3) == ([], [0, 0, 0])
+
+
+def test_blanks_are_looked_at_once():
+    start = time.time()
+    runs = (" " * 40_000 + "x") * 50
+    assert all(m.end() - m.start() < packing.BLANKS for m in packing._BLANK_RUNS.finditer(runs))
+    assert time.time() - start < 2
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_never_more_sequences_than_best_fit(seed):
+    rng = random.Random(seed)
+    draw = [lambda: rng.randrange(1, 2049), lambda: min(2048, int(rng.lognormvariate(5.5, 1.1)) + 1), lambda: rng.choice([700, 701, 1340, 1348, 2047, 3])][seed % 3]
+    lengths = [draw() for _ in range(rng.choice([50, 3000]))]
+    histogram = {n: lengths.count(n) for n in set(lengths)}
+    runs = packing.plan(histogram)
+    left = np.zeros(2049, np.int64)
+    for n, k in histogram.items():
+        left[n] = k
+    assert sum(m for _, m in runs) <= sum(m for _, m in packing._best_fit([], left, 2048))
+    used = {}
+    for found, m in runs:
+        assert sum(found) <= 2048
+        for n in found:
+            used[n] = used.get(n, 0) + m
+    assert used == histogram

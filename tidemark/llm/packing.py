@@ -61,7 +61,9 @@ def default_vocabulary() -> str:
 SPECIAL = "<|endoftext|>"
 #: White space in a row that is still encoded by ranks; their pattern's stack overflows at some more than 600,000.
 BLANKS = 100_000
-_BLANK_RUN = re.compile(r"\s{%d}" % BLANKS)
+#: Share of a sequence that a pattern may leave empty.
+WASTE = 1 / 256
+_BLANK_RUNS = re.compile(r"\s++")  # a run is looked at once
 
 
 def encode(text: str, path: str, specials: bool = False) -> list[int]:
@@ -70,7 +72,7 @@ def encode(text: str, path: str, specials: bool = False) -> list[int]:
     It reads the json beside the ranks at ``path``.
     """
     special = specials and SPECIAL in text
-    if not special and (len(text) < BLANKS or not _BLANK_RUN.search(text)):
+    if not special and (len(text) < BLANKS or all(m.end() - m.start() < BLANKS for m in _BLANK_RUNS.finditer(text))):
         return encoder(path).encode_ordinary(text)
     if (key := (path, specials)) not in _ENCODERS:
         from tokenizers import Tokenizer
@@ -171,7 +173,10 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, parts: int = PARTS) -> list[tuple[tuple[int, ...], int]]:
-    """Runs (lengths of one sequence, how many such sequences) that hold every piece."""
+    """Runs (lengths of one sequence, how many such sequences) that hold every piece.
+
+    Never more sequences than best fit without patterns takes, which is the plan where it needs fewer.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
@@ -193,7 +198,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS,
         fitted = nnls(a * weight, in_bin * weight[:, 0])
         for j in sorted(np.flatnonzero(fitted >= 1).tolist(), key=lambda j: known[j], reverse=True):
             runs += _filled(known[j], int(fitted[j]), left, bin_of, capacity)
-    return _best_fit(runs, left, capacity)
+    planned = _best_fit(runs, left, capacity)
+    plain = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        plain[length] = n
+    plain = _best_fit([], plain, capacity)
+    return min(planned, plain, key=lambda found: sum(m for _, m in found))
 
 
 def _filled(pattern, repeats, left, bin_of, capacity):
@@ -216,6 +226,8 @@ def _filled(pattern, repeats, left, bin_of, capacity):
                 return out
             chosen.append(lo + int(at[-1]))
             room -= chosen[-1]
+        if room > WASTE * capacity:  # best fit does better with what is left
+            return out
         need = {c: chosen.count(c) for c in chosen}
         m = min(repeats, *(int(left[c]) // k for c, k in need.items()))
         for c, k in need.items():
