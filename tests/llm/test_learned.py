@@ -1,6 +1,7 @@
 """Language identification and toxicity: accuracy on rows that were not learned from, and edge cases."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -140,3 +141,26 @@ def test_toxicity_edge_cases(spark):
     empty = toxicity.fit(docs_frame(spark, odd), spark.createDataFrame([(3, 0)], "doc_id bigint, toxic int"))
     assert empty.weights == {} and {r["predicted"] for r in toxicity.scored(docs_frame(spark, odd), empty).collect()} == {0}
     assert toxicity.scored(docs_frame(spark, []), lexicon).collect() == []
+
+
+def test_many_matches_and_exceptions_take_linear_time():
+    lexicon = toxicity.Lexicon({" bad": 2.0}, {" badge ", " bad badge "})
+    start = time.time()
+    weight, words = toxicity.evidence("badge bad " * 100_000, lexicon.automaton())
+    assert time.time() - start < 10 and words == 200_000
+    assert weight == 2.0 * 1  # all but the last are spared by " bad badge "
+
+
+def test_rows_to_learn_from_are_bounded(spark):
+    """A doc_id that many rows share does not lift the bound; equal rows count once."""
+    rows = [(1, f"text number {i} zorgol") for i in range(300)] + [(2, "same")] * 300 + [(i, f"clean {i}") for i in range(3, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 60)], "doc_id bigint, toxic int")
+    seen = []
+    settled = toxicity.settled
+    toxicity.settled = lambda df: seen.append(settled(df)) or seen[-1]
+    try:
+        toxicity.fit(docs, labels, sample=100)
+    finally:
+        toxicity.settled = settled
+    assert seen[0].count() == 100 and seen[0].where("text = 'same'").count() <= 1

@@ -28,10 +28,7 @@ from tidemark.llm.common import arrow_map, settled, shipped
 
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 40_000
-#: Terms of toxic texts that are looked at, at most, the most frequent first; entries and exceptions of the
-#: lexicon, at most; texts (and contexts) an entry must mark; its share of toxic texts.
-CANDIDATES = 100_000
-ENTRIES = 2_000
+#: Texts (and contexts) an entry must mark; its share of toxic texts.
 SUPPORT = 5
 PRECISION = 0.8
 #: Tallies that a task holds, about.
@@ -114,9 +111,17 @@ def evidence(text: str, automaton) -> tuple[float, float]:
             spared.append((begin, end))
         elif w > at.get(begin, 0.0):
             at[begin] = w
-    if spared:
-        at = {b: w for b, w in at.items() if not any(s <= b < e for s, e in spared)}
-    return sum(at.values()), words
+    if not spared:
+        return sum(at.values()), words
+    spared.sort()
+    total, reach, i = 0.0, -1, 0
+    for b, w in sorted(at.items()):  # both from left to right
+        while i < len(spared) and spared[i][0] <= b:
+            reach = max(reach, spared[i][1])
+            i += 1
+        if b >= reach:
+            total += w
+    return total, words
 
 
 def features(weight: float, words: float) -> tuple[float, float, float]:
@@ -252,7 +257,7 @@ def varied(weights: dict[str, float], contexts: dict[tuple[str, int], int], shar
         a, b = contexts.get((t, 1), 0), contexts.get((t, 0), 0)
         if a >= SUPPORT and a >= PRECISION * (a + b) and surprise(a, b, share) >= SURPRISE:
             out.append((-w, t))
-    return {t: -w for w, t in sorted(out)[:ENTRIES]}
+    return {t: -w for w, t in sorted(out)}
 
 
 def _phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -296,24 +301,30 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Lexicon:
-    """A lexicon from at most ``sample`` labelled rows; without toxic rows or clean ones it is empty."""
+    """A lexicon from at most ``sample`` labelled rows; without toxic rows or clean ones it is empty.
+
+    The rows with the smallest hashes, of the doc_ids with the smallest hashes; a row that
+    repeats doc_id and text counts once.
+    """
     chosen = labels.select(F.col(doc_id).alias("doc_id"), (F.col(toxic) == 1).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # of ``sample`` rows
-    rows = settled(rows.select("text", "toxic"))
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    most = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = settled(rows.where(F.col("h") <= F.lit(most)).dropDuplicates(["h"]).select("text", "toxic"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon()
     if not n_toxic or not n_clean:
         return lexicon
-    frequent = _counted(rows.where("toxic = 1"), None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(CANDIDATES)
+    frequent = _counted(rows.where("toxic = 1"), None).where(F.col("n") >= SUPPORT)  # terms of the sample
     marked = {r["term"]: r["n"] for r in frequent.collect()}
     clean = {r["term"]: r["n"] for r in _counted(rows.where("toxic = 0"), set(marked)).collect()}
     lexicon.weights = choose(marked, clean, n_toxic, n_clean)
     contexts = {(r["entry"], r["toxic"]): r["contexts"] for r in _contexts(rows, lexicon).collect()}
     lexicon.weights = varied(lexicon.weights, contexts, n_toxic / (n_toxic + n_clean))
     spared = _phrases(rows, lexicon).where(F.col("clean") >= 3).where(F.col("toxic") <= 0.25 * (F.col("clean") + F.col("toxic")))
-    lexicon.exceptions = {r["phrase"] for r in spared.orderBy(F.desc("clean"), "phrase").limit(ENTRIES).collect()} - set(lexicon.weights)
+    lexicon.exceptions = {r["phrase"] for r in spared.collect()} - set(lexicon.weights)
     seen = [(r["weight"], r["words"], r["toxic"]) for r in _measured(rows, lexicon).collect()]  # ``sample`` rows at most
     x = np.array([features(w, n) for w, n, _ in seen])
     lexicon.coefficients = tuple(round(float(c), 9) for c in logistic(x, np.array([y for *_, y in seen], float)))
