@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import divergence, lattice, trie
-from tests.llm.llm_util import lowered
+from llm_util import lowered
 
 CLASH = ("id", "v", "key", "t", "own", "node", "path", "before", "d", "term", "n", "docs", "label", "weight", "least", "pos", "token", "item", "value", "rank", "block")
 

@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline's stages against brute force."""
 
 import os
+import hashlib
 import random
 
 import pytest
@@ -78,13 +79,22 @@ def test_language_stage_drops_what_is_no_language(spark):
 
 
 def test_distinct_stage_keeps_one_of_each_class(spark):
+    """Classes are made of texts: no unique text goes, whatever its doc_id, and one row of each class stays."""
     rng = random.Random(2)
     base = sentence(rng, 200, 5000)
-    rows = [(10 + i, base + f" tail{i}", "en") for i in range(20)] + [(5, base, "en"), (200, sentence(rng, 50), "en"), (200, "quite different", "en"), (201, None, "en"), (None, base, "en")]
-    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.distinct(spark, frame(spark, rows), SF).collect()]
-    classes = {d: c for d, _, c in brute_classes([(i, t) for i, t, _ in rows])}
-    want = {d for d in classes if d is not None and classes[d] == d}
-    assert sorted(d for d, _ in kept if d is not None) == sorted(want) and (None, base) in kept
+    rows = [(10 + i, base + f" tail{i}", "en") for i in range(20)] + [(5, base, "en"), (201, None, "en"), (None, base, "en"), (7, "", "en"), (8, "", "en")]
+    rows += [(200, sentence(rng, 50), "en"), (200, "quite different", "en"), (200, "a third text", "en"), (200, base, "en")]  # one doc_id, texts of their own and a copy
+    rows += [(None, "copies without an id", "en")] * 3 + [(300, "equal rows", "en")] * 4 + [(None, "equal rows", "en"), (301, "equal rows", "fr")]
+    for order in (rows, rows[::-1]):
+        got = corpus_pipeline.distinct(spark, frame(spark, order), SF)
+        kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+        numbered = {c: i for i, c in enumerate(sorted({t for _, t, _ in rows if t}))}
+        classes = {d: c for d, _, c in brute_classes([(i, t) for t, i in numbered.items()])}
+        want = [(d, t) for d, t, _ in rows if not t]
+        for c in set(classes.values()):
+            mine = [(d, t) for d, t, _ in rows if t and classes[numbered[t]] == c]
+            want.append(min(mine, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest())))
+        assert kept == sorted(want, key=repr)
 
 
 def test_distinct_stage_names_its_rule(spark, monkeypatch):
