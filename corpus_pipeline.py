@@ -27,13 +27,19 @@ def _key() -> str:
     return f"key_{uuid.uuid4().hex}"
 
 
+def _matched(docs: DataFrame, columns: list, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined to the rows of ``keys``, whose columns ``columns`` are compared with, in order; null equals null."""
+    keys = settled(keys.distinct())
+    named = keys.toDF(*[_key() for _ in keys.columns])
+    same = [c.eqNullSafe(F.col(k)) for c, k in zip(columns, named.columns)]
+    if keys.count() <= BROADCAST_KEYS:
+        named = F.broadcast(named)
+    return docs.join(named, same, how)
+
+
 def _without(docs: DataFrame, column, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``column`` is the only column of ``gone``; null keys stay."""
-    gone, name = settled(gone.distinct()), _key()
-    named = gone.toDF(name)
-    if gone.count() <= BROADCAST_KEYS:
-        named = F.broadcast(named)
-    return docs.join(named, column == F.col(name), "left_anti")
+    return _matched(docs, [column], gone.na.drop(), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,17 +54,34 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each similarity class; of rows that repeat a doc_id, one.
+    """Keeps one row of each similarity class of texts: that of the smallest doc_id (null last), then of the smallest MD5.
 
-    Rows without a doc_id belong to no class and stay.
+    The texts make the classes; a doc_id only decides which row of a class stays, so rows that share
+    one are told apart, and rows without one are compared like all others. Equal rows are as many
+    copies of one text. Null texts and texts without words belong to no class and stay. A text goes by a
+    64-bit hash; texts that collide there (told by their MD5) stay as well.
     """
-    found = settled(jaccard.similarity_classes(docs.select("doc_id", "text"), shingle=SHINGLE, percent=PERCENT))
-    kept = _without(docs, F.col("doc_id"), found.where("component_id <> doc_id").select("doc_id"))
-    repeated = settled(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    mark = F.xxhash64(F.lit("text"), "text")
+    keyed = docs.where(F.col("text").isNotNull()).select(mark.alias("id"), F.col("doc_id").alias("own"), "text")
+    found = jaccard.similarity_classes(keyed.select(F.col("id").alias("doc_id"), "text"), shingle=SHINGLE, percent=PERCENT)
+    classes = settled(found.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "component_id").distinct())
+    rows = settled(keyed.groupBy("id", "own").agg(F.count("*").alias("n"), F.min(F.md5("text")).alias("low"), F.max(F.md5("text")).alias("high")))
+    best = F.min(F.struct(F.col("own").isNull().alias("none"), "own")).alias("best")
+    texts = rows.groupBy("id").agg(best, F.min("low").alias("low"), F.max("high").alias("high")).where("low = high")
+    texts = settled(texts.join(classes, "id"))
+    kept = texts.groupBy("component_id").agg(F.min(F.struct("best", "low", "id")).alias("k"))
+    kept = settled(kept.select(F.col("k.id").alias("kept_id"), F.col("k.best.own").alias("kept_own")))
+    told = [F.col("id") == F.col("kept_id"), F.col("own").eqNullSafe(F.col("kept_own"))]
+    gone = rows.join(texts.select("id"), "id", "left_semi").join(kept, told, "left_anti").select("id", "own")
+    keys = [mark, docs["doc_id"]]
+    out = _matched(docs, keys, gone, "left_anti")
+    repeated = settled(rows.where("n > 1").join(kept, told, "left_semi").select("id", "own"))
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return _without(kept, F.col("doc_id"), repeated).unionByName(again)
+        return out
+    names = _key(), _key()
+    again = _matched(docs, keys, repeated, "left_semi").withColumns({names[0]: mark, names[1]: docs["doc_id"]})
+    again = again.dropDuplicates(list(names)).select(*docs.columns)
+    return _matched(out, keys, repeated, "left_anti").unionByName(again)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
