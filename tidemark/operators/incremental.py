@@ -14,6 +14,8 @@ from tidemark.operators.bars import log_returns
 from tidemark.operators.features import DEFAULT_ROLES, wide_bars, wide_features
 from tidemark.operators.frames import attach_group_value, last_rows
 from tidemark.operators.labels import HORIZON, LABEL, forward_rv
+from tidemark.sources import versions
+from tidemark.sources.store import stored
 
 CONTEXT_ROWS = 70
 CONTEXT_DAYS = 150
@@ -185,6 +187,24 @@ def master_upsert(
     return master.join(changes.select(*on), on, "left_anti").unionByName(changes)
 
 
+def upsert_partitions(path: str, new_features: DataFrame, by, *, keys: Sequence[str] = (), order: str = "bar", **options) -> versions.Version:
+    """:func:`master_upsert` of a versioned table: only the partitions of new rows and of labels that they settle are written.
+
+    Rows whose label stays as it is are no changes, so they touch no partition.
+    """
+    spark = new_features.sparkSession
+    master = versions.read(spark, path)
+    label = options.get("label", LABEL)
+    on = [*keys, order]
+    changes = stored(master_changes(master, new_features, keys=keys, order=order, **options), "changes")
+    before = master.select(*[F.col(c).alias(f"_{c}") for c in on], F.col(label).alias("_was"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on] + [F.col(label).eqNullSafe(F.col("_was"))]
+    known = new_features.select(*on)
+    fresh = changes.join(known, on, "left_semi")
+    settled = changes.join(known, on, "left_anti").join(before, same, "left_anti")
+    return versions.merge(fresh.unionByName(settled), path, by, order, on)
+
+
 def ingest_range(
     manifest: DataFrame, partitions: DataFrame, default_start, today, *, by: str = "date"
 ) -> DataFrame:

@@ -48,14 +48,14 @@ def paired(spark, sf):
 
 @query(
     sql_round(
-        """SELECT coalesce(a.series, b.series) AS series, coalesce(a.bar, b.bar) AS bar,
-                  a.rv_5d AS y_a, a.prediction AS pred_a, b.rv_5d AS y_b, b.prediction AS pred_b,
-                  CASE WHEN a.series IS NULL THEN 'only_b' WHEN b.series IS NULL THEN 'only_a'
-                       WHEN abs(a.rv_5d - b.rv_5d) <= 1e-8 + 1e-5 * abs(b.rv_5d)
-                       THEN 'aligned' ELSE 'label_mismatch' END AS status
-           FROM (SELECT * FROM known WHERE model = 'vol_5') a
-           FULL JOIN (SELECT * FROM known WHERE model = 'half_vol_20') b
-             ON a.series = b.series AND a.bar = b.bar""",
+        """SELECT series, bar, y_a, pred_a, y_b, pred_b,
+                  CASE WHEN n_a = 0 THEN 'only_b' WHEN n_b = 0 THEN 'only_a'
+                       WHEN abs(y_a - y_b) <= 1e-8 + 1e-5 * abs(y_b) THEN 'aligned' ELSE 'label_mismatch' END AS status
+           FROM (SELECT series, bar,
+                        max(rv_5d) FILTER (model = 'vol_5') AS y_a, max(prediction) FILTER (model = 'vol_5') AS pred_a,
+                        max(rv_5d) FILTER (model = 'half_vol_20') AS y_b, max(prediction) FILTER (model = 'half_vol_20') AS pred_b,
+                        count(*) FILTER (model = 'vol_5') AS n_a, count(*) FILTER (model = 'half_vol_20') AS n_b
+                 FROM known WHERE model IN ('vol_5', 'half_vol_20') GROUP BY series, bar) p""",
         ("y_a", "pred_a", "y_b", "pred_b"),
         SCORED_ALL,
     )

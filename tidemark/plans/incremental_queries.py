@@ -20,7 +20,7 @@ from tidemark.plans.common import (
     sql_round,
     supplier_features,
 )
-from tidemark.sources import store, tables
+from tidemark.sources import store, tables, versions
 
 QUERIES, ORACLE = {}, {}
 EVENT_CUT = "2024-01-28"  # hourly bars from this day on are new
@@ -144,6 +144,32 @@ def master_upsert(spark, sf):
     return rounded(out)
 
 
+@query(ORACLE["master_upsert"])
+def versioned_upsert(spark, sf):
+    """The same master as a versioned table: version 2 replaces the months of new rows and of labels they settle."""
+    rows = supplier_features(spark, sf, label=True).select("series", "bar", "ret_1", "vol_20", "rv_5d")
+    old, new = cut(store.stored(rows, "features"), LINE_CUT)
+    from tidemark.operators.labels import forward_rv
+
+    path, month = store.scratch_path(spark, "master"), F.date_format("bar", "yyyy-MM")
+    versions.create(forward_rv(old.drop("rv_5d"), ret="ret_1", keys=["series"], grain=LINE_GRAIN), path, month, "bar")
+    incremental.upsert_partitions(path, new.drop("rv_5d"), month, ret="ret_1", keys=["series"], grain=LINE_GRAIN)
+    return rounded(versions.read(spark, path))
+
+
+@query(
+    """SELECT strftime(date_trunc('week', l_shipdate), '%Y-%m') AS part, count(DISTINCT (l_suppkey, date_trunc('week', l_shipdate))) AS rows,
+              CAST(CAST(min(date_trunc('week', l_shipdate)) AS TIMESTAMP) AS VARCHAR) AS first, CAST(CAST(max(date_trunc('week', l_shipdate)) AS TIMESTAMP) AS VARCHAR) AS last
+       FROM lineitem GROUP BY 1"""
+)
+def version_partitions(spark, sf):
+    """Partitions of a versioned table with their rows and ranges: read from the manifest, no data is scanned."""
+    bars = tables.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("series"), F.date_trunc("week", "l_shipdate").cast("timestamp_ntz").alias("bar")).distinct()
+    path = store.scratch_path(spark, "bars")
+    versions.create(bars, path, F.date_format("bar", "yyyy-MM"), "bar")
+    return versions.partitions(spark, path)
+
+
 @query("""
   SELECT 'manifest' AS source, CAST(m + INTERVAL 1 DAY AS DATE) AS start, DATE '2002-01-01' AS "end",
          'incremental' AS mode FROM (SELECT max(CAST(l_shipdate AS DATE)) AS m FROM lineitem) a
