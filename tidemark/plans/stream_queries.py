@@ -76,6 +76,36 @@ def stream_volatility(spark, sf):
     return rounded(spark.read.parquet(out).select("series", "bar", *vols))
 
 
+#: Arrivals of the out-of-order stream, and how late a row may be.
+ARRIVALS, LATE_DAYS = 6, 28
+
+
+@query(
+    sql_round(
+        "SELECT * FROM (SELECT series, bar, "
+        + ", ".join(f"{sql_gate(f'sqrt(sum(ret * ret) OVER w{n})', n, 'ret')} AS vol_{n}" for n in (5, 20, 60))
+        + f" FROM supplier_curated {sql_windows('series', ns=(5, 20, 60))}) v"
+        + f" WHERE bar <= (SELECT max(bar) FROM supplier_curated) - INTERVAL {LATE_DAYS} DAY",
+        ("vol_5", "vol_20", "vol_60"),
+        SUPPLIER_BASE,
+    )
+)
+def stream_out_of_order(spark, sf):
+    """Rolling volatility over several micro-batches whose rows are late by up to four weeks: each row once the watermark passed it."""
+    curated = store.stored(tables.supplier_curated(spark, sf).select("series", "bar", "ret"), "returns")
+    path = store.scratch_path(spark, "arrivals")
+    first, last = curated.agg(F.min("bar").cast("timestamp").cast("long"), F.max("bar").cast("timestamp").cast("long")).first()
+    span = max(-(-((last or 0) - (first or 0) + 1) // ARRIVALS), 1)
+    delay = F.pmod(F.xxhash64("series", "bar"), F.lit(LATE_DAYS * 86_400 - 1))
+    when = F.least(((F.col("bar").cast("timestamp").cast("long") + delay - F.lit(first)) / F.lit(span)).cast("int"), F.lit(ARRIVALS - 1))
+    for k in range(ARRIVALS):  # one arrival after the other, each a file of its own
+        curated.where(when == k).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(curated.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = finished(jobs.ordered_volatility(stream, late=f"{LATE_DAYS} days", idle_days=100_000), spark, "ordered")
+    vols = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("vol_5", "vol_20", "vol_60")]
+    return rounded(spark.read.parquet(out).select("series", F.col("bar").cast("timestamp_ntz").alias("bar"), *vols))
+
+
 @query(sql_round("SELECT * FROM features", features.FEATURE_COLUMNS, EVENT_ALL))
 def stream_features(spark, sf):
     """The feature table kept up to date from arriving curated files."""

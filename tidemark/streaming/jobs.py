@@ -149,3 +149,64 @@ def rolling_state(
     return curated.select(series, order, ret).groupBy(series).applyInPandasWithState(
         update, out, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
+
+
+ORDERED_STATE = "pending_at array<bigint>, pending array<double>, tail array<double>, last bigint"
+
+
+def ordered_volatility(
+    curated: DataFrame,
+    windows: Sequence[int] = (5, 20, 60),
+    *,
+    series: str = "series",
+    order: str = "bar",
+    ret: str = "ret",
+    late: str = "7 days",
+    idle_days: int = 365,
+) -> DataFrame:
+    """Rolling volatility of a stream whose rows come out of order, up to ``late``.
+
+    A row waits in the state until the watermark has passed it, then rows leave in order
+    of time with the values that a batch job gives them, in whatever micro-batches they
+    came. Rows behind the watermark, or at a time that has left already, are ignored. A
+    series without rows for ``idle_days`` of event time is forgotten and begins anew. State
+    per series: the longest window's rows and those of ``late``.
+    """
+    keep, idle = max(windows) - 1, idle_days * 86_400_000_000
+    kind = curated.schema[series].dataType.simpleString()
+    out = f"{series} {kind}, {order} timestamp, " + ", ".join(f"vol_{n} double" for n in windows)
+
+    def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, waiting, tail, last = state.get if state.exists else ([], [], [], None)
+        at, waiting, tail = list(at or []), list(waiting or []), list(tail or [])
+        mark = state.getCurrentWatermarkMs() * 1000
+        for rows in () if state.hasTimedOut else batches:
+            times = rows["_at"].astype("datetime64[us]").astype("int64").to_numpy()
+            fresh = (times > mark) | (mark <= 0)
+            if last is not None:
+                fresh &= times > last
+            at += times[fresh].tolist()
+            waiting += rows[ret].to_numpy(dtype=float)[fresh].tolist()
+        due = sorted((t, i) for i, t in enumerate(at) if t <= mark)
+        if due:
+            x = np.array(tail + [waiting[i] for _, i in due], dtype=float)
+            result = {series: [key[0]] * len(due), order: pd.to_datetime([t for t, _ in due], unit="us", utc=True)}
+            for n in windows:
+                result[f"vol_{n}"] = pd.Series(x * x).rolling(n).sum().pow(0.5).to_numpy()[-len(due) :]
+            tail, last = x[-keep:].tolist(), due[-1][0]
+            gone = {i for _, i in due}
+            at, waiting = [t for i, t in enumerate(at) if i not in gone], [v for i, v in enumerate(waiting) if i not in gone]
+            yield pd.DataFrame(result)
+        if not at and last is not None and mark >= last + idle:
+            state.remove()
+            return
+        state.update((at, waiting, tail, last))
+        due_next = min(at) if at else (last or 0) + idle
+        state.setTimeoutTimestamp(max(due_next // 1000, mark // 1000) + 1)
+
+    timed = curated.select(series, F.col(order).cast("timestamp").alias("_at"), F.col(ret).cast("double").alias(ret))
+    return (
+        timed.withWatermark("_at", late)
+        .groupBy(series)
+        .applyInPandasWithState(update, out, ORDERED_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    )
