@@ -89,7 +89,7 @@ def read_partitions(
 
 
 def partition_dates(df: DataFrame, by: str = "date") -> DataFrame:
-    """Distinct partition values; served from the file index when ``by`` is a partition column."""
+    """Distinct partition values: a scan of that column alone. A versioned table lists them from its manifest."""
     return df.select(by).distinct()
 
 
