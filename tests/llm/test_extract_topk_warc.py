@@ -134,6 +134,14 @@ def test_large_components_are_exact(spark):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
 
 
+def test_components_beyond_32_bits_take_part(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=3).astype(np.float32).tolist()) for i in range(40)] + [(100, [1e7, 1.0, 0.0]), (101, [-1e7, 0.5, 2.0]), (110, [float(2**23), -(2.0**23), 1.0]), (120, [1e7, 1.0, 0.0])]
+    vectors = topk.integers(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    got = topk.top_k(vectors, vectors.where("vec_id % 10 = 0"), block=8, pivots=4)
+    assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
+
+
 # ---- WARC -----------------------------------------------------------------------
 
 

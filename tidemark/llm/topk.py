@@ -39,10 +39,10 @@ FIRST = 2
 
 
 def integers(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v, norm2): int32 components as bytes, and the squared length.
+    """(vec_id, v, norm2): 64-bit whole components as bytes, and the squared length.
 
-    Vectors that are null, hold a null or non-finite component, or one that does not fit
-    32 bits once scaled, are left out, and so are rows without a vec_id.
+    Vectors that are null, hold a null or non-finite component, or one of 2^62 or more once
+    scaled (whose scores no 64-bit number holds), are left out, and so are rows without a vec_id.
     """
 
     def run(batches):
@@ -55,8 +55,8 @@ def integers(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", s
             numbers = batch.column(0).to_pylist()
             for i in range(batch.num_rows):
                 x = np.floor(values[offsets[i] : offsets[i + 1]] * scale)
-                if known[i] and numbers[i] is not None and np.isfinite(x).all() and (np.abs(x) < 2**31).all():
-                    x = x.astype("<i4")
+                if known[i] and numbers[i] is not None and np.isfinite(x).all() and (np.abs(x) < 2**62).all():
+                    x = x.astype("<i8")
                     ids.append(numbers[i])
                     out.append(x.tobytes())
                     norms.append(float((x.astype(np.float64) ** 2).sum()))
@@ -67,15 +67,24 @@ def integers(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", s
 
 
 def matrix(rows: list[bytes], dim: int) -> np.ndarray:
-    """float64 rows of the integer vectors; shorter ones end in zeros."""
-    if all(len(r) == 4 * dim for r in rows):
-        return np.frombuffer(b"".join(rows), "<i4").reshape(len(rows), dim).astype(np.float64)
-    out = np.zeros((len(rows), dim))
+    """Rows of the integer vectors; shorter ones end in zeros."""
+    if all(len(r) == 8 * dim for r in rows):
+        return np.frombuffer(b"".join(rows), "<i8").reshape(len(rows), dim)
+    out = np.zeros((len(rows), dim), np.int64)
     for i, r in enumerate(rows):
-        out[i, : len(r) // 4] = np.frombuffer(r, "<i4")
+        out[i, : len(r) // 8] = np.frombuffer(r, "<i8")
     return out
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Rows of whole numbers, in 4 bytes each where all fit."""
+    return x.astype("<i4" if np.abs(x).max(initial=0) < 2**31 else "<i8").tobytes()
+
+
+def unpacked(data: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, "<i4" if len(data) == 4 * n * dim else "<i8").reshape(n, dim).astype(np.int64)
+
+
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
     """The vectors with the coordinate that gives all the squared length ``top``."""
     extra = np.sqrt(np.maximum(top - (x**2).sum(axis=1), 0.0))
@@ -105,25 +114,25 @@ def choose_pivots(x: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer inner products: floating while they fit 53 bits, else 64-bit integers."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1)
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
     if most < 2**53:
-        return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+    return a @ b.T
 
 
 def build(vectors: DataFrame, *, pivots: int = PIVOTS, block: int = BLOCK):
     """(index, pivots, top, dim): the annuli, each a row of packed vectors, kept in the shared folder."""
     n, top, longest = vectors.agg(F.count("*"), F.max("norm2"), F.max(F.length("v"))).first()
-    dim, top = (longest or 0) // 4, float(top or 0.0)
+    dim, top = (longest or 0) // 8, float(top or 0.0)
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOT_SAMPLE).select("v").collect()  # PIVOT_SAMPLE rows at most
-    centre = choose_pivots(lifted(matrix([bytes(r[0]) for r in sample], dim), top), pivots)
+    centre = choose_pivots(lifted(matrix([bytes(r[0]) for r in sample], dim).astype(float), top), pivots)
     block = max(block, n // DIRECTORY)
 
     def key(batches):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            d = distances(lifted(matrix(batch.column(1).to_pylist(), dim), top), centre)
+            d = distances(lifted(matrix(batch.column(1).to_pylist(), dim).astype(float), top), centre)
             own = d.argmin(axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(d[np.arange(len(own)), own]), batch.column(0), batch.column(1)], names=["pivot", "distance", "vec_id", "v"])
 
@@ -137,8 +146,8 @@ def build(vectors: DataFrame, *, pivots: int = PIVOTS, block: int = BLOCK):
             nonlocal made
             made += 1
             p, d, ids, v = zip(*rows)
-            packed = matrix(list(v), dim).astype("<i4").tobytes()
-            return [(pid << 32) + made, p[0], min(d), max(d), len(ids), np.array(ids, "<i8").tobytes(), packed]
+            rows = packed(matrix(list(v), dim))
+            return [(pid << 32) + made, p[0], min(d), max(d), len(ids), np.array(ids, "<i8").tobytes(), rows]
 
         def out(rows):
             kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary())
@@ -195,7 +204,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, pivots: int = P
         d = distances(np.hstack([q, np.zeros((len(q), 1))]), centre)[:, of_pivot]
         slack = 1e-6 * (1.0 + math.sqrt(top) + d)
         gap = np.maximum(np.maximum(lo[None, :] - d, d - hi[None, :]) - slack, 0.0)
-        return ((q**2).sum(axis=1)[:, None] + top - gap**2) / 2 + 1.0
+        return ((q**2).sum(axis=1)[:, None] + top - gap**2) / 2 + 1.0 + 1e-9 * top
 
     def packets(batches, first: bool):
         from pyspark import TaskContext
@@ -206,7 +215,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, pivots: int = P
                 part = batch.slice(a, QUERIES)
                 ids = part.column(0).to_numpy()
                 q = matrix(part.column(1).to_pylist(), dim)
-                most = bounds(q)
+                most = bounds(q.astype(float))
                 begun = np.zeros(most.shape, bool)
                 np.put_along_axis(begun, np.argsort(-most, axis=1, kind="stable")[:, :FIRST], True, axis=1)
                 if first:
@@ -217,7 +226,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, pivots: int = P
                 rows = []
                 for j in np.flatnonzero(use.any(axis=0)).tolist():
                     i = np.flatnonzero(use[:, j])
-                    rows.append((int(blocks[j]), (pid << 32) + sent // TOGETHER, ids[i].astype("<i8").tobytes(), q[i].astype("<i4").tobytes()))
+                    rows.append((int(blocks[j]), (pid << 32) + sent // TOGETHER, ids[i].astype("<i8").tobytes(), packed(q[i])))
                 sent += 1
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["block", "packet", "qids", "qvectors"])
 
@@ -226,10 +235,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = K, pivots: int = P
         out: list[tuple] = []
         if left.num_rows and right.num_rows:
             ids = np.frombuffer(left.column("ids")[0].as_py(), "<i8")
-            x = np.frombuffer(left.column("vectors")[0].as_py(), "<i4").reshape(len(ids), dim).astype(np.float64)
+            x = unpacked(left.column("vectors")[0].as_py(), len(ids), dim)
             for qids, qs in zip(right.column("qids").to_pylist(), right.column("qvectors").to_pylist()):
                 qids = np.frombuffer(qids, "<i8")
-                q = np.frombuffer(qs, "<i4").reshape(len(qids), dim).astype(np.float64)
+                q = unpacked(qs, len(qids), dim)
                 scores = _dot(q, x)
                 for i, me in enumerate(qids.tolist()):
                     other = np.flatnonzero(ids != me)
