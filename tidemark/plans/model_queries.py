@@ -456,4 +456,130 @@ def arma_forecast(spark, sf):
     return rounded(baselines.arma_forecast(best, 5))
 
 
+# ---- hold-out ranking: both baselines next to the linear models --------------------------
+
+def _least_squares(columns, source: str, label: str = "rv_5d") -> str:
+    """CTEs that solve an unpenalised regression by elimination on centred moments: table ``fit``."""
+    p = len(columns)
+    names = [*columns, label]
+    cells = [f"covar_pop({a}, {b}) AS c{i}_{j}" for i, a in enumerate(columns) for j, b in enumerate(names)]
+    means = [f"avg({c}) AS m{i}" for i, c in enumerate(names)]
+    body = f"SELECT {', '.join(means + cells)} FROM {source}"
+    for k in range(p):
+        keep = [f"m{i}" for i in range(p + 1)] + [f"c{i}_{j}" for i in range(k + 1) for j in range(i, p + 1)]
+        less = [
+            f"c{i}_{j} - c{i}_{k} * c{k}_{j} / c{k}_{k} AS c{i}_{j}" for i in range(k + 1, p) for j in range(k + 1, p + 1)
+        ]
+        body = f"SELECT {', '.join(keep + less)} FROM ({body}) e{k}"
+    weights = []
+    for i in reversed(range(p)):
+        known_ = "".join(f" - c{i}_{j} * w{j}" for j in range(i + 1, p))
+        weights.append(f"(c{i}_{p}{known_}) / c{i}_{i} AS w{i}")
+    return f"fit AS (SELECT *, {', '.join(weights)} FROM ({body}) solved)"
+
+
+def _fitted_value(columns) -> str:
+    return f"m{len(columns)} + " + " + ".join(f"w{i} * ({c} - m{i})" for i, c in enumerate(columns))
+
+
+#: Volatilities of three horizons and their term structure (far over near).
+HAR_TERM = (*HAR, "term")
+_TERMED = "termed AS (SELECT *, vol_60 / vol_5 AS term FROM training WHERE vol_5 <> 0)"
+
+
+def termed(rows):
+    return rows.where("vol_5 <> 0").withColumn("term", F.col("vol_60") / F.col("vol_5"))
+
+
+@query(
+    sql_round(
+        f"""SELECT split, count(*) AS n, sqrt(avg({SQUARE})) AS rmse, avg({ABSOLUTE}) AS mae, 1 - avg({SQUARE}) / var_pop(rv_5d) AS r2
+           FROM (SELECT t.split, t.rv_5d, {_fitted_value(HAR_TERM)} AS p FROM termed t, fit) s GROUP BY split""",
+        ("rmse", "mae", "r2"),
+        (*TRAINING_CTES, _TERMED, _least_squares(HAR_TERM, "termed WHERE split = 'train'")),
+    )
+)
+def har_rv_term(spark, sf):
+    """Errors of the horizon model with its fourth regressor, the term structure; rows without one are left out."""
+    rows = termed(complete(training_table(spark, sf)))
+    model = models.har_rv(rows.where("split = 'train'"), HAR_TERM)
+    return rounded(models.split_metrics(model.transform(models.assemble(rows, HAR_TERM))))
+
+
+_TRAIN_X = f"""gstats AS (SELECT series, avg(rv_5d) AS m, var_pop(rv_5d) AS v, count(*) AS n FROM training WHERE split = 'train' GROUP BY series),
+ xs AS MATERIALIZED (SELECT a.series, a.rv_5d - s.m AS x, s.v, s.n, s.m, row_number() OVER (PARTITION BY a.series ORDER BY a.bar) AS t
+   FROM training a JOIN gstats s USING (series) WHERE a.split = 'train'),
+ gwalk AS (
+   SELECT series, alpha, beta, t, v, n, -0.5 * (ln(v) + x * x / v) AS ll, v * (1.0 - alpha - beta) + alpha * x * x + beta * v AS h
+   FROM xs, (VALUES {_GARCH}) g(alpha, beta) WHERE t = 1 AND v > 0
+   UNION ALL
+   SELECT w.series, w.alpha, w.beta, x.t, w.v, w.n, w.ll - 0.5 * (ln(w.h) + x.x * x.x / w.h),
+          w.v * (1.0 - w.alpha - w.beta) + w.alpha * x.x * x.x + w.beta * w.h
+   FROM gwalk w JOIN xs x ON x.series = w.series AND x.t = w.t + 1),
+ gbest AS MATERIALIZED (SELECT series, arg_max(alpha, ll) AS alpha, arg_max(beta, ll) AS beta, max(v) AS v, arg_max(h, ll) AS h0
+   FROM gwalk WHERE t = n GROUP BY series),
+ awalk AS (
+   SELECT series, phi, theta, t, n, m, x, x AS e, x * x AS sse FROM xs, (VALUES {_ARMA}) g(phi, theta) WHERE t = 1
+   UNION ALL
+   SELECT w.series, w.phi, w.theta, x.t, w.n, w.m, x.x, x.x - w.phi * w.x - w.theta * w.e, w.sse + power(x.x - w.phi * w.x - w.theta * w.e, 2)
+   FROM awalk w JOIN xs x ON x.series = w.series AND x.t = w.t + 1),
+ abest AS MATERIALIZED (SELECT series, arg_min(phi, sse) AS phi, arg_min(theta, sse) AS theta, max(m) AS m, arg_min(x, sse) AS x0, arg_min(e, sse) AS e0
+   FROM awalk WHERE t = n GROUP BY series),
+ held AS MATERIALIZED (SELECT t.series, t.bar, t.split, t.rv_5d, t.rv_5d - b.m AS x, b.*EXCLUDE (series), g.*EXCLUDE (series),
+     row_number() OVER (PARTITION BY t.series ORDER BY t.bar) AS k
+   FROM training t JOIN abest b ON b.series = t.series LEFT JOIN gbest g ON g.series = t.series WHERE t.split <> 'train'),
+ states AS (
+   SELECT series, k, h0 AS h, e0 AS e, x0 AS px FROM held WHERE k = 1
+   UNION ALL
+   SELECT s.series, s.k + 1, d.v * (1.0 - d.alpha - d.beta) + d.alpha * d.x * d.x + d.beta * s.h, d.x - d.phi * s.px - d.theta * s.e, d.x
+   FROM states s JOIN held d ON d.series = s.series AND d.k = s.k),
+ forecasts AS (SELECT d.*, sqrt(v + power(alpha + beta, k - 1) * (h0 - v)) AS garch_path, sqrt(s.h) AS garch_step,
+     m + CASE WHEN k = 1 THEN 1.0 ELSE power(phi, k - 1) END * (phi * x0 + theta * e0) AS arma_path,
+     m + phi * s.px + theta * s.e AS arma_step
+   FROM held d JOIN states s USING (series, k))"""
+_PATHS = ("garch_path", "garch_step", "arma_path", "arma_step")
+_CANDIDATES = " UNION ALL ".join(
+    [f"SELECT '{c}' AS model, split, rv_5d, {c} AS p FROM forecasts WHERE {c} IS NOT NULL" for c in _PATHS]
+    + [f"SELECT 'har' AS model, split, rv_5d, {_fitted_value(HAR_TERM)} AS p FROM termed, fit"]
+    + [f"SELECT x.model, t.split, t.rv_5d, {PREDICTED} AS p FROM training t, weights x, m"]
+)
+_RANKED = ", ".join(
+    f"max(CASE WHEN split = '{part}' THEN {c} END) AS {part}_{c}" for part in ("val", "test") for c in ("n", "rmse", "mae", "r2")
+)
+
+
+@query(
+    _recursive(
+        sql_round(
+            f"""SELECT *, row_number() OVER (ORDER BY round(val_rmse, 8) NULLS LAST, model) AS rank
+               FROM (SELECT model, {_RANKED}
+                     FROM (SELECT model, split, count(*) AS n, sqrt(avg({SQUARE})) AS rmse, avg({ABSOLUTE}) AS mae,
+                                  1 - avg({SQUARE}) / var_pop(rv_5d) AS r2
+                           FROM ({_CANDIDATES}) c GROUP BY model, split) e GROUP BY model) w""",
+            tuple(f"{part}_{c}" for part in ("val", "test") for c in ("rmse", "mae", "r2")),
+            (
+                *TRAINING_CTES,
+                _TRAIN_X,
+                _TERMED,
+                _sql_moments("training WHERE split = 'train'", "1"),
+                _sql_candidates(),
+                DESCENT,
+                _least_squares(HAR_TERM, "termed WHERE split = 'train'"),
+            ),
+        )
+    )
+)
+def baseline_ranking(spark, sf):
+    """GARCH and ARMA on the rows after train (from its end, and one step ahead), the horizon model and the linear grid, by validation error."""
+    rows = complete(training_table(spark, sf))
+    held = baselines.holdout_forecasts(rows, "rv_5d", grain=LINE_GRAIN)
+    errors = baselines.forecast_errors(held, _PATHS, "rv_5d")
+    horizons = termed(rows)
+    har = models.har_rv(horizons.where("split = 'train'"), HAR_TERM)
+    har_errors = models.split_metrics(har.transform(models.assemble(horizons, HAR_TERM))).withColumn("model", F.lit("har"))
+    linear = models.linear_models(rows, COLUMNS)
+    every = errors.unionByName(har_errors.select(errors.columns)).unionByName(linear.select(errors.columns))
+    return rounded(baselines.ranking(every))
+
+
 assert set(COLUMNS) <= set(SERIES_FEATURES)
