@@ -12,6 +12,7 @@ from tidemark.operators.frames import (
     CHUNK,
     HOME,
     attach_group_value,
+    even_slots,
     halo_chunks,
     last_rows,
     number_rows,
@@ -203,3 +204,55 @@ def test_chunks_have_a_bounded_size_under_a_hot_series(spark):
     assert sizes.where("series = 'hot'").count() >= 20
     numbered = number_rows(df, ["series"], "bar").where("series = 'hot'")
     assert numbered.where("position <> id + 1 OR total <> 20000").count() == 0
+
+
+def burst(spark):
+    """90 % of a series' rows in one minute of two years, many within one millisecond; a second series without a burst."""
+    rng = np.random.default_rng(8)
+    minute, year = 60_000_000, 365 * 86_400_000_000
+    micros = np.concatenate([
+        rng.choice(2 * year, 1500, replace=False),
+        year + rng.choice(minute, 9000, replace=False),
+        year + 7_000_000 + rng.choice(1000, 500, replace=False),
+    ])
+    micros = np.unique(micros)
+    rows = pd.DataFrame({"series": "hot", "us": micros, "x": np.arange(len(micros)) % 17.0})
+    calm = pd.DataFrame({"series": "calm", "us": np.arange(300) * (year // 200), "x": 1.0})
+    df = spark.createDataFrame(pd.concat([rows, calm]).sample(frac=1, random_state=1))
+    start = F.lit("2023-01-01").cast("timestamp_ntz")
+    return df.select("series", (start + F.expr("make_dt_interval(0, 0, 0, us / 1000000.0D)")).alias("bar"), "x"), len(micros)
+
+
+def test_a_burst_makes_more_slots_and_not_longer_chunks(spark):
+    df, n = burst(spark)
+    tagged, counts = even_slots(df, ["series"], "bar", 50)
+    assert counts.agg(F.max("_n")).first()[0] <= 50
+    assert tagged.groupBy("series", "_slot").count().join(counts, ["series", "_slot"]).where("count <> _n").count() == 0
+    assert counts.agg(F.sum("_n")).first()[0] == n + 300
+    for keys in (["series"], []):
+        one = df if keys else df.where("series = 'hot'")
+        out = halo_chunks(one, keys, "bar", 19, 5, rows=800)
+        sizes = out.where("_chunk = _home").groupBy(*keys, CHUNK).count()
+        assert sizes.agg(F.max("count")).first()[0] <= 1600
+        assert out.where("_chunk = _home").count() == (n + 300 if keys else n)
+
+
+@pytest.mark.parametrize("keys", [["series"], []])
+def test_numbers_and_totals_of_a_burst_equal_the_plain_ones(spark, monkeypatch, keys):
+    from tidemark.operators import frames
+
+    monkeypatch.setattr(frames, "ROWS_PER_CHUNK", 640)
+    df, _ = burst(spark)
+    df = df if keys else df.where("series = 'hot'")
+    plain = table(number_rows(running_sum(df, keys, "bar", F.col("x"), "run", grain="hour"), keys, "bar", grain="hour"), "series", "bar")
+    got = table(number_rows(running_sum(df, keys, "bar", F.col("x"), "run"), keys, "bar"), "series", "bar")
+    assert got["position"].tolist() == plain["position"].tolist() and got["total"].tolist() == plain["total"].tolist()
+    same(got["run"], plain["run"])
+
+
+def test_rows_at_one_microsecond_and_empty_tables_end_the_cutting(spark):
+    same_time = spark.range(500).selectExpr("'s' AS series", "timestamp_ntz'2024-01-01' AS bar", "id")
+    assert [r._n for r in even_slots(same_time, ["series"], "bar", 10)[1].collect()] == [500]
+    assert number_rows(same_time, ["series"], "bar").agg(F.max("position")).first()[0] == 500
+    assert number_rows(same_time.limit(0), ["series"], "bar").count() == 0
+    assert halo_chunks(same_time.limit(0), [], "bar", 3).count() == 0

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import features
-from tidemark.plans.common import EVENT_ALL, GRAIN, ROLES, SUPPLIER_BASE, rounded, sql_gate, sql_round, sql_windows
+from tidemark.plans.common import (
+    EVENT_ALL,
+    GRAIN,
+    LINE_GRAIN,
+    ROLES,
+    SUPPLIER_ALL,
+    SUPPLIER_BASE,
+    rounded,
+    sql_gate,
+    sql_round,
+    sql_windows,
+)
 from tidemark.sources import store, tables
 from tidemark.streaming import jobs
 
@@ -120,3 +131,28 @@ def stream_features(spark, sf):
     running.awaitTermination()
     out = spark.read.schema(fields).parquet(f"{root}/features")
     return rounded(out.drop(jobs.BATCH))
+
+
+def supplier_update(rows):
+    """Features of rows that carry their benchmark's return."""
+    bench = rows.groupBy("bar").agg(F.max("bench").alias("ret"))
+    return features.universe_features(rows.drop("bench"), bench, grain=LINE_GRAIN)
+
+
+@query(sql_round("SELECT * FROM supplier_features", features.SERIES_FEATURES, SUPPLIER_ALL))
+def stream_tails(spark, sf):
+    """All series' features over several micro-batches, each reading its arrivals and the series' last rows only."""
+    root = store.scratch_path(spark, "tail-stream")
+    market = tables.market_returns(spark, sf).select("bar", F.col("ret").alias("bench"))
+    curated = tables.supplier_curated(spark, sf).select("series", "bar", "adj_close", "ret")
+    joined = store.stored(curated.join(F.broadcast(market), "bar", "left"), "joined")  # one row per week
+    first, last = joined.agg(F.min("bar").cast("timestamp").cast("long"), F.max("bar").cast("timestamp").cast("long")).first()
+    span = max(-(-((last or 0) - (first or 0) + 1) // ARRIVALS), 1)
+    when = ((F.col("bar").cast("timestamp").cast("long") - F.lit(first)) / F.lit(span)).cast("int")
+    for k in range(ARRIVALS):
+        joined.where(when == k).coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    running = jobs.tail_stream(
+        spark, f"{root}/arrivals", f"{root}/out", f"{root}/state", f"{root}/mark", joined.schema, supplier_update
+    )
+    running.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out").select("series", "bar", *features.SERIES_FEATURES))

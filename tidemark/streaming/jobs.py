@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators.features import DEFAULT_ROLES
+from tidemark.operators.frames import last_rows
 from tidemark.operators.incremental import CONTEXT_ROWS, incremental_features
+from tidemark.sources.store import exists, stored
 
 BATCH = "batch"
 
@@ -108,6 +110,92 @@ def feature_stream(
     )
 
 
+def _tail_folders(session: SparkSession, path: str) -> list[int]:
+    """Batches whose tails were written whole, oldest first."""
+    folder = session._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(session._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit() and exists(session, f"{path}/{n}/_SUCCESS"))
+
+
+def tail_batch(
+    arrived: DataFrame,
+    batch_id: int,
+    out: str,
+    state: str,
+    update: Callable[[DataFrame], DataFrame],
+    *,
+    keys: Sequence[str] = ("series",),
+    order: str = "bar",
+    rows: int = CONTEXT_ROWS,
+) -> None:
+    """One batch of :func:`tail_stream`: the rows that arrived, after the tails of the batches before it."""
+    session, keys = arrived.sparkSession, list(keys)
+    known = [n for n in _tail_folders(session, f"{state}/tails") if n < batch_id]
+    if known:
+        tails = session.read.schema(arrived.schema).parquet(f"{state}/tails/{known[-1]}")
+    else:
+        tails = session.createDataFrame([], arrived.schema)
+    marks = tails.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(order).alias("_mark"))
+    helpers = [*(f"_{k}" for k in keys), "_mark"]
+    new = F.col(order).isNotNull() & (F.col("_mark").isNull() | (F.col(order) > F.col("_mark")))
+
+    def with_mark(df: DataFrame) -> DataFrame:
+        return df.join(marks, [df[k].eqNullSafe(marks[f"_{k}"]) for k in keys], "left")
+
+    marked = stored(with_mark(arrived), "arrived")
+    write_batch(marked.where(~new).drop(*helpers), f"{state}/late", batch_id)
+    both = tails.unionByName(marked.where(new).drop(*helpers))
+    computed = with_mark(update(both)).where(new).drop(*helpers)
+    write_batch(computed, out, batch_id)
+    last_rows(both, keys, order, rows).drop("recency").write.mode("overwrite").parquet(f"{state}/tails/{batch_id}")
+    for n in known[:-1]:
+        old = session._jvm.org.apache.hadoop.fs.Path(f"{state}/tails/{n}")
+        old.getFileSystem(session._jsc.hadoopConfiguration()).delete(old, True)
+
+
+def tail_stream(
+    spark: SparkSession,
+    arrivals: str,
+    out: str,
+    state: str,
+    checkpoint: str,
+    schema,
+    update: Callable[[DataFrame], DataFrame],
+    *,
+    keys: Sequence[str] = ("series",),
+    order: str = "bar",
+    rows: int = CONTEXT_ROWS,
+    files: int = 1,
+) -> StreamingQuery:
+    """Rolling results of arriving files, each batch reading what arrived and a table of tails, then stop.
+
+    The tails are the last ``rows`` rows of every key: as long as the keys are many, whatever the
+    history. ``update`` turns rows of ``schema`` into results with the same keys and order, none of
+    which looks back further than ``rows``; it never sees stored history or earlier results. A row
+    at or before the last one of its key (late, or without a time) is not worked in: it is
+    kept under ``state``/late for a batch job to repair. Rows of one batch need no order.
+
+    A batch writes its own partition of ``out`` and its own tails and reads those of the batch
+    before it, so a batch that failed half-way, or runs twice, leaves the same files.
+    """
+
+    def run(arrived: DataFrame, batch_id: int) -> None:
+        tail_batch(arrived, batch_id, out, state, update, keys=keys, order=order, rows=rows)
+
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files)
+        .parquet(arrivals)
+        .writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 STATE_SCHEMA = "rets array<double>"
 
 
