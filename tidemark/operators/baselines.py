@@ -144,18 +144,15 @@ def garch_grid(
     def squares(beta):
         return F.aggregate("xs", F.lit(0.0), lambda s, x: x * x + beta * s)
 
-    sums = F.map_from_arrays(F.array(*[F.lit(float(b)) for b in betas]), F.array(*[squares(float(b)) for b in betas]))
-    maps = F.transform(
-        "_grid",
-        lambda g: F.struct(
-            (
-                v * (1.0 - g["alpha"] - g["beta"]) * (1.0 - F.pow(g["beta"], F.size("xs"))) / (1.0 - g["beta"])
-                + g["alpha"] * F.col("_sums")[g["beta"]]
-            ).alias("a"),
-            F.pow(g["beta"], F.size("xs")).alias("b"),
-        ),
-    )
-    starts = _starts(chunks.withColumn("_sums", sums), by, maps, F.transform("_grid", lambda g: v))
+    n = F.size("xs")
+    sums = {f"_s{i}": squares(float(b)) for i, b in enumerate(betas)}
+
+    def offset(alpha, beta, i):
+        still = v * (1.0 - alpha - beta) * (1.0 - F.pow(F.lit(beta), n)) / (1.0 - beta)
+        return F.struct((still + alpha * F.col(f"_s{i}")).alias("a"), F.pow(F.lit(beta), n).alias("b"))
+
+    maps = F.array(*[offset(float(a), float(b), i) for a in alphas for i, b in enumerate(betas) if a + b < 1])
+    starts = _starts(chunks.withColumns(sums), by, maps, F.transform("_grid", lambda g: v))
 
     def walk(g, h):
         begin = F.struct(h.alias("h"), F.lit(0.0).alias("ll"))
@@ -232,15 +229,14 @@ def arma_grid(
             ),
         )
 
-    sums = F.map_from_arrays(F.array(*[F.lit(float(t)) for t in grid]), F.array(*[both(float(t)) for t in grid]))
-    maps = F.transform(
-        "_grid",
-        lambda g: F.struct(
-            (F.col("_sums")[g["theta"]]["own"] - g["phi"] * F.col("_sums")[g["theta"]]["before"]).alias("a"),
-            F.pow(-g["theta"], F.size("xs")).alias("b"),
-        ),
-    )
-    starts = _starts(chunks.withColumn("_sums", sums), by, maps, F.transform("_grid", lambda g: F.lit(0.0)))
+    sums = {f"_s{i}": both(float(t)) for i, t in enumerate(grid)}
+
+    def offset(phi, theta, i):
+        a = F.col(f"_s{i}.own") - phi * F.col(f"_s{i}.before")
+        return F.struct(a.alias("a"), F.pow(F.lit(-theta), F.size("xs")).alias("b"))
+
+    maps = F.array(*[offset(float(p), float(t), i) for p in grid for i, t in enumerate(grid)])
+    starts = _starts(chunks.withColumns(sums), by, maps, F.transform("_grid", lambda g: F.lit(0.0)))
     run = F.zip_with(
         "_grid", "_h", lambda g, e: F.struct(g["phi"].alias("phi"), g["theta"].alias("theta"), walk(g, e).alias("w"))
     )

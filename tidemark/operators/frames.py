@@ -72,14 +72,14 @@ def even_slots(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their slot, and the stored (keys, slot, rows) counts; no slot above ``rows`` that time can cut.
 
-    Slots start as equal spans that hold ``rows`` rows on average. Slots that hold more are cut
+    Slots start as equal spans that hold half of ``rows`` on average. Slots that hold more are cut
     by how many more they hold, again and again: each round ends after one combined count, and
     there are as many as it takes to get from the first length to a microsecond, six or so
     at the worst. A slot is named by its first microsecond.
     """
     at = _micros(order)
     span, n = df.select(F.max(at) - F.min(at) + 1, F.count(at)).first()
-    length = max(int((span or 1) * rows / max(n, 1)), 1)
+    length = max(int((span or 1) * rows / (2 * max(n, 1))), 1)
     width = F.lit(length).cast("long")
     tagged = df.withColumns({"_us": at, "_w": width}).withColumn(SLOT, F.col("_us") - F.pmod("_us", "_w"))
     names = [f"_k{i}" for i in range(len(keys))]
