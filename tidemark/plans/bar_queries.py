@@ -301,6 +301,19 @@ def partition_dates(spark, sf):
     return store.partition_dates(store.read_partitions(spark, path))
 
 
+@query("""
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS rows,
+         CAST(min(l_shipdate) AS DATE) AS first, CAST(max(l_shipdate) AS DATE) AS last
+  FROM lineitem GROUP BY 1""")
+def partition_facts(spark, sf):
+    """Rows and range of every month of a stored table, answered from its files' footers."""
+    path = store.scratch_path(spark, "months")
+    lines = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("shipped"), "l_quantity")
+    store.write_partitions(lines, path, order="shipped", by="month", unit="month")
+    facts = store.partition_facts(spark, path, "shipped", by="month")
+    return facts.select(F.col("month").cast("date").alias("month"), "rows", "first", "last")
+
+
 @query("""
   SELECT CAST(o AS DATE) AS date
   FROM (SELECT DISTINCT date_trunc('day', o_orderdate) AS o FROM orders) w

@@ -93,6 +93,28 @@ def partition_dates(df: DataFrame, by: str = "date") -> DataFrame:
     return df.select(by).distinct()
 
 
+def partition_facts(spark: SparkSession, path: str, order: str, by: str = "date", schema=None) -> DataFrame:
+    """(by, rows, first, last) of a partitioned table's partitions, from file footers: no row is read.
+
+    Counts and ranges of numbers and dates are pushed into the reader; for another type of
+    ``order`` (times, text) the footers do not tell, and Spark scans that column.
+    """
+    facts = scratch_path(spark, "facts")
+    footer_facts(spark, path, order, by, schema).write.parquet(facts)
+    return spark.read.parquet(facts)
+
+
+def footer_facts(spark: SparkSession, path: str, order: str, by: str = "date", schema=None) -> DataFrame:
+    """The plan of :func:`partition_facts`, in a session of its own whose parquet reader answers aggregates."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    reader = session.read if schema is None else session.read.schema(schema)
+    facts = [F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"), F.max(order).alias("last")]
+    return reader.parquet(path).groupBy(by).agg(*facts)
+
+
 def folder_dates(folders: DataFrame, path: str = "path", key: str = "date") -> DataFrame:
     """Partition values spelled in folder names; other folders are ignored."""
     value = partition_value(F.col(path), key)
