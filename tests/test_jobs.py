@@ -285,6 +285,13 @@ def test_streaming_bars_ignore_late_ticks(spark, tmp_path):
     ]
 
 
+def test_ticks_at_one_time_open_low_and_close_high(spark):
+    t = days(1)[0]
+    ticks = [("a", t, 3.0), ("a", t, 1.0), ("a", t + datetime.timedelta(minutes=9), 2.0), ("a", t + datetime.timedelta(minutes=9), 5.0)]
+    bar = jobs.streaming_bars(spark.createDataFrame(ticks, "s string, ts timestamp, v double"), series="s", ts="ts", value="v").first()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (1, 5, 1, 5, 4)
+
+
 def test_stateful_features_equal_batch(spark, tmp_path):
     rng = np.random.default_rng(3)
     rows = [(s, t, float(v)) for s in ("a", "b") for t, v in zip(days(90), rng.normal(0, 0.01, 90))]

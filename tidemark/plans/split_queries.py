@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import prep, split
+from tidemark.operators import prep, profile, split
 from tidemark.operators.features import SERIES_FEATURES
 from tidemark.sources import store
 from tidemark.plans.common import LINE_GRAIN, SUPPLIER_ALL, rounded, sql_round, supplier_features
@@ -188,3 +188,19 @@ def split_export(spark, sf):
     x = read("x").groupBy("split").agg(F.count(F.lit(1)).alias("features"), F.sum("vol_5").alias("feature_sum"))
     y = read("y").groupBy("split").agg(F.count("rv_5d").alias("labels"), F.sum("rv_5d").alias("label_sum"))
     return rounded(n.join(x, "split").join(y, "split"))
+
+
+@query(
+    sql_round(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct FROM supplier_master"""
+            for c in SERIES_FEATURES
+        ),
+        ("missing_pct",),
+        SUPPLIER_ALL,
+    )
+)
+def feature_columns(spark, sf):
+    """The columns that learners take (neither keys nor label), each with its missing values."""
+    master = supplier_features(spark, sf, label=True)
+    return rounded(profile.missing_report(master, split.feature_columns(master)))

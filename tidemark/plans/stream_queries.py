@@ -48,6 +48,20 @@ def finished(stream, spark, name: str) -> str:
     return f"{path}/out"
 
 
+#: Micro-batches of the streams below, and how late a row of the out-of-order stream may be.
+ARRIVALS, LATE_DAYS = 6, 28
+
+
+def arrive(df, order: str, path: str) -> None:
+    """Write ``df`` as one file for each of equal spans of time, the earliest first."""
+    at = F.col(order).cast("timestamp").cast("long")
+    first, last = df.agg(F.min(at), F.max(at)).first()
+    span = max(-(-((last or 0) - (first or 0) + 1) // ARRIVALS), 1)
+    when = ((at - F.lit(first)) / F.lit(span)).cast("int")
+    for k in range(ARRIVALS):  # a stream takes files by their age
+        df.where(when == k).coalesce(1).write.mode("append").parquet(path)
+
+
 @query(
     sql_round(
         """SELECT event_type AS series, date_trunc('hour', ts) AS bar, arg_min(value, ts) AS open, max(value) AS high,
@@ -61,8 +75,8 @@ def stream_bars(spark, sf):
     """Hourly bars of the event stream; a bar is final once the watermark has passed its end."""
     path = store.scratch_path(spark, "ticks")
     ticks = tables.table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
-    ticks.write.parquet(path)
-    stream = spark.readStream.schema(ticks.schema).parquet(path)
+    arrive(ticks, "ts", path)
+    stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = finished(jobs.streaming_bars(stream, series="event_type", ts="ts", value="value"), spark, "bars")
     back = spark.read.parquet(out).withColumn("bar", F.col("bar").cast("timestamp_ntz"))
     return rounded(back.select("series", "bar", "open", "high", "low", "close", "volume"))
@@ -78,19 +92,16 @@ def stream_bars(spark, sf):
     )
 )
 def stream_volatility(spark, sf):
-    """Rolling volatility with the last rows of each series kept as state."""
+    """Rolling volatility over several micro-batches, the last rows of each series kept as state."""
     curated = store.stored(tables.supplier_curated(spark, sf).select("series", "bar", "ret"), "returns")
     path = store.scratch_path(spark, "arrivals")
-    curated.write.parquet(path)
-    out = finished(jobs.rolling_state(spark.readStream.schema(curated.schema).parquet(path)), spark, "volatility")
+    arrive(curated, "bar", path)
+    stream = spark.readStream.schema(curated.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = finished(jobs.rolling_state(stream), spark, "volatility")
     vols = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("vol_5", "vol_20", "vol_60")]
     return rounded(spark.read.parquet(out).select("series", "bar", *vols))
 
 
-#: Arrivals of the out-of-order stream, and how late a row may be.
-ARRIVALS, LATE_DAYS = 6, 28
-
-
 @query(
     sql_round(
         "SELECT * FROM (SELECT series, bar, "
@@ -146,11 +157,7 @@ def stream_tails(spark, sf):
     market = tables.market_returns(spark, sf).select("bar", F.col("ret").alias("bench"))
     curated = tables.supplier_curated(spark, sf).select("series", "bar", "adj_close", "ret")
     joined = store.stored(curated.join(F.broadcast(market), "bar", "left"), "joined")  # one row per week
-    first, last = joined.agg(F.min("bar").cast("timestamp").cast("long"), F.max("bar").cast("timestamp").cast("long")).first()
-    span = max(-(-((last or 0) - (first or 0) + 1) // ARRIVALS), 1)
-    when = ((F.col("bar").cast("timestamp").cast("long") - F.lit(first)) / F.lit(span)).cast("int")
-    for k in range(ARRIVALS):
-        joined.where(when == k).coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    arrive(joined, "bar", f"{root}/arrivals")
     running = jobs.tail_stream(
         spark, f"{root}/arrivals", f"{root}/out", f"{root}/state", f"{root}/mark", joined.schema, supplier_update
     )

@@ -30,7 +30,8 @@ def streaming_bars(
 ) -> DataFrame:
     """OHLCV bars of a tick stream; a bar is final once the watermark has passed its end.
 
-    Ticks later than ``late`` are ignored. Partial bars are combined before the
+    Ticks later than ``late`` are ignored. Of ticks at one time the smallest opens and the largest
+    closes a bar. Partial bars are combined before the
     shuffle, so the state holds one row per open (series, bar).
     """
     at = F.col(ts).cast("timestamp")
@@ -39,10 +40,10 @@ def streaming_bars(
         timed.withWatermark("_at", late)
         .groupBy("series", F.window("_at", every))
         .agg(
-            F.min_by("_v", "_at").alias("open"),
+            F.min(F.struct("_at", "_v"))["_v"].alias("open"),
             F.max("_v").alias("high"),
             F.min("_v").alias("low"),
-            F.max_by("_v", "_at").alias("close"),
+            F.max(F.struct("_at", "_v"))["_v"].alias("close"),
             F.count(F.lit(1)).cast("double").alias("volume"),
         )
         .select(
