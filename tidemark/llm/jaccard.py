@@ -293,7 +293,8 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     classes = settled(classes)
 
     # blocks: the smallest set of each key, and those that share the key
-    keyed = marked.join(classes.select("row", "id"), "row").select("id", F.explode("keys").alias("key"))
+    # (dealt by key once: most keys occur once, so counting them first would shuffle as many rows again)
+    keyed = marked.join(classes.select("row", "id"), "row").select("id", F.explode("keys").alias("key")).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("id").alias("block"), F.max("id").alias("last")).where("block < last").select("key", "block")
     members = settled(keyed.join(shared, "key").select("block", "id").distinct())
 
