@@ -169,7 +169,7 @@ def tail_stream(
     keys: Sequence[str] = ("series",),
     order: str = "bar",
     rows: int = CONTEXT_ROWS,
-    files: int = 1,
+    files: int | None = 1,
 ) -> StreamingQuery:
     """Rolling results of arriving files, each batch reading what arrived and a table of tails, then stop.
 
@@ -177,7 +177,8 @@ def tail_stream(
     history. ``update`` turns rows of ``schema`` into results with the same keys and order, none of
     which looks back further than ``rows``; it never sees stored history or earlier results. A row
     at or before the last one of its key (late, or without a time) is not worked in: it is
-    kept under ``state``/late for a batch job to repair. Rows of one batch need no order.
+    kept under ``state``/late for a batch job to repair. Rows of one batch need no order. A batch takes
+    ``files`` files, or all that have arrived (None).
 
     A batch writes its own partition of ``out`` and its own tails and reads those of the batch
     before it, so a batch that failed half-way, or runs twice, leaves the same files.
@@ -186,10 +187,11 @@ def tail_stream(
     def run(arrived: DataFrame, batch_id: int) -> None:
         tail_batch(arrived, batch_id, out, state, update, keys=keys, order=order, rows=rows)
 
+    reader = spark.readStream.schema(schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
     return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files)
-        .parquet(arrivals)
+        reader.parquet(arrivals)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -197,7 +199,30 @@ def tail_stream(
     )
 
 
-STATE_SCHEMA = "rets array<double>"
+#: Rows of a state are kept as the bytes of their doubles (and longs): one value each to write and read, not one a row.
+STATE_SCHEMA = "rets binary"
+
+
+def _volatilities(x: np.ndarray, new: int, windows: Sequence[int]) -> dict[str, np.ndarray]:
+    """Root of the summed squares over the last n values, for the last ``new`` of ``x``; NaN without n finite ones."""
+    squares = x * x
+    squares[np.isinf(squares)] = np.nan
+    out = {}
+    for n in windows:
+        seen = squares[max(len(x) - new - n + 1, 0) :]
+        vol = np.full(new, np.nan)
+        if len(seen) >= n:
+            sums = np.lib.stride_tricks.sliding_window_view(seen, n).sum(axis=1)
+            vol[new - len(sums) :] = np.sqrt(sums)
+        out[f"vol_{n}"] = vol
+    return out
+
+
+def _by_time(times: pd.Series) -> np.ndarray:
+    """Positions in order of time, rows without one last."""
+    if times.dtype == object:
+        return times.reset_index(drop=True).sort_values(kind="stable").index.to_numpy()
+    return np.argsort(times.to_numpy(), kind="stable")
 
 
 def rolling_state(
@@ -224,23 +249,21 @@ def rolling_state(
     def update(
         key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(order)
-        past = np.array(state.get[0] if state.exists else [], dtype=float)
-        x = np.concatenate([past, rows[ret].to_numpy(dtype=float)])
+        frames = list(batches)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
+        at = _by_time(rows[order])
+        past = np.frombuffer(state.get[0] if state.exists else b"", dtype=float)
+        x = np.concatenate([past, rows[ret].to_numpy(dtype=float)[at]])
         new = len(rows)
-        result = {series: [key[0]] * new, order: rows[order].to_numpy()}
-        for n in windows:
-            vol = pd.Series(x * x).rolling(n).sum().pow(0.5).to_numpy()
-            result[f"vol_{n}"] = vol[-new:]
-        state.update((x[-keep:].tolist(),))
-        yield pd.DataFrame(result)
+        state.update((x[-keep:].tobytes(),))
+        yield pd.DataFrame({series: [key[0]] * new, order: rows[order].to_numpy()[at], **_volatilities(x, new, windows)})
 
     return curated.select(series, order, ret).groupBy(series).applyInPandasWithState(
         update, out, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
-ORDERED_STATE = "pending_at array<bigint>, pending array<double>, tail array<double>, last bigint"
+ORDERED_STATE = "pending_at binary, pending binary, tail binary, last bigint"
 
 
 def ordered_volatility(
@@ -266,31 +289,31 @@ def ordered_volatility(
     out = f"{series} {kind}, {order} timestamp, " + ", ".join(f"vol_{n} double" for n in windows)
 
     def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, waiting, tail, last = state.get if state.exists else ([], [], [], None)
-        at, waiting, tail = list(at or []), list(waiting or []), list(tail or [])
+        at, waiting, tail, last = state.get if state.exists else (b"", b"", b"", None)
         mark = state.getCurrentWatermarkMs() * 1000
+        times, values = [np.frombuffer(at, dtype="int64")], [np.frombuffer(waiting, dtype=float)]
         for rows in () if state.hasTimedOut else batches:
-            times = rows["_at"].astype("datetime64[us]").astype("int64").to_numpy()
-            fresh = (times > mark) | (mark <= 0)
+            came = rows["_at"].to_numpy().astype("datetime64[us]").astype("int64")
+            fresh = (came > mark) | (mark <= 0)
             if last is not None:
-                fresh &= times > last
-            at += times[fresh].tolist()
-            waiting += rows[ret].to_numpy(dtype=float)[fresh].tolist()
-        due = sorted((t, i) for i, t in enumerate(at) if t <= mark)
-        if due:
-            x = np.array(tail + [waiting[i] for _, i in due], dtype=float)
-            result = {series: [key[0]] * len(due), order: pd.to_datetime([t for t, _ in due], unit="us", utc=True)}
-            for n in windows:
-                result[f"vol_{n}"] = pd.Series(x * x).rolling(n).sum().pow(0.5).to_numpy()[-len(due) :]
-            tail, last = x[-keep:].tolist(), due[-1][0]
-            gone = {i for _, i in due}
-            at, waiting = [t for i, t in enumerate(at) if i not in gone], [v for i, v in enumerate(waiting) if i not in gone]
-            yield pd.DataFrame(result)
-        if not at and last is not None and mark >= last + idle:
+                fresh &= came > last
+            times.append(came[fresh])
+            values.append(rows[ret].to_numpy(dtype=float)[fresh])
+        at, waiting = np.concatenate(times), np.concatenate(values)
+        due = at <= mark
+        if due.any():
+            by_time = np.argsort(at[due], kind="stable")
+            left = at[due][by_time]
+            x = np.concatenate([np.frombuffer(tail, dtype=float), waiting[due][by_time]])
+            bars = pd.DatetimeIndex(left.astype("datetime64[us]")).tz_localize("UTC")
+            tail, last = x[-keep:].tobytes(), int(left[-1])
+            yield pd.DataFrame({series: [key[0]] * len(left), order: bars, **_volatilities(x, len(left), windows)})
+        at, waiting = at[~due], waiting[~due]
+        if not len(at) and last is not None and mark >= last + idle:
             state.remove()
             return
-        state.update((at, waiting, tail, last))
-        due_next = min(at) if at else (last or 0) + idle
+        state.update((at.tobytes(), waiting.tobytes(), tail, last))
+        due_next = int(at.min()) if len(at) else (last or 0) + idle
         state.setTimeoutTimestamp(max(due_next // 1000, mark // 1000) + 1)
 
     timed = curated.select(series, F.col(order).cast("timestamp").alias("_at"), F.col(ret).cast("double").alias(ret))
