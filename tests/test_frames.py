@@ -256,3 +256,30 @@ def test_rows_at_one_microsecond_and_empty_tables_end_the_cutting(spark):
     assert number_rows(same_time, ["series"], "bar").agg(F.max("position")).first()[0] == 500
     assert number_rows(same_time.limit(0), ["series"], "bar").count() == 0
     assert halo_chunks(same_time.limit(0), [], "bar", 3).count() == 0
+
+
+def test_quantiles_of_a_large_group_deal_few_values(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    big = np.concatenate([rng.normal(0, 1, 90_000), np.full(30_000, 0.25)])
+    pdf = pd.DataFrame({"g": ["big"] * len(big) + ["two"] * 2, "value": np.append(big, [1.0, 2.0])})
+    df, probs, written, keep = spark.createDataFrame(pdf).repartition(8), [0.0, 0.1, 0.25, 0.5, 0.6, 1.0], [], profile.stored
+
+    def watched(frame, name):
+        out = keep(frame, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(profile, "stored", watched)
+    out = {r.g: r.quantiles for r in profile.exact_quantiles(df, probs, ["g"]).collect()}
+    same(out["big"], np.quantile(big, probs), 1e-12)
+    same(out["two"], np.quantile([1.0, 2.0], probs))
+    assert max(written) < 1_000  # not every value
+
+
+def test_quantiles_that_a_sketch_misses_are_ranked_whole(spark, monkeypatch):
+    values = np.random.default_rng(9).normal(0, 1, 2_000)
+    df = spark.createDataFrame([("g", float(v)) for v in values], "g string, value double")
+    monkeypatch.setattr(profile, "FEW", 10)
+    monkeypatch.setattr(profile.F, "percentile_approx", lambda c, cuts, n: profile.F.array(*[profile.F.lit(9.0)] * len(cuts)))
+    out = profile.exact_quantiles(df, [0.25, 0.5], ["g"]).first()
+    same(out.quantiles, np.quantile(values, [0.25, 0.5]), 1e-12)

@@ -178,9 +178,62 @@ def return_histogram(
     )
 
 
+#: Accuracy of the sketch behind exact quantiles, and the rows up to which a group is ranked without one.
+SKETCH, FEW = 10_000, 40_000
+
+
 def exact_quantiles(values: DataFrame, probs: Sequence[float], by: Sequence[str], value: str = "value") -> DataFrame:
     """Exact linear-interpolated quantiles per group without sorting a group in one task.
 
+    A mergeable sketch brackets the wanted ranks of each group. A second pass combines values
+    inside a bracket to (value, count) and those between brackets to one count each, so
+    of a large group a thousandth is shuffled for each rank. A group one of whose ranks is
+    not inside a bracket is ranked whole (:func:`_ranked_quantiles`).
+    """
+    by, k, margin = list(by), len(probs), 3.0 / SKETCH
+    present = values.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    cuts = [min(max(float(p) + side, 0.0), 1.0) for side in (-margin, margin) for p in probs]
+    sketch = present.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", cuts, SKETCH).alias("_cuts")
+    )
+    few = F.col("_total") <= FEW  # one bracket around all values; NaN is the largest number
+    edge = lambda i, all_: F.when(few, F.lit(all_)).otherwise(F.col("_cuts")[i])
+    lows = [edge(i, float("-inf")).alias(f"_lo{i}") for i in range(k)]
+    highs = [edge(k + i, float("nan")).alias(f"_hi{i}") for i in range(k)]
+    brackets = stored(sketch.select(*by, "_total", *lows, *highs), "brackets")
+    joined = present.join(brackets, by) if by else present.crossJoin(F.broadcast(brackets))
+    v, inside, passed = F.col("_v"), F.lit(False), []
+    for i in range(k):
+        inside = inside | ((v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")))
+        passed.append(F.when(F.col(f"_hi{i}") < v, F.col(f"_hi{i}")))
+    last_passed = F.greatest(*passed) if k > 1 else passed[0]
+    dealt = joined.select(*by, "_total", inside.alias("_in"), F.when(inside, v).otherwise(last_passed).alias("_at"))
+    counted = dealt.groupBy(*by, "_at", "_in").agg(F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total"))
+    in_order = Window.partitionBy(*by).orderBy(F.col("_at").asc_nulls_first(), F.col("_in").desc())
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_last", F.sum("_n").over(upto) - 1)
+    first = F.col("_last") - F.col("_n") + 1
+    points, found = [], F.lit(True)
+    for p in probs:
+        a = (F.col("_total") - 1) * F.lit(float(p))
+        ends = []
+        for rank in (F.floor(a), F.ceil(a)):
+            held = F.col("_in") & (first <= rank) & (F.col("_last") >= rank)
+            ends.append(F.max(F.when(held, F.col("_at"))))
+            found = found & F.bool_or(held)
+        lo, hi = ends
+        points.append(lo + (hi - lo) * F.max(a - F.floor(a)))
+    out = stored(ranked.groupBy(*by).agg(F.array(*points).alias("quantiles"), found.alias("_found")), "quantiles")
+    rest = out.where(~F.col("_found"))
+    if rest.isEmpty():
+        return out.drop("_found")
+    whole = values.join(rest.select(*by), by, "left_semi") if by else values
+    return out.where("_found").drop("_found").unionByName(_ranked_quantiles(whole, probs, by, value))
+
+
+def _ranked_quantiles(values: DataFrame, probs: Sequence[float], by: Sequence[str], value: str = "value") -> DataFrame:
+    """The quantiles of :func:`exact_quantiles` from all values.
+
     Equal values of a group are combined to (value, count), dealt by ranges of (group,
     value) and written; the counts of a group's ranges, summed in order, say in which
     ranges its wanted ranks lie, and only those ranges are ranked.
