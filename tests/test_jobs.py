@@ -328,3 +328,37 @@ def test_scratch_is_dropped(spark):
     store.drop_scratch(spark)
     assert not os.path.exists(folder)
     assert store.stored(spark.range(4), "probe").count() == 4
+
+
+def test_arrivals_are_batches_of_many_files_and_one_closing_batch(spark, tmp_path):
+    from tidemark.plans import stream_queries
+
+    df = spark.range(600).repartition(6).selectExpr("'a' AS series", "timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS bar", "1.0D AS ret")
+    before, runs, files = spark.conf.get(stream_queries.NO_DATA_BATCHES), [], []
+    path = str(tmp_path / "in")
+
+    def start():
+        import glob
+
+        files.append(len(glob.glob(f"{path}/*.parquet")))
+        stream = jobs.ordered_volatility(spark.readStream.schema(df.schema).parquet(path), late="5 days")
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark"))
+        q = q.outputMode("append").trigger(availableNow=True).start()
+        runs.append(q)
+        return q
+
+    stream_queries.arrive(store.stored(df, "rows"), stream_queries.arrival_of(df, "bar"), path, start)
+    batches = [sorted({p["batchId"] for p in q.recentProgress}) for q in runs]
+    assert batches == [[0], [1], [2], [3], [4], [5, 6]] and files[0] > 1
+    assert spark.conf.get(stream_queries.NO_DATA_BATCHES) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 600 - 5
+
+
+def test_keys_to_process_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "KEYS_A_TASK", 10)
+    df = spark.range(100).selectExpr("CAST(id % 7 AS STRING) AS series", "id % 20 AS bar").union(spark.sql("SELECT null, 3L"))
+    done = df.where("bar < 15")
+    got = incremental.dates_to_process(df, done, ["series", "bar"], keys=df.count())
+    assert got.rdd.getNumPartitions() == 11
+    want = {(r.series, r.bar) for r in df.collect() if r.series is None or r.bar >= 15}
+    assert {(r.series, r.bar) for r in got.collect()} == want and got.count() == len(want)

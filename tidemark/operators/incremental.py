@@ -21,10 +21,24 @@ CONTEXT_ROWS = 70
 CONTEXT_DAYS = 150
 
 
-def dates_to_process(available: DataFrame, processed: DataFrame, on: Sequence[str] = ("bar",)):
-    """Available keys that have not been processed, gaps included."""
+#: Keys that a task compares at most, about, where :func:`dates_to_process` is told their number.
+KEYS_A_TASK = 500_000
+
+
+def dates_to_process(
+    available: DataFrame, processed: DataFrame, on: Sequence[str] = ("bar",), *, keys: int | None = None
+) -> DataFrame:
+    """Available keys that have not been processed, gaps included; only those left are made distinct.
+
+    ``keys``, the rows of ``available``, sets the number of tasks, so that a task's memory does
+    not grow with the tables.
+    """
     on = list(on)
-    return available.select(*on).distinct().join(processed.select(*on).distinct(), on, "left_anti")
+    available, processed = available.select(*on), processed.select(*on)
+    if keys is not None:
+        parts = max(-(-keys // KEYS_A_TASK), 1)
+        available, processed = available.repartition(parts, *on), processed.repartition(parts, *on)
+    return available.join(processed, on, "left_anti").distinct()
 
 
 def dates_after_watermark(

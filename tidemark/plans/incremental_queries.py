@@ -53,10 +53,10 @@ def cut(df, at, order="bar"):
 )
 def dates_to_process(spark, sf):
     """Bars without features: everything new, plus a gap at the very start."""
-    curated = tables.supplier_curated(spark, sf)
+    curated = store.stored(tables.supplier_curated(spark, sf).select("series", "bar"), "curated")
     first = curated.select(F.min("bar")).scalar()
     done = cut(curated, LINE_CUT)[0].where(F.col("bar") > first)
-    return incremental.dates_to_process(curated, done, ["series", "bar"])
+    return incremental.dates_to_process(curated, done, ["series", "bar"], keys=curated.count())
 
 
 @query(
@@ -205,8 +205,8 @@ def ingest_range(spark, sf):
 )
 def dates_to_predict(spark, sf):
     """Forecast keys that the history does not hold yet."""
-    rows = forecasts(spark, sf)
-    return incremental.dates_to_process(rows, cut(rows, LINE_CUT)[0], ["series", "model", "bar"])
+    rows = store.stored(forecasts(spark, sf).select("series", "model", "bar"), "forecasts")
+    return incremental.dates_to_process(rows, cut(rows, LINE_CUT)[0], ["series", "model", "bar"], keys=rows.count())
 
 
 @query(
