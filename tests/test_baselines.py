@@ -102,3 +102,21 @@ def test_empty_tables_have_no_forecasts(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert baselines.garch_grid(df, "v", grain="hour").count() == 0
     assert baselines.holdout_forecasts(df, "v", grain="hour").count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_grids_walk_series_side_by_side_on_one_list_of_observations(spark, monkeypatch):
+    x = np.random.default_rng(5).normal(0.02, 0.01, 30)
+    rows = series_rows("a", x, (20, 25)) + series_rows("b", x[:3], (3, 3)) + series_rows(None, x[3:14], (8, 9))
+    df = spark.createDataFrame(rows, SCHEMA)
+    garch = baselines.garch_grid(df, "v", alphas=(0.05,), betas=(0.5,), rows=7, grain="hour")
+    arma = baselines.arma_grid(df, "v", grid=(0.4,), rows=7, grain="hour")
+    for grid in (garch, arma):
+        assert "MapInArrow" in plan(grid)
+    written, store = [], baselines.stored
+    monkeypatch.setattr(baselines, "stored", lambda frame, name: (written.append(name), store(frame, name))[1])
+    baselines.holdout_forecasts(df, "v", grain="hour")
+    assert written.count("observations") == 1

@@ -485,3 +485,29 @@ def test_stack_of_three_and_refit(spark):
     small = {**models.FINAL_PARAMS, "n_estimators": 5}
     fitted = models.refit_stopped(models.boosted(small), models.assemble(df, ["a", "b", "c"]), stopped)
     assert fitted.getNumTrees == 2
+
+
+def test_linear_grid_is_measured_by_tasks_that_return_sums(spark):
+    """A constant feature, a null split, rows without a value, a split of equal labels: as in plain numpy."""
+    rng = np.random.default_rng(3)
+    rows = [(s, float(a), 0.1, float(b), float(0.3 * a - b + 0.1 * e)) for s, a, b, e in zip(["train"] * 40 + ["val"] * 20 + [None] * 9, *rng.normal(size=(3, 69)))]
+    rows += [("test", float(a), 0.1, 1.0, 0.1) for a in rng.normal(size=5)] + [("val", None, 0.1, 1.0, 2.0), ("train", 1.0, 0.1, float("nan"), 2.0), ("val", 1.0, 0.1, 1.0, None)]
+    df = spark.createDataFrame(rows, "split string, a double, k double, b double, rv_5d double").repartition(3)
+    found = models.linear_models(df, ["a", "k", "b"])
+    assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r.model, r.split): r for r in found.collect()}
+    assert len(found) == 4 * len(models.linear_candidates())
+    data = np.array([r[1:] for r in rows[:74]])
+    own = {s: np.array([r[0] == s for r in rows[:74]]) for s in ("train", "val", "test", None)}
+    x, y = data[own["train"]][:, [0, 2]], data[own["train"]][:, 3]
+    z, w = (x - x.mean(axis=0)) / x.std(axis=0), None
+    w = np.linalg.solve(z.T @ z + 10 * np.eye(2), z.T @ (y - y.mean()))
+    for s, mine in own.items():
+        wrong = ((data[mine][:, [0, 2]] - x.mean(axis=0)) / x.std(axis=0)) @ w + y.mean() - data[mine][:, 3]
+        r2 = None if s == "test" else 1 - np.mean(wrong**2) / data[mine][:, 3].var()
+        got = found["ridge_10", s]
+        assert got.n == mine.sum()
+        same([got.rmse, got.mae, got.r2], [np.sqrt(np.mean(wrong**2)), np.abs(wrong).mean(), r2], 1e-9)
+    by = models.moments(df, ["a", "k", "b"], by=["split"]).collect()
+    assert {(r.split, r.n) for r in by} == {("train", 40), ("val", 20), ("test", 5), (None, 9)}
+    assert all(models.as_moment(r)[2][1].tolist() == [0.0] * 4 for r in by)

@@ -16,9 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import tasks
 from tidemark.operators.frames import Slot, attach_group_value, number_rows
 from tidemark.operators.monitor import metric_aggregates
 from tidemark.sources.store import stored
+from tidemark.sources.workers import shipped
 
 ROWS = 4096
 FAN = 256
@@ -61,6 +63,13 @@ def _chunks(
     return lists.withColumn("xs", F.transform("_points", lambda p: p["x"])).drop("_points")
 
 
+def observations(
+    df: DataFrame, value: str, by: Sequence[str], order: str, rows: int = ROWS, grain: str | None = None, slot: Slot = None
+) -> DataFrame:
+    """The chunks that both grids walk, written once."""
+    return stored(_chunks(df, value, by, order, rows, grain, slot), "observations")
+
+
 def _compose(c: Column) -> Column:
     """The maps of neighbouring chunks, in order, as one map for every grid point."""
     same = F.transform(c[0]["m"], lambda m: F.struct(F.lit(0.0).alias("a"), F.lit(1.0).alias("b")))
@@ -116,6 +125,14 @@ def _with_row_before(chunks: DataFrame, by: Sequence[str], first: Column) -> Dat
     return chunks.join(ends, [*by, "chunk"], "left").withColumn("_x0", F.when(F.col("chunk") == 0, first).otherwise(F.col("_x0")))
 
 
+def _walked(chunks: DataFrame, keep: Sequence[str], more: Column, kernel, grid: Sequence[tuple[float, float]], names: Sequence[str]) -> DataFrame:
+    """Each chunk walked from its exact starting states, side by side with others: a row for each chunk and grid point."""
+    shipped(chunks.sparkSession)
+    rows = chunks.select(*keep, "xs", "_h", more.alias("_more"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(keep)])
+    return rows.mapInArrow(tasks.walks(len(keep), kernel, grid, names), f"{kept}, " + ", ".join(f"{c} double" for c in names))
+
+
 def garch_grid(
     df: DataFrame,
     value: str,
@@ -127,19 +144,17 @@ def garch_grid(
     rows: int = ROWS,
     grain: str | None = None,
     slot: Slot = None,
+    chunks: DataFrame | None = None,
 ) -> DataFrame:
     """Log likelihood of variance-targeted GARCH(1,1) for every stable (alpha, beta).
 
     ``h[1] = v``, ``h[t] = v (1 - alpha - beta) + alpha x[t-1]^2 + beta h[t-1]``
-    with ``v`` the variance of the series.
+    with ``v`` the variance of the series. ``chunks``: the rows' ``observations``, where they are stored already.
     """
-    chunks = _chunks(df, value, by, order, rows, grain, slot).where("variance > 0")
-    chunks = stored(chunks, "observations").withColumn("_grid", _pairs(alphas, betas, ("alpha", "beta"), lambda a, b: a + b < 1))
+    chunks = observations(df, value, by, order, rows, grain, slot) if chunks is None else chunks
+    chunks = chunks.where("variance > 0").withColumn("_grid", _pairs(alphas, betas, ("alpha", "beta"), lambda a, b: a + b < 1))
     v = F.col("variance")
 
-    def after(g, h, x):
-        return v * (1.0 - g["alpha"] - g["beta"]) + g["alpha"] * x * x + g["beta"] * h
-
     # A chunk's offset depends on alpha through one sum of squares for each beta only.
     def squares(beta):
         return F.aggregate("xs", F.lit(0.0), lambda s, x: x * x + beta * s)
@@ -154,25 +169,14 @@ def garch_grid(
     maps = F.array(*[offset(float(a), float(b), i) for a in alphas for i, b in enumerate(betas) if a + b < 1])
     starts = _starts(chunks.withColumns(sums), by, maps, F.transform("_grid", lambda g: v))
 
-    def walk(g, h):
-        begin = F.struct(h.alias("h"), F.lit(0.0).alias("ll"))
-        end = F.aggregate(
-            "xs",
-            begin,
-            lambda s, x: F.struct(
-                after(g, s["h"], x).alias("h"), (s["ll"] - 0.5 * (F.ln(s["h"]) + x * x / s["h"])).alias("ll")
-            ),
-        )
-        return F.struct(g["alpha"].alias("alpha"), g["beta"].alias("beta"), end.alias("w"))
-
-    walked = chunks.join(starts, [*by, "chunk"]).select(
-        *by, "chunk", "n", "variance", F.explode(F.zip_with("_grid", "_h", walk)).alias("_r")
-    )
-    return walked.groupBy(*by, F.col("_r.alpha").alias("alpha"), F.col("_r.beta").alias("beta")).agg(
+    begun = chunks.join(starts, [*by, "chunk"])
+    grid = [(float(a), float(b)) for a in alphas for b in betas if a + b < 1]
+    walked = _walked(begun, [*by, "chunk", "n", "variance"], v, tasks.garch_kernel, grid, ("alpha", "beta", "_h", "_ll"))
+    return walked.groupBy(*by, "alpha", "beta").agg(
         F.max("n").alias("n"),
         F.max("variance").alias("variance"),
-        F.sum("_r.w.ll").alias("loglik"),
-        F.max_by("_r.w.h", "chunk").alias("next_variance"),
+        F.sum("_ll").alias("loglik"),
+        F.max_by("_h", "chunk").alias("next_variance"),
     )
 
 
@@ -201,23 +205,15 @@ def arma_grid(
     rows: int = ROWS,
     grain: str | None = None,
     slot: Slot = None,
+    chunks: DataFrame | None = None,
 ) -> DataFrame:
     """Conditional sum of squares of ARMA(1,1) for every (phi, theta) on the grid.
 
-    ``e[t] = x[t] - phi x[t-1] - theta e[t-1]`` with zero before the first row.
+    ``e[t] = x[t] - phi x[t-1] - theta e[t-1]`` with zero before the first row. ``chunks`` as for GARCH.
     """
-    chunks = stored(_chunks(df, value, by, order, rows, grain, slot), "observations")
+    chunks = observations(df, value, by, order, rows, grain, slot) if chunks is None else chunks
     chunks = _with_row_before(chunks, by, F.lit(0.0)).withColumn("_grid", _pairs(grid, grid, ("phi", "theta"), lambda a, b: True))
 
-    def walk(g, e0):
-        begin = F.struct(e0.alias("e"), F.col("_x0").alias("x"), F.lit(0.0).alias("sse"))
-
-        def step(s, x):
-            e = x - g["phi"] * s["x"] - g["theta"] * s["e"]
-            return F.struct(e.alias("e"), x.alias("x"), (s["sse"] + e * e).alias("sse"))
-
-        return F.aggregate("xs", begin, step)
-
     # A chunk's offset is one sum of the rows less phi times one of the rows before them, for each theta.
     def both(theta):
         begin = F.struct(F.lit(0.0).alias("own"), F.lit(0.0).alias("before"), F.col("_x0").alias("x"))
@@ -237,16 +233,15 @@ def arma_grid(
 
     maps = F.array(*[offset(float(p), float(t), i) for p in grid for i, t in enumerate(grid)])
     starts = _starts(chunks.withColumns(sums), by, maps, F.transform("_grid", lambda g: F.lit(0.0)))
-    run = F.zip_with(
-        "_grid", "_h", lambda g, e: F.struct(g["phi"].alias("phi"), g["theta"].alias("theta"), walk(g, e).alias("w"))
-    )
-    walked = chunks.join(starts, [*by, "chunk"]).select(*by, "chunk", "n", "mean", F.explode(run).alias("_r"))
-    return walked.groupBy(*by, F.col("_r.phi").alias("phi"), F.col("_r.theta").alias("theta")).agg(
+    begun = chunks.join(starts, [*by, "chunk"])
+    points = [(float(p), float(t)) for p in grid for t in grid]
+    walked = _walked(begun, [*by, "chunk", "n", "mean"], F.col("_x0"), tasks.arma_kernel, points, ("phi", "theta", "_x", "_e", "_sse"))
+    return walked.groupBy(*by, "phi", "theta").agg(
         F.max("n").alias("n"),
         F.max("mean").alias("mean"),
-        F.sum("_r.w.sse").alias("sse"),
-        F.max_by("_r.w.x", "chunk").alias("last_x"),
-        F.max_by("_r.w.e", "chunk").alias("last_e"),
+        F.sum("_sse").alias("sse"),
+        F.max_by("_x", "chunk").alias("last_x"),
+        F.max_by("_e", "chunk").alias("last_e"),
     )
 
 
@@ -286,6 +281,7 @@ def holdout_forecasts(
     """
     train = df.where(F.col(split) == "train")
     options = {"by": by, "order": order, "grain": grain, "slot": slot}
+    options["chunks"] = observations(train, value, by, order, grain=grain, slot=slot)
     garch = garch_best(garch_grid(train, value, **options), by).select(*by, "alpha", "beta", "variance", "next_variance")
     arma = arma_best(arma_grid(train, value, **options), by).select(*by, "phi", "theta", "mean", "last_x", "last_e")
     fitted = stored(arma.join(garch, list(by), "left"), "fitted")
