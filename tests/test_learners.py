@@ -33,3 +33,19 @@ def test_the_record_of_a_run_is_measured_once(spark, tmp_path):
     df = rows_of(spark).drop("features").withColumns({"split": F.when(F.rand(3) < 0.8, "train").otherwise("test"), "bar": F.current_date(), "rv_5d": F.col("y")})
     _, record = models.train_run(df, ["a", "b", "c"], models.boosted({**models.FINAL_PARAMS, "n_estimators": 2}), "m", store=str(tmp_path), run_date="2024-06-01")
     assert record.inputFiles() == [] and record.first()["train_rows"] + record.first()["test_rows"] == 400
+
+
+def test_the_means_of_a_run_are_averaged_once(spark, tmp_path):
+    df = rows_of(spark).drop("features").withColumns({"split": F.lit("train"), "bar": F.current_date(), "rv_5d": F.col("y")})
+    model = models.training_pipeline(["a", "b", "c"], models.boosted({**models.FINAL_PARAMS, "n_estimators": 1})).fit(df)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    record = spark.createDataFrame([("2024-06-01",)], "training_date string")
+    models.publish_run(model, record, df.mapInArrow(counted, df.schema), ["a", "b", "c"], str(tmp_path))
+    means = [spark.read.json(f"{tmp_path}/models/{folder}/feature_means").select("a", "b", "c").collect() for folder in ("date=2024-06-01", "latest")]
+    assert seen.value == 400 and means[0] == means[1] and np.allclose(means[0][0], df.agg(F.avg("a"), F.avg("b"), F.avg("c")).first())
