@@ -49,3 +49,17 @@ def test_the_means_of_a_run_are_averaged_once(spark, tmp_path):
     models.publish_run(model, record, df.mapInArrow(counted, df.schema), ["a", "b", "c"], str(tmp_path))
     means = [spark.read.json(f"{tmp_path}/models/{folder}/feature_means").select("a", "b", "c").collect() for folder in ("date=2024-06-01", "latest")]
     assert seen.value == 400 and means[0] == means[1] and np.allclose(means[0][0], df.agg(F.avg("a"), F.avg("b"), F.avg("c")).first())
+
+
+def test_both_boosted_families_are_fitted_on_one_table(spark, monkeypatch):
+    from tidemark.plans import model_queries
+
+    made, table = [], rows_of(spark).drop("features").withColumns({"split": F.when(F.col("a") < 0.8, "train").otherwise("test"), "rv_5d": F.col("y")})
+    monkeypatch.setattr(model_queries, "training_table", lambda *a: made.append(a) or table)
+    monkeypatch.setattr(model_queries, "COLUMNS", ("a", "b", "c"))
+    monkeypatch.setattr(model_queries, "_FITTED", {})
+    small = models.boosted
+    monkeypatch.setattr(models, "boosted", lambda params=models.FINAL_PARAMS: small({**params, "n_estimators": 3}))
+    found = model_queries.boosted_model(spark, "nowhere").collect()
+    assert len(made) == 1 and {(r["model"], r["split"]) for r in found} == {(m, s) for m in ("boosted", "boosted_second") for s in ("train", "test")}
+    assert all(r["fits"] for r in found if r["split"] == "train")
