@@ -63,3 +63,15 @@ def test_both_boosted_families_are_fitted_on_one_table(spark, monkeypatch):
     found = model_queries.boosted_model(spark, "nowhere").collect()
     assert len(made) == 1 and {(r["model"], r["split"]) for r in found} == {(m, s) for m in ("boosted", "boosted_second") for s in ("train", "test")}
     assert all(r["fits"] for r in found if r["split"] == "train")
+
+
+def test_the_refit_at_the_best_stop_grows_within_tasks(spark, monkeypatch):
+    from tidemark.plans import model_queries
+
+    table = rows_of(spark).drop("features").withColumns({"split": F.when(F.col("a") < 0.6, "train").otherwise("val"), "rv_5d": F.col("y")})
+    monkeypatch.setattr(model_queries, "training_table", lambda *a: table)
+    monkeypatch.setattr(model_queries, "COLUMNS", ("a", "b", "c"))
+    monkeypatch.setattr(model_queries, "_FITTED", {})
+    monkeypatch.setattr(trees, "_grown", None)  # no job for each level
+    found = model_queries.stopped_refit(spark, "nowhere").collect()
+    assert [(r["holds"], r["refit"]) for r in found] == [(True, True)] * 3
