@@ -75,3 +75,15 @@ def test_the_refit_at_the_best_stop_grows_within_tasks(spark, monkeypatch):
     monkeypatch.setattr(trees, "_grown", None)  # no job for each level
     found = model_queries.stopped_refit(spark, "nowhere").collect()
     assert [(r["holds"], r["refit"]) for r in found] == [(True, True)] * 3
+
+
+def test_importance_of_few_rows_needs_no_job_for_each_level(spark, monkeypatch):
+    from tidemark.plans import model_queries
+
+    table = rows_of(spark).drop("features").withColumns({"split": F.lit("train"), "rv_5d": F.col("y")})
+    monkeypatch.setattr(model_queries, "training_table", lambda *a: table)
+    monkeypatch.setattr(model_queries, "COLUMNS", ("a", "b", "c"))
+    monkeypatch.setattr(model_queries, "_FITTED", {})
+    monkeypatch.setattr(trees, "_grown", None)
+    found = {r["feature"]: (r["counted"], r["total"]) for r in model_queries.model_importance(spark, "nowhere").collect()}
+    assert found == {c: (True, 1.0) for c in ("a", "b", "c")}
